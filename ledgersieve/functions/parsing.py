@@ -1,82 +1,74 @@
 """Checked parsing of feed text. A value that does not parse gives null; a blank one also gives null,
-so ``parse_failed`` tells the two apart."""
+so ``parse_failed`` tells the two apart.
+
+Each text is named a few times only: every mention is another copy of its expression in the generated code.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgersieve.functions.clock import EPOCH, at
+
 # ISO-8601 text that Spark's own cast reads the same way. ``\z`` and not ``$``: a trailing line break is an
 # error. Year 0000 does not exist in the accepted grammar.
 _PLAIN_ISO = r"^(?!0000)\d{4}-\d{2}-\d{2}(?:[T ]\d{2}(?::\d{2}(?::\d{2}(?:\.\d+)?)?)?)?\z"
 
-# Everything else accepted: compact dates and times, any one character as separator, a comma as the decimal
-# sign, and a zone offset.
+# Other accepted spellings: compact dates and times, any one character as separator, a comma as the decimal
+# sign; and, after a time, a zone offset.
 _DATE = r"(?!0000)(?:\d{4}-\d{2}-\d{2}|\d{8})"
 _CLOCK = r"(?:\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?|\d{4}(?:\d{2}(?:[.,]\d+)?)?)"
-_OFFSET = r"(?:Z|[+-](?:[01]\d|2[0-3])(?::?[0-5]\d(?::?[0-5]\d)?)?)"
-_ANY_ISO = rf"(?s)^{_DATE}(?:.{_CLOCK}{_OFFSET}?)?\z"
+_OFFSET = r"(?:Z|[+-]\d{2}(?::?[0-5]\d(?::?[0-5]\d)?)?)"
+_LOCAL_ISO = rf"(?s)^{_DATE}(?:.{_CLOCK})?\z"
+_ZONED_ISO = rf"(?s)^{_DATE}.{_CLOCK}{_OFFSET}\z"
+
+# Rewrites to the plain spelling, in this order.
+_RESPELL = [
+    (r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3"),
+    (r"(?s)^(.{10}).", "$1T"),
+    (r"T(\d{2})(\d{2})(\d{2})", "T$1:$2:$3"),
+    (r"T(\d{2})(\d{2})", "T$1:$2"),
+    (r",", "."),
+]
 
 _SPACE = r"[ \t\n\x0B\f\r\x85\p{Z}]*+"
 _DIGITS = r"\d++(?:_\d++)*+"
-_NUMBER = rf"(?i)^{_SPACE}[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?{_SPACE}\z"
-_INFINITY = rf"(?i)^{_SPACE}[+-]?inf(?:inity)?{_SPACE}\z"
+_PLAIN_NUMBER = r"^[+-]?\d++(?:\.\d++)?\z"
+_NUMBER = (
+    rf"(?i)^{_SPACE}[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?"
+    rf"|inf(?:inity)?){_SPACE}\z"
+)
 _NAN = rf"(?i)^{_SPACE}[+-]?nan{_SPACE}\z"
 
 
-def _blank_as_null(text: Column) -> Column:
-    return F.when(text != "", text)
-
-
-def _date_length(text: Column) -> Column:
-    return F.when(F.substr(text, F.lit(5), F.lit(1)) == "-", 10).otherwise(8)
-
-
-def _clock_text(text: Column) -> Column:
-    return F.substr(text, _date_length(text) + 2)
+def _respelled(text: Column) -> Column:
+    for pattern, plain in _RESPELL:
+        text = F.regexp_replace(text, pattern, plain)
+    return text
 
 
 def has_offset(text: Column) -> Column:
-    """Whether an accepted timestamp text names a zone offset."""
-    return F.coalesce(_clock_text(text).rlike("[Z+-]"), F.lit(False))
-
-
-def _uncommon_iso(text: Column) -> Column:
-    """Rewrite an accepted but uncommon spelling to the common one; an offset is taken off to give UTC."""
-    day = F.regexp_replace(F.substr(text, F.lit(1), _date_length(text)), "-", "")
-    clock = _clock_text(text)
-    hms = F.rpad(F.regexp_replace(F.regexp_extract(clock, r"^[\d:]*", 0), ":", ""), 6, "0")
-    fraction = F.rpad(F.regexp_extract(clock, r"[.,](\d+)", 1), 6, "0")
-    spelled = F.concat(
-        F.regexp_replace(day, r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3"),
-        F.lit(" "),
-        F.regexp_replace(hms, r"^(\d{2})(\d{2})(\d{2})", "$1:$2:$3"),
-        F.lit("."),
-        fraction,
-    )
-    local = spelled.try_cast("timestamp_ntz")
-    offset = F.regexp_extract(clock, r"[+-][\d:]+\z", 0)
-    offset_digits = F.rpad(F.regexp_replace(offset, "[^0-9]", ""), 6, "0")
-    sign = F.when(offset.startswith("-"), 1).otherwise(-1)
-    shift = [sign * F.substr(offset_digits, F.lit(at), F.lit(2)).cast("int") for at in (1, 3, 5)]
-    return F.when(offset == "", local).otherwise(
-        local + F.make_dt_interval(F.lit(0), shift[0], shift[1], shift[2].cast("decimal(18,6)"))
-    )
+    """Whether a timestamp text names a zone offset."""
+    return text.rlike(_ZONED_ISO)
 
 
 def parse_timestamp(text: Column) -> Column:
-    text = _blank_as_null(text)
-    return F.when(text.rlike(_PLAIN_ISO), text.try_cast("timestamp_ntz")).when(
-        text.rlike(_ANY_ISO), _uncommon_iso(text)
+    """Zone-less timestamp of an ISO text; one with an offset is turned to UTC."""
+    since_epoch = F.unix_micros(_respelled(text).try_cast("timestamp")) / F.lit(1_000_000).cast("decimal(7,0)")
+    utc = at(EPOCH) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), since_epoch.cast("decimal(18,6)"))
+    return (
+        F.when(text.rlike(_PLAIN_ISO), text.try_cast("timestamp_ntz"))
+        .when(text.rlike(_LOCAL_ISO), _respelled(text).try_cast("timestamp_ntz"))
+        .when(has_offset(text), utc)
     )
 
 
 def parse_amount(text: Column) -> Column:
-    text = _blank_as_null(text)
-    compact = F.regexp_replace(text, r"[_ \t\n\x0B\f\r\x85\p{Z}]", "")
+    """Double of a decimal text; spaces around it and single underscores between digits are allowed."""
     return (
-        F.when(text.rlike(_NUMBER), compact.try_cast("double"))
-        .when(text.rlike(_INFINITY), compact.try_cast("double"))
+        F.when(text.rlike(_PLAIN_NUMBER), text.try_cast("double"))
+        .when(text.rlike(_NUMBER), F.regexp_replace(text, r"[_ \t\n\x0B\f\r\x85\p{Z}]", "").try_cast("double"))
         .when(text.rlike(_NAN), F.lit(float("nan")))
     )
 

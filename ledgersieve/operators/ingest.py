@@ -1,4 +1,4 @@
-"""From feed text to routed rows: hash, drop copies, skip replays, parse, classify."""
+"""From feed text to routed rows: hash, parse, classify, drop copies, skip replays."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ledgersieve.functions import clock, parsing, text
-from ledgersieve.schemas import BRONZE, FEED_FIELDS, QUARANTINE
+from ledgersieve.schemas import BRONZE, QUARANTINE
 
 # The hash comes first: its leading bytes differ from row to row, so sorts compare eight bytes in most cases.
 HASH_KEY = ["raw_line_hash", "source_name"]
@@ -26,9 +26,10 @@ def drop_exact_copies(hashed: DataFrame) -> DataFrame:
     ``row_number() = 1`` and not ``dropDuplicates``: Spark limits each group before the shuffle, so a row
     repeated any number of times leaves one copy per task, and the result is sorted by the key, so the
     replay join needs no further shuffle or sort. It is also repeatable when two different rows share a
-    hash, which ``first`` is not.
+    line hash, which ``first`` is not: the row with the lowest hash of its other columns is kept.
     """
-    rank = F.row_number().over(Window.partitionBy(*HASH_KEY).orderBy(*FEED_FIELDS))
+    others = [name for name in hashed.columns if name not in HASH_KEY]
+    rank = F.row_number().over(Window.partitionBy(*HASH_KEY).orderBy(F.xxhash64(*others)))
     return hashed.withColumn("copy_number", rank).where("copy_number = 1").drop("copy_number")
 
 
@@ -96,9 +97,13 @@ def route(classified: DataFrame, run_id: str, as_of: datetime, grain: str = "day
 
 
 def route_feed(feed: DataFrame, run_id: str, as_of: datetime, grain: str = "day") -> DataFrame:
-    """The steps above for a feed that nothing was loaded from before."""
-    distinct_rows = drop_exact_copies(add_line_hash(feed))
-    return route(classify(parse_fields(distinct_rows), as_of), run_id, as_of, grain)
+    """The distinct rows of a feed, routed.
+
+    Routing comes before the shuffle that finds copies: typed values are smaller than their text, and a
+    filter on the route cannot move below that shuffle, which would evaluate the parsing a second time.
+    """
+    parsed = parse_fields(add_line_hash(feed))
+    return drop_exact_copies(route(classify(parsed, as_of), run_id, as_of, grain))
 
 
 def _columns(schema: T.StructType) -> list[str]:

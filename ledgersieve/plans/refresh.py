@@ -28,18 +28,21 @@ def _replay_candidates(warehouse: Warehouse, run_id: str) -> DataFrame:
     return warehouse.routed().where(other_runs).select(*ingest.HASH_KEY, PERIOD)
 
 
-def net_new_rows(warehouse: Warehouse, feed: DataFrame, run_id: str) -> DataFrame:
-    """Distinct rows of the feed that no other run has accepted.
+def net_new_rows(warehouse: Warehouse, feed: DataFrame, run_id: str, as_of: datetime) -> DataFrame:
+    """Distinct routed rows of the feed that no other run has accepted.
 
     ``posted_at`` is part of the hash, so a row can only be found again in its own period, and only those
     periods are read: a daily load costs the same however long the history is. The exception is a row with
-    the hash's separator inside a field, which can share its hash with a row of another period; such rows
-    are compared with all periods.
+    the hash's separator inside a field, which can share its hash with a row of another period (never with
+    a row that has no separator inside); such rows are compared with all periods.
     """
-    unique = ingest.drop_exact_copies(ingest.add_line_hash(feed))
+
+    def unseen(rows: DataFrame, seen: DataFrame) -> DataFrame:
+        return ingest.skip_replayed(ingest.route_feed(rows, run_id, as_of, warehouse.grain), seen)
+
     seen = _replay_candidates(warehouse, run_id)
     if seen.isEmpty():
-        return unique
+        return ingest.route_feed(feed, run_id, as_of, warehouse.grain)
     period = clock.period_of(parsing.parse_timestamp(F.col("posted_at")), warehouse.grain)
     spans = (
         feed.select("source_name", period.alias("period"), text.has_separator().alias("ambiguous"))
@@ -48,15 +51,14 @@ def net_new_rows(warehouse: Warehouse, feed: DataFrame, run_id: str) -> DataFram
         .collect()
     )
     if len(spans) > MAX_LISTED_PERIODS:
-        return ingest.skip_replayed(unique, seen)
+        return unseen(feed, seen)
     seen = seen.where(F.col("source_name").isin(sorted({s.source_name for s in spans})))
     periods = sorted({s.period for s in spans if s.period is not None})
-    seen_in_periods = seen.where(F.col(PERIOD).isin(periods)) if periods else seen.where("false")
+    seen_in_periods = seen.where(F.col(PERIOD).isin(periods))
     if not any(s.ambiguous for s in spans):
-        return ingest.skip_replayed(unique, seen_in_periods)
-    plain = unique.where(~text.has_separator())
-    ambiguous = unique.where(text.has_separator())
-    return ingest.skip_replayed(plain, seen_in_periods).unionByName(ingest.skip_replayed(ambiguous, seen))
+        return unseen(feed, seen_in_periods)
+    plain, ambiguous = feed.where(~text.has_separator()), feed.where(text.has_separator())
+    return unseen(plain, seen_in_periods).unionByName(unseen(ambiguous, seen))
 
 
 @dataclass(frozen=True)
@@ -75,11 +77,7 @@ def load_feed(warehouse: Warehouse, feed: DataFrame, run_id: str, as_of: datetim
     used = warehouse.refreshes().where(F.col("load_run_id") == run_id)
     if not used.isEmpty():
         raise ValueError(f"run id {run_id!r} was already loaded; give every run its own id")
-    fresh = net_new_rows(warehouse, feed, run_id)
-    routed = ingest.route(
-        ingest.classify(ingest.parse_fields(fresh), as_of), run_id, as_of, warehouse.grain
-    )
-    warehouse.write_routed(routed, run_id)
+    warehouse.write_routed(net_new_rows(warehouse, feed, run_id, as_of), run_id)
     landed = ingest.run_counters(warehouse.routed().where(F.col("load_run_id") == run_id)).collect()
     by_source = {row.source_name: (row.ingested, row.quarantined) for row in landed}
     return LoadCounts(

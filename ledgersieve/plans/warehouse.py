@@ -17,7 +17,6 @@ from __future__ import annotations
 import re
 from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +35,15 @@ PERIODIC_LAYERS = {
     "ai_ready_financial_notes": (schemas.NOTES, "transaction_date"),
 }
 
-_SETTINGS = T.StructType([T.StructField("grain", T.StringType())])
+SMALL_TABLES = {
+    "pipeline_runs": schemas.PIPELINE_RUNS,
+    "layer_refreshes": schemas.LAYER_REFRESHES,
+    "settings": T.StructType([T.StructField("grain", T.StringType())]),
+}
+
+
+def _with_period(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(PERIOD, T.DateType())])
 
 
 class Warehouse:
@@ -45,29 +52,37 @@ class Warehouse:
         self.spark = spark
         self.base_dir = base_dir.rstrip("/")
         self.grain = grain
-        self._check_settings()
-
-    def _check_settings(self) -> None:
+        self._create_missing_tables()
+        self._check_grain()
+
+    def _create_missing_tables(self) -> None:
+        """Every table exists from the start, so that reads need no special case. Existing ones are kept."""
+        partitioned = {"transactions": (schemas.ROUTED, ["load_run_id", "route", "source_name", PERIOD])}
+        for name, (schema, _) in PERIODIC_LAYERS.items():
+            partitioned[name] = (_with_period(schema), [PERIOD])
+        for name, (schema, folders) in partitioned.items():
+            self._no_rows(schema).write.mode("ignore").partitionBy(*folders).parquet(self.path(name))
+        for name, schema in SMALL_TABLES.items():
+            self._no_rows(schema).write.mode("ignore").parquet(self.path(name))
+
+    def _check_grain(self) -> None:
         """The grain is part of the stored layout, so a warehouse keeps the one it was made with."""
-        stored = [row.grain for row in self._read("settings", _SETTINGS).take(1)]
+        stored = [row.grain for row in self._read("settings", SMALL_TABLES["settings"]).take(1)]
         if not stored:
-            one_row(self.spark, _SETTINGS, {"grain": self.grain}).write.mode("overwrite").parquet(
-                self.path("settings")
-            )
+            settings = one_row(self.spark, SMALL_TABLES["settings"], {"grain": self.grain})
+            settings.write.mode("append").parquet(self.path("settings"))
         elif stored[0] != self.grain:
             raise ValueError(f"this warehouse was made with grain {stored[0]!r}, not {self.grain!r}")
 
     def path(self, table: str) -> str:
         return f"{self.base_dir}/{table}"
 
+    def _no_rows(self, schema: T.StructType) -> DataFrame:
+        return self.spark.range(0, 0, 1, 1).select([F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
     def _read(self, table: str, schema: T.StructType) -> DataFrame:
         """Read a table with its schema given (run ids and names must not be guessed to be numbers)."""
-        try:
-            return self.spark.read.schema(schema).parquet(self.path(table))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.range(0).select([F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+        return self.spark.read.schema(schema).parquet(self.path(table))
 
     # Reads ------------------------------------------------------------------------------------------
 
@@ -86,7 +101,7 @@ class Warehouse:
     def stored(self, layer: str) -> DataFrame:
         """A periodic layer with its partition column."""
         schema, _ = PERIODIC_LAYERS[layer]
-        return self._read(layer, T.StructType([*schema.fields, T.StructField(PERIOD, T.DateType())]))
+        return self._read(layer, _with_period(schema))
 
     def layer(self, layer: str, periods: list[date] | None = None) -> DataFrame:
         rows = self.stored(layer)
@@ -183,9 +198,6 @@ class Warehouse:
     def _empty_periods(self, layer: str, periods: list[date]) -> None:
         """Give periods that are left without rows (all deleted) an empty file."""
         schema, _ = PERIODIC_LAYERS[layer]
-        nothing = self.spark.range(0, 0, 1, 1).select(
-            [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
-        )
         for period in periods:
             folder = f"{self.path(layer)}/{PERIOD}={period.isoformat()}"
-            nothing.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+            self._no_rows(schema).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
