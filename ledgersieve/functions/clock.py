@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,15 +11,15 @@ EPOCH = datetime(1970, 1, 1)
 
 
 def at(moment: datetime) -> Column:
-    """A zone-less timestamp literal (a bare ``F.lit`` of a datetime would carry a zone)."""
+    """A zone-less timestamp literal (``F.lit`` of a datetime would carry a zone)."""
     if moment.tzinfo is not None:
         raise ValueError("give the clock as a UTC datetime without tzinfo")
-    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.expr(f"timestamp_ntz'{moment.isoformat(sep=' ')}'")
 
 
 def acceptance_limit(as_of: datetime) -> Column:
     """Latest posting time that does not count as being in the future."""
-    return at(as_of) + F.expr("interval 1 day")
+    return at(as_of + timedelta(days=1))
 
 
 def elapsed_seconds(start: Column, end: Column) -> Column:

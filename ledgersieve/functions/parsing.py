@@ -1,7 +1,8 @@
 """Checked parsing of feed text. A value that does not parse gives null; a blank one also gives null,
 so ``parse_failed`` tells the two apart.
 
-Each text is named a few times only: every mention is another copy of its expression in the generated code.
+The expressions are SQL text over a column name: one expression each, however long, with the text column named
+a few times only.
 """
 
 from __future__ import annotations
@@ -9,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgersieve.functions.clock import EPOCH, at
-
 # ISO-8601 text that Spark's own cast reads the same way. ``\z`` and not ``$``: a trailing line break is an
 # error. Year 0000 does not exist in the accepted grammar.
 _PLAIN_ISO = r"^(?!0000)\d{4}-\d{2}-\d{2}(?:[T ]\d{2}(?::\d{2}(?::\d{2}(?:\.\d+)?)?)?)?\z"
@@ -32,6 +31,10 @@ _RESPELL = [
     (r",", "."),
 ]
 
+# Spark reads an offset only after seconds.
+_FILL_SECONDS = [(r"T(\d{2})([Z+-])", "T$1:00$2"), (r"T(\d{2}:\d{2})([Z+-])", "T$1:00$2")]
+
+_SPACE_OR_UNDERSCORE = r"[_ \t\n\x0B\f\r\x85\p{Z}]"
 _SPACE = r"[ \t\n\x0B\f\r\x85\p{Z}]*+"
 _DIGITS = r"\d++(?:_\d++)*+"
 _PLAIN_NUMBER = r"^[+-]?\d++(?:\.\d++)?\z"
@@ -42,36 +45,48 @@ _NUMBER = (
 _NAN = rf"(?i)^{_SPACE}[+-]?nan{_SPACE}\z"
 
 
-def _respelled(text: Column) -> Column:
-    for pattern, plain in _RESPELL:
-        text = F.regexp_replace(text, pattern, plain)
-    return text
+def _matches(name: str, pattern: str) -> str:
+    return f"rlike({name}, r'{pattern}')"
+
+
+def _respelled(name: str, rewrites: list[tuple[str, str]]) -> str:
+    spelled = name
+    for pattern, plain in rewrites:
+        spelled = f"regexp_replace({spelled}, r'{pattern}', '{plain}')"
+    return spelled
 
 
-def has_offset(text: Column) -> Column:
-    """Whether a timestamp text names a zone offset."""
-    return text.rlike(_ZONED_ISO)
+def has_offset(name: str) -> Column:
+    """Whether an accepted timestamp text names a zone offset. No date or separator reaches position 12."""
+    signs = [f"contains(substr({name}, 12), '{sign}')" for sign in "Z+-"]
+    return F.expr(" or ".join(signs))
 
 
-def parse_timestamp(text: Column) -> Column:
-    """Zone-less timestamp of an ISO text; one with an offset is turned to UTC."""
-    since_epoch = F.unix_micros(_respelled(text).try_cast("timestamp")) / F.lit(1_000_000).cast("decimal(7,0)")
-    utc = at(EPOCH) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), since_epoch.cast("decimal(18,6)"))
-    return (
-        F.when(text.rlike(_PLAIN_ISO), text.try_cast("timestamp_ntz"))
-        .when(text.rlike(_LOCAL_ISO), _respelled(text).try_cast("timestamp_ntz"))
-        .when(has_offset(text), utc)
+def parse_timestamp(name: str) -> Column:
+    """Zone-less timestamp of the ISO text in column ``name``; one with an offset is turned to UTC."""
+    instant = f"try_cast({_respelled(name, _RESPELL + _FILL_SECONDS)} as timestamp)"
+    since_epoch = f"cast(unix_micros({instant}) / 1000000bd as decimal(18, 6))"
+    return F.expr(
+        f"""case
+        when {_matches(name, _PLAIN_ISO)} then try_cast({name} as timestamp_ntz)
+        when {_matches(name, _LOCAL_ISO)} then try_cast({_respelled(name, _RESPELL)} as timestamp_ntz)
+        when {_matches(name, _ZONED_ISO)}
+          then timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {since_epoch})
+        end"""
     )
 
 
-def parse_amount(text: Column) -> Column:
+def parse_amount(name: str) -> Column:
     """Double of a decimal text; spaces around it and single underscores between digits are allowed."""
-    return (
-        F.when(text.rlike(_PLAIN_NUMBER), text.try_cast("double"))
-        .when(text.rlike(_NUMBER), F.regexp_replace(text, r"[_ \t\n\x0B\f\r\x85\p{Z}]", "").try_cast("double"))
-        .when(text.rlike(_NAN), F.lit(float("nan")))
+    compact = f"regexp_replace({name}, r'{_SPACE_OR_UNDERSCORE}', '')"
+    return F.expr(
+        f"""case
+        when {_matches(name, _PLAIN_NUMBER)} then try_cast({name} as double)
+        when {_matches(name, _NUMBER)} then try_cast({compact} as double)
+        when {_matches(name, _NAN)} then double('nan')
+        end"""
     )
 
 
-def parse_failed(text: Column, parsed: Column) -> Column:
-    return F.coalesce(text != "", F.lit(False)) & parsed.isNull()
+def parse_failed(name: str, parsed: str) -> Column:
+    return F.expr(f"coalesce({name} <> '', false) and {parsed} is null")

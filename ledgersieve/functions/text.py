@@ -8,53 +8,45 @@ from pyspark.sql import functions as F
 from ledgersieve.schemas import FEED_FIELDS
 
 
-def line_hash(source: str = "source_name") -> Column:
-    """SHA-256 of the source name and the eight feed fields, joined with ``|``; an absent field counts as ''.
+# The hashed texts in order; an absent field counts as ''.
+_HASHED = ["source_name", *[f"coalesce({name}, '')" for name in FEED_FIELDS]]
+
+
+def line_hash() -> Column:
+    """SHA-256 of the source name and the eight feed fields, joined with ``|``.
 
     Known limit, kept for equal results: a ``|`` inside a field is not escaped (see ``has_separator``).
     """
-    fields = [F.coalesce(F.col(name), F.lit("")) for name in FEED_FIELDS]
-    return F.sha2(F.concat_ws("|", F.col(source), *fields), 256)
+    return F.expr(f"sha2(concat_ws('|', {', '.join(_HASHED)}), 256)")
 
 
-def has_separator(source: str = "source_name") -> Column:
+def has_separator() -> Column:
     """Whether any hashed field holds the separator, so that other fields could give the same hash."""
-    texts = [F.coalesce(F.col(name), F.lit("")) for name in [source, *FEED_FIELDS]]
-    return F.concat(*texts).contains("|")
-
-
-def skip_nulls(*parts: Column | str) -> Column:
-    """Join texts, leaving out nulls. ``concat`` would turn the whole text null."""
-    return F.concat_ws("", *[F.lit(p) if isinstance(p, str) else p for p in parts])
+    return F.expr(f"contains(concat({', '.join(_HASHED)}), '|')")
 
 
 def natural_key() -> Column:
-    return skip_nulls(
-        F.col("source_name"), "|", F.col("raw_transaction_id"), "|", F.col("posted_at").cast("string")
-    )
+    """Source, transaction id and posting time. Nulls are left out; ``concat`` would turn the key null."""
+    return F.expr("concat_ws('', source_name, '|', raw_transaction_id, '|', string(posted_at))")
 
 
-def plain_number(value: Column) -> Column:
-    """Shortest text of a double: plain digits from 1e-4 up to 1e16, else like ``1.5e+16`` or ``2e-05``.
+def plain_number(name: str) -> Column:
+    """Shortest text of a double column: plain digits from 1e-4 up to 1e16, else like ``1.5e+16`` or ``2e-05``.
 
     Spark's own cast turns to ``1.5E7`` much earlier.
     """
-    short = value.cast("string")
-    digits = short.try_cast("decimal(38,21)").cast("string")
-    spelled_out = F.regexp_replace(F.regexp_replace(digits, "0+$", ""), r"\.$", ".0")
-    mantissa = F.regexp_replace(F.regexp_extract(short, "^(.*)E", 1), r"\.0$", "")
-    exponent = F.regexp_extract(short, "E-?([0-9]+)$", 1)
-    scientific = F.concat(
-        mantissa,
-        F.when(short.contains("E-"), "e-").otherwise("e+"),
-        F.when(F.length(exponent) < 2, F.lpad(exponent, 2, "0")).otherwise(exponent),
-    )
-    size = F.abs(value)
-    return (
-        F.when(F.isnan(value), "nan")
-        .when(value == float("inf"), "inf")
-        .when(value == float("-inf"), "-inf")
-        .when(~short.contains("E"), short)
-        .when((size >= 1e-4) & (size < 1e16), spelled_out)
-        .otherwise(scientific)
+    short = f"string({name})"
+    digits = f"regexp_replace(string(try_cast({short} as decimal(38, 21))), '0+$', '')"
+    mantissa = f"regexp_replace(regexp_extract({short}, '^(.*)E', 1), r'\\.0$', '')"
+    exponent = f"regexp_extract({short}, 'E-?([0-9]+)$', 1)"
+    return F.expr(
+        f"""case
+        when isnan({name}) then 'nan'
+        when {name} = double('infinity') then 'inf'
+        when {name} = double('-infinity') then '-inf'
+        when not contains({short}, 'E') then {short}
+        when abs({name}) >= 1e-4 and abs({name}) < 1e16 then regexp_replace({digits}, r'\\.$', '.0')
+        else concat({mantissa}, if(contains({short}, 'E-'), 'e-', 'e+'),
+          lpad({exponent}, greatest(2, length({exponent})), '0'))
+        end"""
     )

@@ -14,17 +14,17 @@ from ledgersieve.schemas import SILVER
 
 def standardize(bronze: DataFrame) -> DataFrame:
     """Conformed values and the natural key, for rows that have a posting time."""
-    return bronze.where(F.col("posted_at").isNotNull()).select(
+    return bronze.where("posted_at is not null").select(
         text.natural_key().alias("natural_key"),
         "source_name",
         "raw_transaction_id",
         "account_id",
         "posted_at",
         "amount",
-        F.upper("currency").alias("currency"),
-        F.trim("description").alias("description"),
-        F.coalesce("updated_at", "posted_at").alias("updated_at"),
-        F.lower(F.coalesce("status", F.lit("posted"))).alias("status"),
+        F.expr("upper(currency) as currency"),
+        F.expr("trim(description) as description"),
+        F.expr("coalesce(updated_at, posted_at) as updated_at"),
+        F.expr("lower(coalesce(status, 'posted')) as status"),
         "load_run_id",
         "raw_line_hash",
     )
@@ -47,12 +47,8 @@ def silver(bronze: DataFrame, as_of: datetime) -> DataFrame:
     """Filters come after the ranking: a deleted latest version hides the versions before it."""
     return (
         latest_versions(standardize(bronze))
-        .where(
-            F.col("account_id").isNotNull()
-            & F.col("amount").isNotNull()
-            & (F.col("posted_at") <= clock.acceptance_limit(as_of))
-            & (F.col("status") != "deleted")
-        )
+        .where("account_id is not null and amount is not null and status <> 'deleted'")
+        .where(F.col("posted_at") <= clock.acceptance_limit(as_of))
         .withColumn("refreshed_at", clock.at(as_of))
         .select(SILVER.fieldNames())
     )

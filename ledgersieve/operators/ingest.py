@@ -40,17 +40,16 @@ def skip_replayed(hashed: DataFrame, seen: DataFrame) -> DataFrame:
 
 def parse_fields(feed: DataFrame) -> DataFrame:
     """Keep the text fields and add the typed ones with, for each, whether its text failed to parse."""
-    typed = feed.select(
+    return feed.select(
         "*",
-        parsing.parse_timestamp(F.col("posted_at")).alias("posted_ts"),
-        parsing.parse_amount(F.col("amount")).alias("amount_value"),
-        parsing.parse_timestamp(F.col("updated_at")).alias("updated_ts"),
-    )
-    return typed.select(
+        parsing.parse_timestamp("posted_at").alias("posted_ts"),
+        parsing.parse_amount("amount").alias("amount_value"),
+        parsing.parse_timestamp("updated_at").alias("updated_ts"),
+    ).select(
         "*",
-        parsing.parse_failed(F.col("posted_at"), F.col("posted_ts")).alias("posted_failed"),
-        parsing.parse_failed(F.col("amount"), F.col("amount_value")).alias("amount_failed"),
-        parsing.parse_failed(F.col("updated_at"), F.col("updated_ts")).alias("updated_failed"),
+        parsing.parse_failed("posted_at", "posted_ts").alias("posted_failed"),
+        parsing.parse_failed("amount", "amount_value").alias("amount_failed"),
+        parsing.parse_failed("updated_at", "updated_ts").alias("updated_failed"),
     )
 
 
@@ -62,10 +61,10 @@ def classify(parsed: DataFrame, as_of: datetime) -> DataFrame:
     """
     reason = (
         F.when(F.expr("posted_failed or amount_failed or updated_failed"), "parsing_error")
-        .when(F.coalesce(F.col("account_id"), F.lit("")) == "", "missing_account_id")
-        .when(F.col("amount_value").isNull(), "missing_amount")
-        .when(F.col("posted_ts").isNull(), "missing_posted_at")
-        .when(parsing.has_offset(F.col("posted_at")), "parsing_error")
+        .when(F.expr("coalesce(account_id, '') = ''"), "missing_account_id")
+        .when(F.expr("amount_value is null"), "missing_amount")
+        .when(F.expr("posted_ts is null"), "missing_posted_at")
+        .when(parsing.has_offset("posted_at"), "parsing_error")
         .when(F.col("posted_ts") > clock.acceptance_limit(as_of), "future_posted_at")
     )
     return parsed.withColumn("quarantine_reason", reason)
@@ -73,26 +72,26 @@ def classify(parsed: DataFrame, as_of: datetime) -> DataFrame:
 
 def route(classified: DataFrame, run_id: str, as_of: datetime, grain: str = "day") -> DataFrame:
     """One row shape for both routes: typed values for accepted rows, the raw text for rejected ones."""
-    accepted = F.col("quarantine_reason").isNull()
+    accepted = "quarantine_reason is null"
     return classified.select(
-        F.col("transaction_id").alias("raw_transaction_id"),
+        F.expr("transaction_id as raw_transaction_id"),
         "account_id",
-        F.when(accepted, F.col("posted_ts")).alias("posted_at"),
-        F.when(accepted, F.col("amount_value")).alias("amount"),
+        F.expr(f"if({accepted}, posted_ts, null) as posted_at"),
+        F.expr(f"if({accepted}, amount_value, null) as amount"),
         "currency",
         "description",
-        F.when(accepted, F.col("updated_ts")).alias("updated_at"),
+        F.expr(f"if({accepted}, updated_ts, null) as updated_at"),
         "status",
         "raw_line_hash",
-        F.when(~accepted, F.col("posted_at")).alias("posted_at_text"),
-        F.when(~accepted, F.col("amount")).alias("amount_text"),
-        F.when(~accepted, F.col("updated_at")).alias("updated_at_text"),
+        F.expr(f"if({accepted}, null, posted_at) as posted_at_text"),
+        F.expr(f"if({accepted}, null, amount) as amount_text"),
+        F.expr(f"if({accepted}, null, updated_at) as updated_at_text"),
         "quarantine_reason",
         clock.at(as_of).alias("recorded_at"),
         F.lit(run_id).alias("load_run_id"),
-        F.when(accepted, "bronze").otherwise("quarantine").alias("route"),
+        F.expr(f"if({accepted}, 'bronze', 'quarantine') as route"),
         "source_name",
-        F.when(accepted, clock.period_of(F.col("posted_ts"), grain)).alias("posted_period"),
+        F.when(F.expr(accepted), clock.period_of(F.col("posted_ts"), grain)).alias("posted_period"),
     )
 
 

@@ -54,23 +54,17 @@ def register_staging_view(silver: DataFrame, name: str = "stg_silver_transaction
 
 def financial_notes(silver: DataFrame) -> DataFrame:
     """One sentence per transaction that has a description (an empty one counts)."""
-    day = F.col("posted_at").cast("date")
-    return silver.where(F.col("description").isNotNull()).select(
+    sentence = F.concat_ws(
+        "",
+        F.expr("concat_ws('', 'Account ', account_id, ' posted ')"),
+        text.plain_number("amount"),
+        F.expr("concat_ws('', ' ', currency, ' on ', date(posted_at), '. Description: ', description)"),
+    )
+    return silver.where("description is not null").select(
         "natural_key",
         "account_id",
-        day.alias("transaction_date"),
+        F.expr("date(posted_at) as transaction_date"),
         "amount",
         "currency",
-        text.skip_nulls(
-            "Account ",
-            F.col("account_id"),
-            " posted ",
-            text.plain_number(F.col("amount")),
-            " ",
-            F.col("currency"),
-            " on ",
-            day.cast("string"),
-            ". Description: ",
-            F.col("description"),
-        ).alias("semantic_text"),
+        sentence.alias("semantic_text"),
     )

@@ -95,10 +95,7 @@ def _load_and_publish(
     record.records_quarantine = counts.quarantined
 
     silver_scope = refresh.refresh_silver(warehouse, as_of, full_refresh)
-    scopes = {
-        layer: refresh.refresh_scope(warehouse, layer, as_of, full_refresh or silver_scope.full)
-        for layer in PUBLISHED
-    }
+    scopes = refresh.refresh_scopes(warehouse, PUBLISHED, as_of, full_refresh or silver_scope.full)
 
     # What was published before has passed these checks and has not changed since, and a key cannot occur in
     # two periods; so checking the periods that are not published yet gives the same verdict as checking all.

@@ -43,7 +43,7 @@ def net_new_rows(warehouse: Warehouse, feed: DataFrame, run_id: str, as_of: date
     seen = _replay_candidates(warehouse, run_id)
     if seen.isEmpty():
         return ingest.route_feed(feed, run_id, as_of, warehouse.grain)
-    period = clock.period_of(parsing.parse_timestamp(F.col("posted_at")), warehouse.grain)
+    period = clock.period_of(parsing.parse_timestamp("posted_at"), warehouse.grain)
     spans = (
         feed.select("source_name", period.alias("period"), text.has_separator().alias("ambiguous"))
         .distinct()
@@ -104,37 +104,44 @@ class RefreshScope:
         return self.periods == []
 
 
-def refresh_scope(
-    warehouse: Warehouse, layer: str, as_of: datetime, force_full: bool = False
-) -> RefreshScope:
-    """Find the loads a layer does not hold yet, also those of earlier runs that failed half-way.
+def refresh_scopes(
+    warehouse: Warehouse, layers: list[str], as_of: datetime, force_full: bool = False
+) -> dict[str, RefreshScope]:
+    """For each layer, find the loads it does not hold yet, also those of earlier runs that failed half-way.
 
     A partial refresh equals a full one as long as the clock does not go back: rows accepted at one time pass
     the same check at any later one. If it went back, now or at the last refresh, the scope is full.
-    Run ids and periods come to the driver: a few per run, whatever the data size.
+    The refresh log comes to the driver whole: a row per run and layer, whatever the data size.
     """
-    log = warehouse.refreshes().where(F.col("layer") == layer)
-    last = log.agg(
-        F.max("refresh_number").alias("number"),
-        F.max_by("as_of", "refresh_number").alias("last_as_of"),
-        F.max("as_of").alias("latest_as_of"),
-    ).first()
-    number = (last.number or 0) + 1
+    log = warehouse.refreshes().collect()
     held = warehouse.routed().where("route = 'bronze'").select("load_run_id", PERIOD)
-    clock_went_back = last.number and (as_of < last.latest_as_of or last.last_as_of < last.latest_as_of)
-    if not force_full and last.number and not clock_went_back:
-        merged = [row.load_run_id for row in log.select("load_run_id").dropna().distinct().collect()]
-        pending = (
-            held.where(~F.col("load_run_id").isin(merged)).distinct().limit(MAX_LISTED_PERIODS + 1).collect()
-        )
+    scopes = {}
+    partial: dict[str, set[str]] = {}
+    numbers = {}
+    for layer in layers:
+        own = [row for row in log if row.layer == layer]
+        last = max(own, key=lambda row: row.refresh_number, default=None)
+        numbers[layer] = last.refresh_number + 1 if last else 1
+        latest_clock = max((row.as_of for row in own), default=None)
+        if last and not force_full and latest_clock <= as_of and latest_clock == last.as_of:
+            partial[layer] = {row.load_run_id for row in own if row.load_run_id}
+    if partial:
+        held_by_all = sorted(set.intersection(*partial.values()))
+        missing = held.where(~F.col("load_run_id").isin(held_by_all)).distinct()
+        pending = missing.limit(MAX_LISTED_PERIODS + 1).collect()
         if len(pending) <= MAX_LISTED_PERIODS:
-            return RefreshScope(
-                load_runs=sorted({row.load_run_id for row in pending}),
-                periods=sorted({row[PERIOD] for row in pending}),
-                number=number,
-            )
-    all_runs = [row.load_run_id for row in held.select("load_run_id").distinct().collect()]
-    return RefreshScope(load_runs=sorted(all_runs), periods=None, number=number)
+            for layer, merged in partial.items():
+                own = [row for row in pending if row.load_run_id not in merged]
+                scopes[layer] = RefreshScope(
+                    load_runs=sorted({row.load_run_id for row in own}),
+                    periods=sorted({row[PERIOD] for row in own}),
+                    number=numbers[layer],
+                )
+    rest = [layer for layer in layers if layer not in scopes]
+    if rest:
+        all_runs = sorted(row.load_run_id for row in held.select("load_run_id").distinct().collect())
+        scopes.update({layer: RefreshScope(all_runs, None, numbers[layer]) for layer in rest})
+    return scopes
 
 
 def _log_refresh(warehouse: Warehouse, layer: str, scope: RefreshScope, as_of: datetime) -> None:
@@ -150,12 +157,13 @@ def _log_refresh(warehouse: Warehouse, layer: str, scope: RefreshScope, as_of: d
 
 
 def refresh_silver(warehouse: Warehouse, as_of: datetime, force_full: bool = False) -> RefreshScope:
-    scope = refresh_scope(warehouse, "silver_transactions", as_of, force_full)
+    layer = "silver_transactions"
+    scope = refresh_scopes(warehouse, [layer], as_of, force_full)[layer]
     if scope.nothing_to_do:
         return scope
     bronze = warehouse.bronze() if scope.full else warehouse.bronze_of(scope.periods)
-    warehouse.replace_layer("silver_transactions", conform.silver(bronze, as_of), scope.periods)
-    _log_refresh(warehouse, "silver_transactions", scope, as_of)
+    warehouse.replace_layer(layer, conform.silver(bronze, as_of), scope.periods)
+    _log_refresh(warehouse, layer, scope, as_of)
     return scope
 
 

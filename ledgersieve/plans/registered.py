@@ -82,8 +82,7 @@ def _two_load_warehouse(spark: SparkSession, sf_dir: str, publish_too: bool = Fa
         refresh.load_feed(warehouse, delivery, run_id, AS_OF)
         refresh.refresh_silver(warehouse, AS_OF)
         if publish_too:
-            scopes = {layer: refresh.refresh_scope(warehouse, layer, AS_OF) for layer in layers}
-            refresh.publish_layers(warehouse, AS_OF, scopes)
+            refresh.publish_layers(warehouse, AS_OF, refresh.refresh_scopes(warehouse, layers, AS_OF))
     return warehouse
 
 

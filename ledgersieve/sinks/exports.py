@@ -23,7 +23,7 @@ def export_notes_csv(notes: DataFrame, path: str) -> None:
     however many rows that holds.
     """
     (
-        notes.withColumn("amount", text.plain_number(F.col("amount")))
+        notes.withColumn("amount", text.plain_number("amount"))
         .orderBy("transaction_date", "account_id", "natural_key")
         .write.mode("overwrite")
         .option("header", True)

@@ -8,88 +8,67 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 AS_OF = datetime(2024, 1, 29)
 REPORT_TIME = datetime(2024, 1, 31)
 
 
-def _every(n: int, key: Column) -> Column:
-    return key % n == 0
-
-
-def _iso_seconds(moment: Column) -> Column:
-    return F.replace(F.substr(moment.cast("string"), F.lit(1), F.lit(19)), F.lit(" "), F.lit("T"))
-
-
-def _iso_micros(moment: Column) -> Column:
-    text = moment.cast("string")
-    dotted = F.when(text.contains("."), text).otherwise(F.concat(text, F.lit(".")))
-    return F.replace(F.rpad(dotted, 26, "0"), F.lit(" "), F.lit("T"))
+# ISO text of a zone-less timestamp, to whole seconds or with six decimals. The text of a whole second has no
+# fraction, so the decimal point is set as well as the zeros.
+_ISO_SECONDS = "replace(substr(string({0}), 1, 19), ' ', 'T')"
+_ISO_MICROS = "replace(overlay(rpad(string({0}), 26, '0') placing '.' from 20), ' ', 'T')"
 
 
 def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("o_orderkey")
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        F.lit("source_a").alias("source_name"),
-        F.concat(F.lit("A"), k).alias("transaction_id"),
-        F.when(_every(97, k), "").otherwise(F.concat(F.lit("ACC-"), "o_custkey")).alias("account_id"),
-        F.when(_every(211, k), "").otherwise(_iso_seconds(F.col("o_orderdate"))).alias("posted_at"),
-        F.when(_every(89, k), "abc")
-        .when(_every(83, k), "")
-        .otherwise(F.col("o_totalprice").cast("string"))
-        .alias("amount"),
-        F.when(k % 3 == 0, "USD").when(k % 3 == 1, "usd").otherwise("Usd").alias("currency"),
-        F.concat(F.lit(" "), "o_orderpriority", F.lit(" ")).alias("description"),
-        F.when(_every(5, k), "")
-        .otherwise(
-            _iso_seconds(
-                F.col("o_orderdate")
-                + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (k % 3600).cast("decimal(18,6)"))
-            )
+    updated = _ISO_SECONDS.format("o_orderdate + make_dt_interval(0, 0, 0, k % 3600)")
+    return (
+        spark.read.parquet(f"{sf_dir}/orders.parquet")
+        .withColumnRenamed("o_orderkey", "k")
+        .selectExpr(
+            "'source_a' as source_name",
+            "'A' || k as transaction_id",
+            "if(k % 97 = 0, '', 'ACC-' || o_custkey) as account_id",
+            f"if(k % 211 = 0, '', {_ISO_SECONDS.format('o_orderdate')}) as posted_at",
+            "case when k % 89 = 0 then 'abc' when k % 83 = 0 then '' else string(o_totalprice) end as amount",
+            "case k % 3 when 0 then 'USD' when 1 then 'usd' else 'Usd' end as currency",
+            "' ' || o_orderpriority || ' ' as description",
+            f"if(k % 5 = 0, '', {updated}) as updated_at",
+            "case when k % 50 = 0 then 'Deleted' when o_orderstatus = 'P' then 'pending' else 'posted' end"
+            " as status",
         )
-        .alias("updated_at"),
-        F.when(_every(50, k), "Deleted")
-        .when(F.col("o_orderstatus") == "P", "pending")
-        .otherwise("posted")
-        .alias("status"),
     )
 
 
 def events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One scan of ``events``; copies and corrections come from an array of row kinds, not from re-reading."""
-    k = F.col("event_id")
-    kinds = F.array_compact(
-        F.array(
-            F.lit("base"),
-            F.when(_every(7, k), "copy"),
-            F.when(_every(10, k), "correction"),
-        )
-    )
-    corrected = F.col("kind") == "correction"
-    rows = (
+    corrected = "kind = 'correction'"
+    updated = _ISO_MICROS.format(f"ts + if({corrected}, interval '86400' second, interval '60' second)")
+    return (
         spark.read.parquet(f"{sf_dir}/events.parquet")
-        .select("event_id", "ts", "user_id", "event_type", "value")
-        .withColumn("kind", F.explode(kinds))
-    )
-    return rows.select(
-        F.lit("source_b").alias("source_name"),
-        F.concat(F.lit("B"), k).alias("transaction_id"),
-        F.when(_every(101, k), "").otherwise(F.concat(F.lit("ACC-"), "user_id")).alias("account_id"),
-        _iso_micros(F.col("ts")).alias("posted_at"),
-        F.when(_every(103, k), "abc")
-        .when(corrected, (k % 500 + 0.25).cast("string"))
-        .otherwise(F.col("value").cast("string"))
-        .alias("amount"),
-        F.lit("USD").alias("currency"),
-        F.col("event_type").alias("description"),
-        _iso_micros(
-            F.when(corrected, F.col("ts") + F.expr("interval 1 day")).otherwise(
-                F.col("ts") + F.expr("interval 60 seconds")
-            )
-        ).alias("updated_at"),
-        F.when(corrected & _every(40, k), "DELETED").otherwise("posted").alias("status"),
+        .withColumnRenamed("event_id", "k")
+        .selectExpr(
+            "k",
+            "ts",
+            "user_id",
+            "event_type",
+            "value",
+            "explode(array_compact(array('base', if(k % 7 = 0, 'copy', null),"
+            " if(k % 10 = 0, 'correction', null)))) as kind",
+        )
+        .selectExpr(
+            "'source_b' as source_name",
+            "'B' || k as transaction_id",
+            "if(k % 101 = 0, '', 'ACC-' || user_id) as account_id",
+            f"{_ISO_MICROS.format('ts')} as posted_at",
+            f"case when k % 103 = 0 then 'abc' when {corrected} then string(k % 500 + 0.25)"
+            " else string(value) end as amount",
+            "'USD' as currency",
+            "event_type as description",
+            f"{updated} as updated_at",
+            f"if({corrected} and k % 40 = 0, 'DELETED', 'posted') as status",
+        )
     )
 
 
@@ -104,31 +83,27 @@ def first_delivery(feed: DataFrame) -> DataFrame:
 
 def daily_run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run-audit table with one run per day of ``events``."""
-    day = F.col("ts").cast("date")
     errors = F.count_if(F.col("event_type") == "error")
     return (
         spark.read.parquet(f"{sf_dir}/events.parquet")
-        .groupBy(day.alias("day"))
+        .groupBy(F.col("ts").cast("date").alias("day"))
         .agg(
             F.min("ts").alias("start_ts"),
             F.max("ts").alias("end_ts"),
-            F.when(errors > 70, "failed").otherwise("success").alias("status"),
             F.count("*").alias("records_ingested"),
             F.countDistinct("user_id").alias("records_silver"),
             errors.alias("records_quarantine"),
             (F.max("event_id") % 1000).alias("freshness_lag_minutes"),
         )
-        .select(
-            F.concat(F.lit("run-"), F.replace(F.col("day").cast("string"), F.lit("-"), F.lit(""))).alias(
-                "run_id"
-            ),
+        .selectExpr(
+            "'run-' || replace(string(day), '-', '') as run_id",
             "start_ts",
             "end_ts",
-            "status",
+            "if(records_quarantine > 70, 'failed', 'success') as status",
             "records_ingested",
             "records_silver",
             "records_quarantine",
             "freshness_lag_minutes",
-            F.when(F.col("status") == "failed", "too many errors").alias("error_message"),
+            "if(records_quarantine > 70, 'too many errors', null) as error_message",
         )
     )
