@@ -39,10 +39,10 @@ def lag_minutes(moment: Column, as_of: datetime) -> Column:
 
 
 def period_of(moment: Column, grain: str) -> Column:
-    """Storage period of a timestamp: its day, or the first day of its month."""
+    """Storage period of a timestamp: its day, or the first day of its month or year."""
     day = moment.cast("date")
     if grain == "day":
         return day
-    if grain == "month":
-        return F.trunc(day, "month")
-    raise ValueError(f"grain must be 'day' or 'month', not {grain!r}")
+    if grain in ("month", "year"):
+        return F.trunc(day, grain)
+    raise ValueError(f"grain must be 'day', 'month' or 'year', not {grain!r}")

@@ -266,7 +266,7 @@ _FINAL = {
     "feed_union": "SELECT * FROM feed",
     "object_store_feed": "SELECT * FROM counters",
     "landing_objects": """
-    SELECT DISTINCT source_name, substr(posted_at, 1, 7) AS delivery_month, true AS has_bytes
+    SELECT DISTINCT source_name, substr(posted_at, 1, 4) AS delivery_year, true AS has_bytes
     FROM feed WHERE posted_at <> ''
     """,
     "feed_line_hash": "SELECT source_name, transaction_id, raw_line_hash FROM hashed",

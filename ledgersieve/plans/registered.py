@@ -13,7 +13,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgersieve.functions import clock
 from ledgersieve.operators import conform, ingest, publish, quality, report
 from ledgersieve.plans import refresh
 from ledgersieve.plans.daily_run import run_daily
@@ -32,6 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 RUN_1 = "run-20240129000000-00000001"
 RUN_2 = "run-20240129000000-00000002"
 EARLIER = datetime(2024, 1, 15)
+GRAIN = "year"  # the tables hold few rows per month
 RANGE = (datetime(1998, 3, 10), datetime(1998, 7, 20))
 
 REGISTERED: dict[str, Query] = {}
@@ -75,7 +75,7 @@ def _redelivery(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
 def _two_load_warehouse(spark: SparkSession, sf_dir: str, publish_too: bool = False) -> Warehouse:
     """A stored warehouse after both deliveries; the second refresh covers only what the load touched."""
-    warehouse = Warehouse(spark, scratch_dir(spark, "warehouse"), grain="month")
+    warehouse = Warehouse(spark, scratch_dir(spark, "warehouse"), GRAIN)
     feed = derived.transaction_feed(spark, sf_dir)
     layers = ["gold_daily_account_summary", "ai_ready_financial_notes"]
     for run_id, delivery in [(RUN_1, derived.first_delivery(feed)), (RUN_2, feed)]:
@@ -125,15 +125,15 @@ def object_store_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def landing_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land the feed by source and posting month, then list the landing zone: which deliveries are there."""
+    """Land the feed by source and posting year, then list the landing zone: which deliveries are there."""
     root = scratch_dir(spark, "landing")
-    month = F.substr("posted_at", F.lit(1), F.lit(7))
+    year = F.substr("posted_at", F.lit(1), F.lit(4))
     (
         derived.transaction_feed(spark, sf_dir)
         .where("posted_at != ''")
-        .withColumn("delivery_month", month)
-        .hint("rebalance", "source_name", "delivery_month")
-        .write.partitionBy("source_name", "delivery_month")
+        .withColumn("delivery_year", year)
+        .hint("rebalance", "source_name", "delivery_year")
+        .write.partitionBy("source_name", "delivery_year")
         .option("header", True)
         .csv(root)
     )
@@ -141,10 +141,10 @@ def landing_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         objects.groupBy(
             F.regexp_extract("path", "source_name=([^/]*)/", 1).alias("source_name"),
-            F.regexp_extract("path", "delivery_month=([^/]*)/", 1).alias("delivery_month"),
+            F.regexp_extract("path", "delivery_year=([^/]*)/", 1).alias("delivery_year"),
         )
         .agg((F.sum("length") > 0).alias("has_bytes"))
-        .select("source_name", "delivery_month", "has_bytes")
+        .select("source_name", "delivery_year", "has_bytes")
     )
 
 
@@ -273,8 +273,8 @@ def gold_incremental_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def silver_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A range of posting times from stored silver: only the months that overlap it are read."""
-    warehouse = Warehouse(spark, scratch_dir(spark, "warehouse"), grain="month")
+    """A range of posting times from stored silver: only the years that overlap it are read."""
+    warehouse = Warehouse(spark, scratch_dir(spark, "warehouse"), GRAIN)
     warehouse.replace_layer("silver_transactions", _silver(spark, sf_dir))
     return warehouse.silver_between(*RANGE)
 
@@ -394,8 +394,8 @@ def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One whole run over the feed; its audit row, without the measured end time."""
     base = scratch_dir(spark, "warehouse")
     feed = derived.transaction_feed(spark, sf_dir)
-    run_daily(spark, feed, base, run_id=RUN_1, as_of=AS_OF, grain="month")
-    return Warehouse(spark, base, "month").runs().drop("end_ts")
+    run_daily(spark, feed, base, run_id=RUN_1, as_of=AS_OF, grain=GRAIN)
+    return Warehouse(spark, base, GRAIN).runs().drop("end_ts")
 
 
 @_register

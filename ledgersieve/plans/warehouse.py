@@ -9,7 +9,9 @@ Layout under ``base_dir``:
 ``pipeline_runs``, ``layer_refreshes``, ``settings``
     small tables with a few rows per run.
 
-``posted_period`` is the day of ``posted_at``, or the first day of its month with ``grain="month"``.
+``posted_period`` is the day of ``posted_at``, or the first day of its month or year, as the grain says. Choose
+the finest grain at which a period still fills a file (100 MB or more): a coarser one re-ranks more rows per
+late row, a finer one writes many small files.
 """
 
 from __future__ import annotations

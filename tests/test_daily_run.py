@@ -12,6 +12,7 @@ from pathlib import Path
 import pytest
 from conftest import AS_OF, FEED_A, line, rows_of, write_csv
 
+from ledgersieve.functions import clock
 from ledgersieve.operators import report
 from ledgersieve.plans import refresh
 from ledgersieve.plans.daily_run import RunFailed, new_run_id, run_daily
@@ -307,6 +308,7 @@ def test_warehouse_keeps_its_grain(spark, tmp_path):
         Warehouse(spark, str(tmp_path / "wh"), "day")
     with pytest.raises(ValueError, match="grain"):
         Warehouse(spark, str(tmp_path / "other"), "week")
+    assert rows_of(spark.range(1).select(clock.period_of(clock.at(AS_OF), "year"))) == [(date(2026, 1, 1),)]
 
 
 def test_run_ids():
