@@ -1,8 +1,8 @@
 """Checked parsing of feed text. A value that does not parse gives null; a blank one also gives null,
 so ``parse_failed`` tells the two apart.
 
-The expressions are SQL text over a column name: one expression each, however long, with the text column named
-a few times only.
+The expressions are kept short on purpose: all parsing of a row ends up in one generated method, and the JVM
+only compiles methods below 8,000 bytes of bytecode (longer ones are interpreted, many times slower).
 """
 
 from __future__ import annotations
@@ -19,21 +19,16 @@ _PLAIN_ISO = r"^(?!0000)\d{4}-\d{2}-\d{2}(?:[T ]\d{2}(?::\d{2}(?::\d{2}(?:\.\d+)
 _DATE = r"(?!0000)(?:\d{4}-\d{2}-\d{2}|\d{8})"
 _CLOCK = r"(?:\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?|\d{4}(?:\d{2}(?:[.,]\d+)?)?)"
 _OFFSET = r"(?:Z|[+-]\d{2}(?::?[0-5]\d(?::?[0-5]\d)?)?)"
-_LOCAL_ISO = rf"(?s)^{_DATE}(?:.{_CLOCK})?\z"
-_ZONED_ISO = rf"(?s)^{_DATE}.{_CLOCK}{_OFFSET}\z"
+_ANY_ISO = rf"(?s)^{_DATE}(?:.{_CLOCK}{_OFFSET}?)?\z"
 
-# Rewrites to the plain spelling, in this order.
+# Rewrites of an accepted text to a full one with a zone, in this order.
 _RESPELL = [
-    (r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3"),
-    (r"(?s)^(.{10}).", "$1T"),
-    (r"T(\d{2})(\d{2})(\d{2})", "T$1:$2:$3"),
-    (r"T(\d{2})(\d{2})", "T$1:$2"),
-    (r",", "."),
+    (r"(?s)^(\d{4})-?(\d{2})-?(\d{2}).?", "$1-$2-$3T"),
+    (r"(T[\d:]*)", "$1000000"),  # more than enough digits for the clock: group 1, then six zeros
+    (r"T(\d{2}):?(\d{2}):?(\d{2})\d*", "T$1:$2:$3"),
+    (r"(T[\d:.,]*)\z", "$1Z"),
 ]
 
-# Spark reads an offset only after seconds.
-_FILL_SECONDS = [(r"T(\d{2})([Z+-])", "T$1:00$2"), (r"T(\d{2}:\d{2})([Z+-])", "T$1:00$2")]
-
 _SPACE_OR_UNDERSCORE = r"[_ \t\n\x0B\f\r\x85\p{Z}]"
 _SPACE = r"[ \t\n\x0B\f\r\x85\p{Z}]*+"
 _DIGITS = r"\d++(?:_\d++)*+"
@@ -49,13 +44,6 @@ def _matches(name: str, pattern: str) -> str:
     return f"rlike({name}, r'{pattern}')"
 
 
-def _respelled(name: str, rewrites: list[tuple[str, str]]) -> str:
-    spelled = name
-    for pattern, plain in rewrites:
-        spelled = f"regexp_replace({spelled}, r'{pattern}', '{plain}')"
-    return spelled
-
-
 def has_offset(name: str) -> Column:
     """Whether an accepted timestamp text names a zone offset. No date or separator reaches position 12."""
     signs = [f"contains(substr({name}, 12), '{sign}')" for sign in "Z+-"]
@@ -63,14 +51,19 @@ def has_offset(name: str) -> Column:
 
 
 def parse_timestamp(name: str) -> Column:
-    """Zone-less timestamp of the ISO text in column ``name``; one with an offset is turned to UTC."""
-    instant = f"try_cast({_respelled(name, _RESPELL + _FILL_SECONDS)} as timestamp)"
+    """Zone-less timestamp of the ISO text in column ``name``; one with an offset is turned to UTC.
+
+    The uncommon spellings go through an instant: a cast to a zone-less type would ignore the offset.
+    """
+    full = name
+    for pattern, rewritten in _RESPELL:
+        full = f"regexp_replace({full}, r'{pattern}', '{rewritten}')"
+    instant = f"try_cast(replace({full}, ',', '.') as timestamp)"
     since_epoch = f"cast(unix_micros({instant}) / 1000000bd as decimal(18, 6))"
     return F.expr(
         f"""case
         when {_matches(name, _PLAIN_ISO)} then try_cast({name} as timestamp_ntz)
-        when {_matches(name, _LOCAL_ISO)} then try_cast({_respelled(name, _RESPELL)} as timestamp_ntz)
-        when {_matches(name, _ZONED_ISO)}
+        when {_matches(name, _ANY_ISO)}
           then timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {since_epoch})
         end"""
     )
