@@ -70,39 +70,46 @@ def classify(parsed: DataFrame, as_of: datetime) -> DataFrame:
     return parsed.withColumn("quarantine_reason", reason)
 
 
-def route(classified: DataFrame, run_id: str, as_of: datetime, grain: str = "day") -> DataFrame:
+def typed_or_text(classified: DataFrame) -> DataFrame:
     """One row shape for both routes: typed values for accepted rows, the raw text for rejected ones."""
     accepted = "quarantine_reason is null"
-    return classified.select(
-        F.expr("transaction_id as raw_transaction_id"),
+    return classified.selectExpr(
+        "source_name",
+        "transaction_id as raw_transaction_id",
         "account_id",
-        F.expr(f"if({accepted}, posted_ts, null) as posted_at"),
-        F.expr(f"if({accepted}, amount_value, null) as amount"),
+        f"if({accepted}, posted_ts, null) as posted_at",
+        f"if({accepted}, amount_value, null) as amount",
         "currency",
         "description",
-        F.expr(f"if({accepted}, updated_ts, null) as updated_at"),
+        f"if({accepted}, updated_ts, null) as updated_at",
         "status",
         "raw_line_hash",
-        F.expr(f"if({accepted}, null, posted_at) as posted_at_text"),
-        F.expr(f"if({accepted}, null, amount) as amount_text"),
-        F.expr(f"if({accepted}, null, updated_at) as updated_at_text"),
+        f"if({accepted}, null, posted_at) as posted_at_text",
+        f"if({accepted}, null, amount) as amount_text",
+        f"if({accepted}, null, updated_at) as updated_at_text",
         "quarantine_reason",
+    )
+
+
+def label(rows: DataFrame, run_id: str, as_of: datetime, grain: str = "day") -> DataFrame:
+    """Add what follows from the run and the other columns, so that it need not go through a shuffle."""
+    return rows.select(
+        "*",
         clock.at(as_of).alias("recorded_at"),
         F.lit(run_id).alias("load_run_id"),
-        F.expr(f"if({accepted}, 'bronze', 'quarantine') as route"),
-        "source_name",
-        F.when(F.expr(accepted), clock.period_of(F.col("posted_ts"), grain)).alias("posted_period"),
+        F.expr("if(quarantine_reason is null, 'bronze', 'quarantine')").alias("route"),
+        clock.period_of(F.col("posted_at"), grain).alias("posted_period"),
     )
 
 
 def route_feed(feed: DataFrame, run_id: str, as_of: datetime, grain: str = "day") -> DataFrame:
     """The distinct rows of a feed, routed.
 
-    Routing comes before the shuffle that finds copies: typed values are smaller than their text, and a
-    filter on the route cannot move below that shuffle, which would evaluate the parsing a second time.
+    Parsing comes before the shuffle that finds copies: typed values are smaller than their text, and a filter
+    on the route cannot move below that shuffle, which would evaluate the parsing a second time.
     """
-    parsed = parse_fields(add_line_hash(feed))
-    return drop_exact_copies(route(classify(parsed, as_of), run_id, as_of, grain))
+    classified = classify(parse_fields(add_line_hash(feed)), as_of)
+    return label(drop_exact_copies(typed_or_text(classified)), run_id, as_of, grain)
 
 
 def _columns(schema: T.StructType) -> list[str]:
