@@ -187,10 +187,10 @@ class Warehouse:
         order = [PERIOD, "run_date", "account_id", "currency"] if "run_date" in schema.fieldNames() else [PERIOD]
         (
             placed.hint("rebalance", PERIOD)
-            .sortWithinPartitions(*order)
-            # Directly below the write, where AQE keeps it also if no row is left. The written periods come
-            # back as a set, which a task that runs again cannot change.
+            # Above the shuffle, where AQE keeps it also if no row is left. The written periods come back as a
+            # set, which a task that runs again cannot change.
             .observe(written, F.collect_set(PERIOD).alias("periods"))
+            .sortWithinPartitions(*order)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(PERIOD)

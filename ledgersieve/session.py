@@ -17,16 +17,23 @@ JOB_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
-# One reduce task should hold about this much shuffled data, so that it sorts without spilling much.
-SHUFFLE_TARGET_BYTES = 128 * 1024 * 1024
+TASK_BYTES = 128 * 1024 * 1024
+MAX_TASKS = 30_000
 
 
-def shuffle_partitions_for(shuffled_bytes: int, at_least: int = 8) -> int:
-    """Starting shuffle partitions for a job that shuffles ``shuffled_bytes``; 100 TB gives about 800,000.
+def size_settings(input_bytes: int) -> dict[str, str]:
+    """Settings that follow the input size: how much one scan task and one reduce task handle.
 
-    AQE merges partitions that turn out small, so erring on the high side costs little.
+    Tasks take about 128 MB until there are 30,000 of them; then they grow instead, as the driver keeps one entry
+    per map task and reduce partition. 100 TB gives 3.3 GB tasks: their sorts spill, but the job stays plannable.
+    AQE merges reduce partitions that turn out small and splits skewed ones.
     """
-    return max(at_least, -(-shuffled_bytes // SHUFFLE_TARGET_BYTES))
+    task_bytes = max(TASK_BYTES, -(-input_bytes // MAX_TASKS))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(task_bytes),
+        "spark.sql.shuffle.partitions": str(max(8, -(-input_bytes // task_bytes))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
+    }
 
 
 def build_session(

@@ -7,6 +7,7 @@ import json
 import random
 from contextlib import redirect_stdout
 from datetime import date, datetime, timedelta
+from functools import partial
 from pathlib import Path
 
 import pytest
@@ -15,10 +16,13 @@ from conftest import AS_OF, FEED_A, line, rows_of, write_csv
 from ledgersieve.functions import clock
 from ledgersieve.operators import report
 from ledgersieve.plans import refresh
-from ledgersieve.plans.daily_run import RunFailed, new_run_id, run_daily
+from ledgersieve.plans.daily_run import RunFailed, new_run_id
+from ledgersieve.plans.daily_run import run_daily as run_with_export
 from ledgersieve.plans.warehouse import Warehouse
 from ledgersieve.schemas import FEED_FIELDS
 
+run_daily = partial(run_with_export, export_notes=False)
+
 GOLDEN_GOLD = [
     (date(2026, 5, 19), "ACC-006", "USD", 100.0, 1),
     (date(2026, 5, 20), "ACC-001", "USD", 1204.41, 2),
@@ -44,7 +48,7 @@ def content(warehouse, *ignored):
 
 def test_golden_run_then_replay_then_later_clock(spark, tmp_path, sources):
     base = str(tmp_path / "wh")
-    first = run_daily(spark, sources, base, run_id="run-1", as_of=AS_OF)
+    first = run_with_export(spark, sources, base, run_id="run-1", as_of=AS_OF)
     warehouse = Warehouse(spark, base)
     assert vars(first) == {
         "run_id": "run-1",
@@ -57,6 +61,8 @@ def test_golden_run_then_replay_then_later_clock(spark, tmp_path, sources):
     }
     assert gold_of(warehouse) == GOLDEN_GOLD
     assert warehouse.notes().count() == 8
+    exported = spark.read.option("header", True).csv(f"{base}/exports/ai_ready_financial_notes")
+    assert exported.count() == 8 and exported.columns == warehouse.notes().columns
     reasons = rows_of(report.quarantine_breakdown(warehouse.quarantine()))
     assert reasons == [("future_posted_at", 1), ("missing_account_id", 1), ("parsing_error", 1)]
     before = content(warehouse)

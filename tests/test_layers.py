@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgersieve.functions import clock, text
 from ledgersieve.operators import conform, ingest, publish, quality, report
 from ledgersieve.schemas import BRONZE, PIPELINE_RUNS, QUARANTINE, SILVER
+from ledgersieve.session import scratch_dir, size_settings
 from ledgersieve.sinks.appends import append_metrics, append_run_audit
 from ledgersieve.sinks.exports import export_notes_csv, promote_tables, write_report_csv
 
@@ -364,3 +365,17 @@ def test_feed_to_silver_with_blank_fields(spark, feed):
     assert (row.status, row.currency, row.description, row.updated_at) == ("", "", "", datetime(2026, 5, 20, 8))
     assert publish.financial_notes(silver).count() == 1
     assert quality.run_quality_checks(silver, AS_OF).passed
+
+
+def test_task_sizes_follow_the_input():
+    small, large = size_settings(10**9), size_settings(100 * 10**12)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    assert small["spark.sql.files.maxPartitionBytes"] == str(128 * 1024 * 1024)
+    assert int(large["spark.sql.shuffle.partitions"]) <= 30_000
+
+
+def test_scratch_folders_are_new_and_shared(spark):
+    first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert first != second
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    assert shared is None or first.startswith(shared)
