@@ -59,6 +59,7 @@ def classify(parsed: DataFrame, as_of: datetime) -> DataFrame:
     A posting time with a zone offset cannot be compared with the zone-less clock, so it counts as a parsing
     error once the earlier reasons are ruled out.
     """
+    # The five reasons.
     reason = (
         F.when(F.expr("posted_failed or amount_failed or updated_failed"), "parsing_error")
         .when(F.expr("coalesce(account_id, '') = ''"), "missing_account_id")

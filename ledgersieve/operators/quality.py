@@ -24,6 +24,7 @@ def quality_checks(rows: DataFrame, as_of: datetime) -> DataFrame:
     The first two need no grouping and share one pass; they and the key check read different columns, so
     nothing is scanned twice.
     """
+    # The three check names.
     by_row = rows.agg(
         F.count_if(F.col("account_id").isNull() | F.col("currency").isNull()).alias("null_keys"),
         F.count_if(F.col("posted_at") > clock.acceptance_limit(as_of)).alias("future_rows"),
@@ -98,7 +99,7 @@ def rule_unique(model: str, rows: DataFrame, column: str) -> DataFrame:
 
 
 def published_model_rules(staged: DataFrame, mart: DataFrame) -> DataFrame:
-    """The rule set of the two published models."""
+    """The rule set of the two published models (fixed values: models, columns, accepted currency)."""
     return reduce(
         DataFrame.unionByName,
         [

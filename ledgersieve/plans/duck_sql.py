@@ -249,12 +249,10 @@ _ROUTED_COLUMNS = (
 _REPORT = """
 SELECT l.run_id, l.status AS latest_status, l.duration_seconds, l.records_ingested, l.records_silver,
   l.records_quarantine, l.freshness_lag_minutes, s.runs_last_7d, s.successful_runs_last_7d,
-  CASE WHEN s.runs_last_7d = 0 THEN NULL
-    ELSE round(s.successful_runs_last_7d::DOUBLE / s.runs_last_7d::DOUBLE * 100, 2)
-    END AS success_rate_last_7d,
+  round(s.successful_runs_last_7d / nullif(s.runs_last_7d, 0) * 100, 2) AS success_rate_last_7d,
   s.avg_quarantine_last_7d, s.avg_freshness_lag_last_7d, s.avg_duration_seconds_last_7d,
   t.top_quarantine_reasons, l.error_message
-FROM latest l CROSS JOIN stats s CROSS JOIN top_reasons t
+FROM latest l, stats s, top_reasons t
 """
 _DRIFTED = _TYPED.format(
     rows="""(SELECT DISTINCT source_name, transaction_id, account_id, posted_at,
