@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgersieve.llm import packing, sharding, tokenfiles, warc
-from ledgersieve.llm.shared import new_folder
+from ledgersieve.llm import language, packing, quality, sharding, tokenfiles, toxicity, warc
+from ledgersieve.llm.shared import held_out_is, new_folder
 
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -25,6 +25,31 @@ def op1_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(*warc.write_archive(_table(spark, sf_dir, "pages")))
 
 
+def _judged(scores: DataFrame, held_out: Column, threshold: float) -> DataFrame:
+    return scores.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+    )
+
+
+def op3_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = _table(spark, sf_dir, "documents").select("doc_id", "text"), held_out_is("doc_id", 4, 2)
+    model = toxicity.fit_toxicity(docs.where(~held_out), _table(spark, sf_dir, "labels"))
+    return _judged(toxicity.toxicity(docs, model, keep_text=False), held_out, toxicity.THRESHOLD)
+
+
+def op6_code_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = _table(spark, sf_dir, "documents"), held_out_is("doc_id", 3, 1)
+    model = language.fit_language(docs.where(~held_out))
+    found = language.identify(docs.select("doc_id", "text"), model, keep_text=False)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op10_nb_support_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = _table(spark, sf_dir, "documents").select("doc_id", "text"), held_out_is("doc_id", 5, 0)
+    model = quality.fit_quality(docs.where(~held_out), _table(spark, sf_dir, "labels"))
+    return _judged(quality.quality(docs, model, keep_text=False), held_out, quality.THRESHOLD)
+
+
 def op4_ranked_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read_token_files(*tokenfiles.write_token_files(_table(spark, sf_dir, "documents")))
 
@@ -50,9 +75,12 @@ def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_seekable_warc": op1_seekable_warc,
+    "op3_compression_toxicity": op3_compression_toxicity,
     "op4_ranked_token_files": op4_ranked_token_files,
     "op5_histogram_packing": op5_histogram_packing,
+    "op6_code_language": op6_code_language,
     "op9_virtual_slots": op9_virtual_slots,
+    "op10_nb_support_vectors": op10_nb_support_vectors,
 }
 
 #: SQL for the queries that it can express.

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgersieve.session import scratch_dir
 
@@ -77,3 +78,26 @@ def text_chunks(
                 start, total = i + 1, 0
         if start < len(texts):
             yield batch.slice(start), texts[start:]
+
+
+def scored(
+    docs: DataFrame,
+    make: Callable[[], Callable[[list[str | None]], list[pa.Array]]],
+    added: str,
+    keep_text: bool = True,
+) -> DataFrame:
+    """Add columns that a function makes from runs of whole texts. ``make`` is called once a task.
+
+    ``added`` names them with their types; columns of the input with such names are replaced.
+    """
+    fields = T.StructType.fromDDL(added).fields
+    rows = docs.drop(*(f.name for f in fields)).withColumn("text", F.col("text").cast("string"))
+    kept = [f for f in rows.schema.fields if keep_text or f.name != "text"]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = make()
+        for batch, texts in text_chunks(batches):
+            columns = [batch.column(f.name) for f in kept] + score(texts)
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in kept + fields])
+
+    return rows.mapInArrow(run, T.StructType(kept + fields))
