@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgersieve.llm import language, packing, quality, sharding, tokenfiles, toxicity, warc
+from ledgersieve.llm import ann, decontamination, language, packing, quality, sharding, tokenfiles, toxicity, warc
 from ledgersieve.llm.shared import held_out_is, new_folder
 
 
@@ -25,6 +25,14 @@ def op1_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(*warc.write_archive(_table(spark, sf_dir, "pages")))
 
 
+def op2_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op7_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def _judged(scores: DataFrame, held_out: Column, threshold: float) -> DataFrame:
     return scores.select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
@@ -75,10 +83,12 @@ def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_seekable_warc": op1_seekable_warc,
+    "op2_qgram_decontamination": op2_qgram_decontamination,
     "op3_compression_toxicity": op3_compression_toxicity,
     "op4_ranked_token_files": op4_ranked_token_files,
     "op5_histogram_packing": op5_histogram_packing,
     "op6_code_language": op6_code_language,
+    "op7_projection_forest": op7_projection_forest,
     "op9_virtual_slots": op9_virtual_slots,
     "op10_nb_support_vectors": op10_nb_support_vectors,
 }
