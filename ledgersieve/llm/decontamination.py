@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -20,13 +19,12 @@ MAX_PATTERN = 400
 BLOCK_BYTES = 4_000_000
 TABLE_BITS = 22
 BASE = np.uint64(0x9E3779B97F4A7C15)
-BLANKS = re.compile(r"\s+")
 HIT_SCHEMA = "doc_id long, item_id long, start int, stop int, edits int"
 
 
 def normal(text: str | None) -> str:
     """Lower case, with each run of white space as one space."""
-    return BLANKS.sub(" ", text.lower()).strip() if text else ""
+    return " ".join(text.lower().split()) if text else ""
 
 
 def budget(length: int) -> int:
@@ -181,14 +179,19 @@ def regions(found: Index, hashes: np.ndarray) -> list[tuple[int, int, int]]:
 
 def hits(found: Index, text: str | None) -> list[tuple[int, int, int, int]]:
     """item_id, start, stop (places in the normalised text) and edits of the matches in a whole text, the best of each item."""
-    codes = points(normal(text))
+    plain = normal(text)
+    codes = points(plain)
     best: dict[int, tuple[int, int, int]] = {}
     for which, first, last in regions(found, gram_hashes(codes)):
         pattern = points(found.texts[which])
         spare = budget(len(pattern))
         begin = max(0, first - spare)
         end = min(len(codes), last + len(pattern) + spare)
-        got = banded(pattern, codes[begin:end], spare)
+        same = plain.find(found.texts[which], begin, end)
+        if same >= 0:
+            got = (0, same - begin, same - begin + len(pattern))
+        else:
+            got = banded(pattern, codes[begin:end], spare)
         if got is not None:
             item = int(found.items[which])
             new = (got[0], begin + got[1], begin + got[2])

@@ -20,7 +20,7 @@ MAX_TRAINING_BYTES = 32_768
 SNIPPETS = (40, 120)
 AMBIGUOUS_MARGIN = 1.0
 UNDETERMINED = "und"
-LANGUAGE_SCHEMA = "lang_pred string, score double, ambiguous boolean"
+LANGUAGE_COLUMNS = (("lang_pred", "string"), ("score", "double"), ("ambiguous", "boolean"))
 
 
 @dataclass
@@ -184,10 +184,13 @@ def fit_language(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, rows:
     return fit([(row.text, row.lang) for row in chosen.collect()])
 
 
-def identify(docs: DataFrame, model: Model, keep_text: bool = True) -> DataFrame:
+def identify(docs: DataFrame, model: Model, keep_text: bool = True, prefix: str = "") -> DataFrame:
     """Add lang_pred, score (0 to 1) and ambiguous to every document, from its whole text.
 
+    ``prefix`` goes before the three names; columns of the input with such names are replaced.
+
     Texts that are null or have no letter are ``und`` with score 0, as is everything if no language was learned.
     ``ambiguous``: the nearest codeword leads the next by less than one unit of loss.
     """
-    return scored(docs, scorer(model), LANGUAGE_SCHEMA, keep_text)
+    added = ", ".join(f"`{prefix}{name}` {kind}" for name, kind in LANGUAGE_COLUMNS)
+    return scored(docs, scorer(model), added, keep_text)

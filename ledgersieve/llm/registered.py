@@ -8,29 +8,29 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgersieve.llm import ann, decontamination, language, packing, quality, sharding, tokenfiles, toxicity, warc
+from ledgersieve.llm import ann, decontamination, language, minhash, packing, quality, sharding, tokenfiles, toxicity, warc
 from ledgersieve.llm.shared import held_out_is, new_folder
 
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the folder. Python workers of a local session find this package whatever folder they start in."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.read_archive(*warc.write_archive(_table(spark, sf_dir, "pages")))
+    return warc.read_archive(*warc.write_archive(table(spark, sf_dir, "pages")))
 
 
 def op2_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op7_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
 
 
 def _judged(scores: DataFrame, held_out: Column, threshold: float) -> DataFrame:
@@ -40,35 +40,39 @@ def _judged(scores: DataFrame, held_out: Column, threshold: float) -> DataFrame:
 
 
 def op3_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, held_out = _table(spark, sf_dir, "documents").select("doc_id", "text"), held_out_is("doc_id", 4, 2)
-    model = toxicity.fit_toxicity(docs.where(~held_out), _table(spark, sf_dir, "labels"))
+    docs, held_out = table(spark, sf_dir, "documents").select("doc_id", "text"), held_out_is("doc_id", 4, 2)
+    model = toxicity.fit_toxicity(docs.where(~held_out), table(spark, sf_dir, "labels"))
     return _judged(toxicity.toxicity(docs, model, keep_text=False), held_out, toxicity.THRESHOLD)
 
 
 def op6_code_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, held_out = _table(spark, sf_dir, "documents"), held_out_is("doc_id", 3, 1)
+    docs, held_out = table(spark, sf_dir, "documents"), held_out_is("doc_id", 3, 1)
     model = language.fit_language(docs.where(~held_out))
     found = language.identify(docs.select("doc_id", "text"), model, keep_text=False)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
 def op10_nb_support_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, held_out = _table(spark, sf_dir, "documents").select("doc_id", "text"), held_out_is("doc_id", 5, 0)
-    model = quality.fit_quality(docs.where(~held_out), _table(spark, sf_dir, "labels"))
+    docs, held_out = table(spark, sf_dir, "documents").select("doc_id", "text"), held_out_is("doc_id", 5, 0)
+    model = quality.fit_quality(docs.where(~held_out), table(spark, sf_dir, "labels"))
     return _judged(quality.quality(docs, model, keep_text=False), held_out, quality.THRESHOLD)
 
 
 def op4_ranked_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokenfiles.read_token_files(*tokenfiles.write_token_files(_table(spark, sf_dir, "documents")))
+    return tokenfiles.read_token_files(*tokenfiles.write_token_files(table(spark, sf_dir, "documents")))
 
 
 def op5_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
 def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "slot-map")
-    rows = sharding.shard_documents(_table(spark, sf_dir, "documents"), folder, shards=40)
+    rows = sharding.shard_documents(table(spark, sf_dir, "documents"), folder, shards=40)
     return rows.select(
         "doc_id",
         "size",
@@ -89,6 +93,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_histogram_packing": op5_histogram_packing,
     "op6_code_language": op6_code_language,
     "op7_projection_forest": op7_projection_forest,
+    "op8_hyperminhash": op8_hyperminhash,
     "op9_virtual_slots": op9_virtual_slots,
     "op10_nb_support_vectors": op10_nb_support_vectors,
 }

@@ -239,9 +239,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) ->
     return fit(labelled_sample(docs, labels, "toxic", rows))
 
 
-def toxicity(docs: DataFrame, model: Model, keep_text: bool = True) -> DataFrame:
-    """Score every whole text: the input's columns and ``score`` from 0 to 1 (an own column of that name is replaced).
+def toxicity(docs: DataFrame, model: Model, keep_text: bool = True, column: str = "score") -> DataFrame:
+    """Score every whole text: the input's columns and a score from 0 to 1 (an own column of that name is replaced).
 
     Null and empty texts, and texts without words, have no window; their score is that of no evidence.
     """
-    return scored(docs, scorer(model), "score double", keep_text)
+    return scored(docs, scorer(model), f"`{column}` double", keep_text)
