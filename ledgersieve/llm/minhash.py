@@ -23,8 +23,8 @@ BOUNDS = np.arange(REGISTERS, dtype=np.uint64) << BUCKET_SHIFT
 #: Sets at least this large have registers that are near independent, so that an estimate can rule a pair out.
 SURE_SIZE = 256
 DEVIATIONS = 5.0
-SMALL_GROUP = 4096
-BLOCK = 2048
+SMALL_GROUP = 256
+BLOCK = 1024
 SALTS = 16
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 SKETCH_SCHEMA = "doc_id long, n_shingles long, digest binary, registers binary"
@@ -184,12 +184,13 @@ def band_rows(nodes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(keys.ravel()),
+                    pa.array(np.tile(np.arange(bands, dtype=np.int32), batch.num_rows)),
                     batch.column("node").take(pa.array(np.repeat(np.arange(batch.num_rows), bands))),
                 ],
-                names=["band", "node"],
+                names=["band", "number", "node"],
             )
 
-    return nodes.select("node", "registers").mapInArrow(run, "band long, node long")
+    return nodes.select("node", "registers").mapInArrow(run, "band long, number int, node long")
 
 
 def likely(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
@@ -251,15 +252,53 @@ def _salted(rows: DataFrame) -> DataFrame:
     return rows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
-def crossing(bands: DataFrame, nodes: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
-    """All pairs that share a band, are not connected yet and are not ruled out by size or registers.
+def shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, by matrix products over the elements that several sets have."""
+    sizes = [len(x) for x in a + b]
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    _, column, times = np.unique(np.concatenate(a + b), return_inverse=True, return_counts=True)
+    kept = times[column] > 1
+    row, column = row[kept], (np.cumsum(times > 1) - 1)[column[kept]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(a), len(b)), np.float32)
+    wide = 4096
+    for begin in range(0, int(column[-1]) + 1 if len(column) else 0, wide):
+        lo, hi = np.searchsorted(column, [begin, begin + wide])
+        has = np.zeros((len(sizes), wide), np.float32)
+        has[row[lo:hi], column[lo:hi] - begin] = 1
+        out += has[: len(a)] @ has[len(a) :].T
+    return out
+
+
+def spanning(links: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Enough of some links (a matrix) to connect what all of them connect; a and b name the components."""
+    names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    root = np.arange(len(names))
+    left, right = at[: len(a)], at[len(a) :]
+    out = []
+    for i in np.flatnonzero(links.any(axis=1)):
+        to = np.flatnonzero(links[i])
+        roots, first = np.unique(root[right[to]], return_index=True)
+        own = root[left[i]]
+        for r, j in zip(roots, to[first], strict=True):
+            if r != own:
+                out.append((int(i), int(j)))
+                root[root == r] = own
+    return out
+
+
+def crossing(bands: DataFrame, nodes: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) that connect all linked nodes that share a band and are not connected yet.
 
     In each bucket that holds several components, every node outside the commonest one is held against all nodes
-    of the bucket. Buckets with few such pairs are joined; larger ones are dealt in blocks of about 2,048 by 2,048
-    nodes, compared as register matrices, so no task holds a bucket.
+    of the bucket that sizes and registers don't rule out. Buckets with few such pairs are joined; larger ones are
+    dealt in blocks of about 1,024 by 1,024 nodes, so no task holds a bucket. A block compares register matrices,
+    confirms on whole sets the pairs that share no earlier band, and sends no more links than connect its nodes.
     """
+    similarity = percent / 100
     rows = bands.join(labels.withColumnRenamed("component", "known"), "node", "left").select(
-        "band", "node", F.coalesce("known", "node").alias("component")
+        "band", "number", "node", F.coalesce("known", "node").alias("component")
     )
     sizes = rows.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
     open_buckets = (
@@ -290,14 +329,14 @@ def crossing(bands: DataFrame, nodes: DataFrame, labels: DataFrame, similarity:
         .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
         .distinct()
     )
-    small = likely(joined, nodes, similarity).select("u", "v")
+    small = confirmed(likely(joined, nodes, similarity), sets, percent)
 
     chunks = F.ceil(F.col("total") / BLOCK).cast("int")
     minors = F.ceil(F.col("minor") / BLOCK).cast("int")
-    large = open_rows.where(~few).join(nodes.select("node", "n", "registers"), "node")
+    large = open_rows.where(~few).join(nodes.select("node", "n", "registers"), "node").join(sets, "node")
     mine = F.pmod(F.xxhash64("node"), chunks).cast("int")
     theirs = F.pmod(F.xxhash64("node", F.lit(1)), minors).cast("int")
-    columns = ["band", "chunk", "part", "node", "component", "n", "registers"]
+    columns = ["band", "chunk", "part", "number", "node", "component", "n", "registers", "shingles"]
     every = large.withColumn("chunk", mine).withColumn("part", F.explode(F.sequence(F.lit(0), minors - 1)))
     outside = (
         large.where(minor).withColumn("part", theirs).withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
@@ -305,22 +344,34 @@ def crossing(bands: DataFrame, nodes: DataFrame, labels: DataFrame, similarity:
     least = least_estimate(similarity)
 
     def compare(_: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(a) and len(b):
-            x, y = (
-                np.frombuffer(b"".join(f["registers"]), "<u2").reshape(-1, REGISTERS) for f in (a, b)
+        none = pd.DataFrame({"u": [], "v": []}).astype("int64")
+        if not len(a) or not len(b):
+            return none
+        band = int(a["number"].iloc[0])
+        x, y = (np.frombuffer(b"".join(f["registers"]), "<u2").reshape(-1, REGISTERS) for f in (a, b))
+        n, m = a["n"].to_numpy(), b["n"].to_numpy()
+        of, other = a["component"].to_numpy(), b["component"].to_numpy()
+        maybe = np.zeros((len(a), len(b)), bool)
+        for i in range(len(a)):
+            near = np.flatnonzero(
+                (other != of[i]) & (100 * np.minimum(n[i], m) >= percent * np.maximum(n[i], m))
             )
-            n, m = a["n"].to_numpy(), b["n"].to_numpy()
-            of, other = a["component"].to_numpy(), b["component"].to_numpy()
-            nodes_b = b["node"].to_numpy()
-            for i, node in enumerate(a["node"].to_numpy()):
-                near = np.flatnonzero(
-                    (other != of[i]) & (np.minimum(n[i], m) >= similarity * np.maximum(n[i], m) - 1e-9)
-                )
-                estimate = estimated(np.broadcast_to(x[i], (len(near), REGISTERS)), y[near], (m[near] + n[i]) / 2)
-                near = near[(estimate >= least) | (np.minimum(n[i], m[near]) < SURE_SIZE)]
-                found.append(pd.DataFrame({"u": np.minimum(node, nodes_b[near]), "v": np.maximum(node, nodes_b[near])}))
-        return pd.concat(found) if found else pd.DataFrame({"u": [], "v": []}).astype("int64")
+            same = x[i] == y[near]
+            chance = accidental((m[near] + n[i]) / 2)
+            estimate = (same.mean(axis=1) - chance) / (1 - chance)
+            earliest = same.reshape(-1, REGISTERS // BAND, BAND).all(axis=2).argmax(axis=1)
+            sure = np.minimum(n[i], m[near]) >= SURE_SIZE
+            maybe[i, near] = (earliest == band) & ((estimate >= least) | ~sure)
+        rows, columns = np.flatnonzero(maybe.any(axis=1)), np.flatnonzero(maybe.any(axis=0))
+        if not len(rows):
+            return none
+        maybe = maybe[np.ix_(rows, columns)]
+        p, q = ([np.frombuffer(f["shingles"].iloc[i], "<u8") for i in at] for f, at in ((a, rows), (b, columns)))
+        both = shared_counts(p, q)
+        whole = n[rows][:, None] + m[columns][None, :] - both
+        found = spanning(maybe & (100 * both >= percent * whole), of[rows], other[columns])
+        u, v = a["node"].to_numpy()[rows], b["node"].to_numpy()[columns]
+        return pd.DataFrame([(u[i], v[j]) for i, j in found], columns=["u", "v"]).astype("int64")
 
     keys = ["band", "chunk", "part"]
     blocks = (
@@ -329,7 +380,7 @@ def crossing(bands: DataFrame, nodes: DataFrame, labels: DataFrame, similarity:
         .cogroup(every.select([F.col(c).alias(c) for c in columns]).groupBy(*keys))
         .applyInPandas(compare, "u long, v long")
     )
-    return small.unionByName(blocks).distinct()
+    return small.unionByName(blocks)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -388,8 +439,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     )
     first = written(confirmed(best, sets, percent), "near-links")
     labels = written(components(first), "near-labels")
-    rest = written(crossing(bands.select("band", "node"), nodes, labels, similarity), "near-rest")
-    links = confirmed(rest, sets, percent)
+    links = written(crossing(bands.select("band", "number", "node"), nodes, sets, labels, percent), "near-rest")
     stars = labels.where("node != component").select(F.col("node").alias("u"), F.col("component").alias("v"))
     same_id = found.select("doc_id", "digest").join(
         found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1"), "doc_id"
