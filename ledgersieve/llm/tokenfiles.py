@@ -18,8 +18,7 @@ from ledgersieve.llm.tokens import binary, encoder
 MAGIC = b"FRVB0001"
 BLOCK_IDS = 2_000_000
 #: Bytes of the four values whose two-bit lengths a control byte holds.
-LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
-TOTAL = LENGTHS.sum(axis=1)
+LENGTHS = (((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1).astype(np.uint8)
 FILE_SCHEMA = "part int, file string, documents long, ids long"
 ROW_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -27,18 +26,22 @@ ROW_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
 def encode_values(values: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes (four values each, lowest bits first) and data bytes (1 to 4 a value, little-endian)."""
     values = values.astype("<u4", copy=False)
-    size = 1 + (values > 0xFF) + (values > 0xFFFF) + (values > 0xFFFFFF)
     codes = np.zeros(-(-len(values) // 4) * 4, np.uint8)
-    codes[: len(values)] = size - 1
-    control = codes.reshape(-1, 4) @ np.array([1, 4, 16, 64], np.uint8)
-    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) < size[:, None]]
-    return control.astype(np.uint8).tobytes(), data.tobytes()
+    most = int(values.max()) if len(values) else 0
+    widest = 1 + sum(most > limit for limit in (0xFF, 0xFFFF, 0xFFFFFF))
+    for limit in (0xFF, 0xFFFF, 0xFFFFFF)[: widest - 1]:
+        codes[: len(values)] += values > limit
+    four = codes.reshape(-1, 4)
+    control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
+    used = np.arange(widest, dtype=np.uint8) <= codes[: len(values), None]
+    data = values.view(np.uint8).reshape(-1, 4)[:, :widest][used]
+    return control.tobytes(), data.tobytes()
 
 
 def decode_values(control: bytes, data: bytes, n: int) -> np.ndarray:
     """Inverse of ``encode_values``: lengths come from a table of the 256 control bytes."""
     size = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
-    start = np.cumsum(size) - size
+    start = np.cumsum(size, dtype=np.int64) - size
     raw = np.frombuffer(data, np.uint8)
     out = raw[start].astype(np.uint32) if n else np.zeros(0, np.uint32)
     for k in (1, 2, 3):
