@@ -87,10 +87,10 @@ def grams(text: str | None) -> np.ndarray | None:
     return out
 
 
-def vectors(counts: list[np.ndarray]) -> np.ndarray:
-    """Rows of unit length from damped counts."""
-    x = np.log1p(np.array(counts).reshape(-1, BUCKETS))
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+def unit(counts: np.ndarray) -> np.ndarray:
+    """Damped counts as a vector of unit length."""
+    x = np.log1p(counts)
+    return (x / max(np.linalg.norm(x), 1e-9)).astype(np.float32)
 
 
 def fit(sample: list[tuple[str, str]], steps: int = 200, ridge: float = 1e-4, seed: int = 3) -> Model:
@@ -99,23 +99,24 @@ def fit(sample: list[tuple[str, str]], steps: int = 200, ridge: float = 1e-4, se
     code = codewords(len(languages))
     place = {lang: i for i, lang in enumerate(languages)}
     rng = np.random.default_rng(seed)
-    counts, labels = [], []
+    cuts, labels = [], []
     for text, lang in sample:
-        cuts = [text]
+        parts = [text]
         for size in SNIPPETS:
             if len(text) > 2 * size:
                 at = int(rng.integers(0, len(text) - size))
-                cuts.append(text[at : at + size])
-        for cut in cuts:
-            got = grams(cut)
-            if got is not None:
-                counts.append(got.astype(np.float32))
+                parts.append(text[at : at + size])
+        for part in parts:
+            if any(map(str.isalpha, part)):
+                cuts.append(part)
                 labels.append(place[lang])
     bits = code.shape[1]
     weights, bias = np.zeros((BUCKETS, bits), np.float32), np.zeros(bits, np.float32)
-    if len(languages) < 2 or not counts:
+    if len(languages) < 2 or not cuts:
         return Model(languages, code, weights, bias)
-    x = vectors(counts).astype(np.float32)
+    x = np.empty((len(cuts), BUCKETS), np.float32)
+    for row, cut in zip(x, cuts, strict=True):
+        row[:] = unit(grams(cut))
     y = code[labels].astype(np.float32)
     each = np.bincount(labels, minlength=len(languages))
     share = (1 / each[labels] / (each > 0).sum()).astype(np.float32)[:, None]
@@ -150,7 +151,7 @@ def scorer(model: Model) -> Callable[[], Callable[[list[str | None]], list[pa.Ar
             got = grams(text) if model.languages else None
             if got is not None:
                 at.append(i)
-                margins.append(vectors([got])[0].astype(np.float32) @ model.weights + model.bias)
+                margins.append(unit(got) @ model.weights + model.bias)
         if at:
             best, odds, lead = decode(model, np.array(margins, float))
             for i, b in zip(at, best, strict=True):
