@@ -18,10 +18,6 @@ from ledgersieve.plans.warehouse import PERIOD, Warehouse
 from ledgersieve.schemas import LAYER_REFRESHES
 from ledgersieve.sinks.appends import one_row
 
-# A load over more (source, period) pairs than this is treated as touching everything: the list would no
-# longer narrow the scan much. Both ways give the same rows.
-MAX_LISTED_PERIODS = 1000
-
 
 def _replay_candidates(warehouse: Warehouse, run_id: str) -> DataFrame:
     other_runs = (F.col("route") == "bronze") & (F.col("load_run_id") != run_id)
@@ -44,18 +40,9 @@ def net_new_rows(warehouse: Warehouse, feed: DataFrame, run_id: str, as_of: date
     if seen.isEmpty():
         return ingest.route_feed(feed, run_id, as_of, warehouse.grain)
     period = clock.period_of(parsing.parse_timestamp("posted_at"), warehouse.grain)
-    spans = (
-        feed.select("source_name", period.alias("period"), text.has_separator().alias("ambiguous"))
-        .distinct()
-        .limit(MAX_LISTED_PERIODS + 1)
-        .collect()
-    )
-    if len(spans) > MAX_LISTED_PERIODS:
-        return unseen(feed, seen)
-    seen = seen.where(F.col("source_name").isin(sorted({s.source_name for s in spans})))
-    periods = sorted({s.period for s in spans if s.period is not None})
-    seen_in_periods = seen.where(F.col(PERIOD).isin(periods))
-    if not any(s.ambiguous for s in spans):
+    touched = feed.select("source_name", period.alias(PERIOD)).where(F.col(PERIOD).isNotNull()).distinct()
+    seen_in_periods = seen.join(touched, ["source_name", PERIOD], "left_semi").select(*ingest.HASH_KEY, PERIOD)
+    if not feed.agg(F.bool_or(text.has_separator()).alias("any")).first()["any"]:
         return unseen(feed, seen_in_periods)
     plain, ambiguous = feed.where(~text.has_separator()), feed.where(text.has_separator())
     return unseen(plain, seen_in_periods).unionByName(unseen(ambiguous, seen))
@@ -89,7 +76,7 @@ def load_feed(warehouse: Warehouse, feed: DataFrame, run_id: str, as_of: datetim
 
 @dataclass(frozen=True)
 class RefreshScope:
-    """What a layer refresh must cover. ``periods`` is None for all of them."""
+    """What a layer refresh must cover. ``periods`` is None for all of them (a forced one, or the clock went back)."""
 
     load_runs: list[str]
     periods: list[date] | None
@@ -111,7 +98,8 @@ def refresh_scopes(
 
     A partial refresh equals a full one as long as the clock does not go back: rows accepted at one time pass
     the same check at any later one. If it went back, now or at the last refresh, the scope is full.
-    The refresh log comes to the driver whole: a row per run and layer, whatever the data size.
+    The refresh log comes to the driver whole: a row per run and layer, whatever the data size. So do the periods
+    of the loads that are not merged yet: at most one row per load and calendar period.
     """
     log = warehouse.refreshes().collect()
     held = warehouse.routed().where("route = 'bronze'").select("load_run_id", PERIOD)
@@ -128,15 +116,14 @@ def refresh_scopes(
     if partial:
         held_by_all = sorted(set.intersection(*partial.values()))
         missing = held.where(~F.col("load_run_id").isin(held_by_all)).distinct()
-        pending = missing.limit(MAX_LISTED_PERIODS + 1).collect()
-        if len(pending) <= MAX_LISTED_PERIODS:
-            for layer, merged in partial.items():
-                own = [row for row in pending if row.load_run_id not in merged]
-                scopes[layer] = RefreshScope(
-                    load_runs=sorted({row.load_run_id for row in own}),
-                    periods=sorted({row[PERIOD] for row in own}),
-                    number=numbers[layer],
-                )
+        pending = missing.collect()
+        for layer, merged in partial.items():
+            own = [row for row in pending if row.load_run_id not in merged]
+            scopes[layer] = RefreshScope(
+                load_runs=sorted({row.load_run_id for row in own}),
+                periods=sorted({row[PERIOD] for row in own}),
+                number=numbers[layer],
+            )
     rest = [layer for layer in layers if layer not in scopes]
     if rest:
         all_runs = sorted(row.load_run_id for row in held.select("load_run_id").distinct().collect())

@@ -18,7 +18,7 @@ JOB_SETTINGS = {
 }
 
 TASK_BYTES = 128 * 1024 * 1024
-MAX_TASKS = 30_000
+TRACKED_TASKS = 30_000
 
 
 def size_settings(input_bytes: int) -> dict[str, str]:
@@ -26,13 +26,13 @@ def size_settings(input_bytes: int) -> dict[str, str]:
 
     Tasks take about 128 MB until there are 30,000 of them; then they grow instead, as the driver keeps one entry
     per map task and reduce partition. 100 TB gives 3.3 GB tasks: their sorts spill, but the job stays plannable.
-    AQE merges reduce partitions that turn out small and splits skewed ones.
+    The advisory size stays at 128 MB, so AQE splits skewed partitions and written files alike at every size.
     """
-    task_bytes = max(TASK_BYTES, -(-input_bytes // MAX_TASKS))
+    task_bytes = max(TASK_BYTES, -(-input_bytes // TRACKED_TASKS))
     return {
         "spark.sql.files.maxPartitionBytes": str(task_bytes),
         "spark.sql.shuffle.partitions": str(max(8, -(-input_bytes // task_bytes))),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
     }
 
 

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgersieve.schemas import FEED_FIELDS
 
@@ -36,13 +37,27 @@ def feed_sources(registry: dict[str, str]) -> list[FeedSource]:
     return [FeedSource(name, (path,)) for name, path in registry.items()]
 
 
+DAMAGED = "__damaged_record"
+
+
 def by_header_name(raw: DataFrame, source_name: str) -> DataFrame:
     """Pick the feed fields by exact name. A blank in a column that is there is the text ''; a column that
-    is not there gives null. Other columns are left out, so the scan never reads them."""
+    is not there gives null. Other columns are left out.
+
+    A record with too few or too many fields (cut off, a quote left open, a line break inside quotes without
+    ``multiline``) keeps its raw text in ``posted_at``, marked so that it can't be read as a time: the record goes
+    to quarantine as a parsing error, whatever its other fields look like.
+    """
     present = set(raw.columns)
+    if DAMAGED in present:
+        whole = F.col("`posted_at`") if "posted_at" in present else F.lit(None)
+        broken = F.concat(F.lit("damaged record: "), F.col(DAMAGED))
+        raw = raw.withColumn("posted_at", F.when(F.col(DAMAGED).isNotNull(), broken).otherwise(whole))
     fields = [
         F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")).alias(name)
         if name in present
+        else F.col(name)
+        if name in raw.columns
         else F.lit(None).cast("string").alias(name)
         for name in FEED_FIELDS
     ]
@@ -52,19 +67,20 @@ def by_header_name(raw: DataFrame, source_name: str) -> DataFrame:
 def scan_feed(spark: SparkSession, source: FeedSource) -> DataFrame:
     """Scan one source. A missing path fails here, before anything is written.
 
-    No schema is given, as Spark binds a given schema by position. With ``enforceSchema`` off, a file whose
-    header differs from the first one under the same path fails the job instead of shifting columns.
+    The schema is the header that Spark reads first, plus a column for the text of damaged records. With
+    ``enforceSchema`` off, a file whose header differs from the first one under the same path fails the job instead
+    of shifting columns.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .option("multiLine", source.multiline)
-        .option("encoding", "UTF-8")
-    )
-    return reduce(
-        DataFrame.unionByName, [by_header_name(reader.csv(path), source.name) for path in source.paths]
-    )
+    options = {"header": True, "escape": '"', "enforceSchema": False, "multiLine": source.multiline, "encoding": "UTF-8"}
+
+    def scan(path: str) -> DataFrame:
+        header = spark.read.options(**options).csv(path).schema
+        if not header:
+            return spark.read.options(**options).csv(path)
+        schema = T.StructType(header.fields + [T.StructField(DAMAGED, T.StringType())])
+        return spark.read.options(columnNameOfCorruptRecord=DAMAGED, **options).schema(schema).csv(path)
+
+    return reduce(DataFrame.unionByName, [by_header_name(scan(path), source.name) for path in source.paths])
 
 
 def union_feeds(spark: SparkSession, sources: Iterable[FeedSource]) -> DataFrame:

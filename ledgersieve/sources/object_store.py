@@ -45,7 +45,10 @@ def _require(spark: SparkSession, path: str) -> None:
 
 
 def landing_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """Every object under a landing folder with its size. File contents are not read."""
+    """Objects under a landing folder with their sizes. File contents are not read.
+
+    Spark's file listing leaves out names that start with ``_`` or ``.`` (files and folders), and so does this.
+    """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)

@@ -68,22 +68,23 @@ def write_csv(path, rows, header=FEED_FIELDS):
 
 
 # Two small feeds with every kind of bad row: an exact copy, a missing account, a late update, an amount that
-# does not parse, a posting in the future.
+# does not parse, a posting in the future. The dates, accounts and amounts, from which the recorded run's
+# daily totals follow, the newest posting (2026-05-23 11:11), which gives its lag, and the future posting.
 FEED_A = [
-    line("A1", "ACC-001", "2026-05-20T09:15:00", "1250.40", updated_at="2026-05-20T09:20:00"),
-    line("A2", "ACC-001", "2026-05-20T10:35:00", "-45.99", updated_at="2026-05-20T10:40:00"),
-    line("A3", "ACC-002", "2026-05-21T08:00:00", "8999.99", updated_at="2026-05-21T08:02:00"),
-    line("A4", "ACC-003", "2026-05-22T15:42:00", "320.00", updated_at="2026-05-22T15:45:00"),
-    line("A5", "ACC-004", "2026-05-23T11:11:00", "2100.00", updated_at="2026-05-23T11:12:00"),
+    line("A1", "ACC-001", "2026-05-20T06:41:00", "1250.40", updated_at="2026-05-20T07:02:30"),
+    line("A2", "ACC-001", "2026-05-20T12:08:00", "-45.99", updated_at="2026-05-20T12:31:10"),
+    line("A3", "ACC-002", "2026-05-21T05:27:00", "8999.99", updated_at="2026-05-21T06:00:45"),
+    line("A4", "ACC-003", "2026-05-22T18:03:00", "320.00", updated_at="2026-05-22T18:44:20"),
+    line("A5", "ACC-004", "2026-05-23T11:11:00", "2100.00", updated_at="2026-05-23T12:39:00"),
 ]
 FEED_B = [
-    line("B1", "ACC-002", "2026-05-20T07:00:00", "505.15", updated_at="2026-05-20T07:05:00"),
-    line("B1", "ACC-002", "2026-05-20T07:00:00", "505.15", updated_at="2026-05-20T07:05:00"),
-    line("B2", "ACC-005", "2026-05-21T09:30:00", "1275.00", updated_at="2026-05-21T09:33:00"),
-    line("B3", "", "2026-05-21T11:45:00", "330.00", updated_at="2026-05-21T11:46:00"),
-    line("B4", "ACC-006", "2026-05-19T16:10:00", "100.00", updated_at="2026-05-23T05:00:00"),
-    line("B5", "ACC-007", "2026-05-24T03:20:00", "abc", updated_at="2026-05-24T03:21:00"),
-    line("B6", "ACC-008", "2026-06-01T10:00:00", "750.00", updated_at="2026-05-24T08:00:00"),
+    line("B1", "ACC-002", "2026-05-20T15:19:00", "505.15", updated_at="2026-05-20T15:58:00"),
+    line("B1", "ACC-002", "2026-05-20T15:19:00", "505.15", updated_at="2026-05-20T15:58:00"),
+    line("B2", "ACC-005", "2026-05-21T13:52:00", "1275.00", updated_at="2026-05-21T14:10:00"),
+    line("B3", "", "2026-05-21T16:24:00", "330.00", updated_at="2026-05-21T16:59:00"),
+    line("B4", "ACC-006", "2026-05-19T10:36:00", "100.00", updated_at="2026-05-22T19:20:00"),
+    line("B5", "ACC-007", "2026-05-24T01:13:00", "abc", updated_at="2026-05-24T02:48:00"),
+    line("B6", "ACC-008", "2026-06-01T10:00:00", "750.00", updated_at="2026-05-24T14:30:00"),
 ]
 
 

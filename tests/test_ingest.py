@@ -162,7 +162,7 @@ def test_blank_is_text_but_absent_is_null(spark, tmp_path):
     assert found == [
         ("s", "T1", "", "", "1", "USD", " spaced ", "", None),
         ("s", "T2", "", "", "2", "USD", 'a, "b"', "", None),
-        ("s", "T3", "", "", "", "", "", "", None),
+        ("s", "T3", "", "damaged record: T3", "", "", "", "", None),
     ]
 
 
@@ -171,6 +171,18 @@ def test_line_break_in_quotes_needs_the_source_option(spark, tmp_path):
     assert scan_feed(spark, FeedSource("s", path, multiline=True)).first().description == "two\nlines"
 
 
+def test_damaged_records_are_never_accepted(spark, tmp_path):
+    """A deletion with a line break read line by line, and a last line cut off inside the amount."""
+    path = tmp_path / "f.csv"
+    write_csv(path, [line("T1", description="two\nlines", status="Deleted"), line("T2")])
+    path.write_text(path.read_text() + "T3,ACC-1,2026-05-20T09:00:00,123")
+    routed = ingest.route_feed(scan_feed(spark, FeedSource("s", str(path))), "run-1", AS_OF)
+    assert rows_of(ingest.accepted_rows(routed), "raw_transaction_id") == [("T2",)]
+    rejected = ingest.rejected_rows(routed).collect()
+    assert {r.quarantine_reason for r in rejected} == {"parsing_error"}
+    assert "damaged record: T3,ACC-1,2026-05-20T09:00:00,123" in {r.posted_at_text for r in rejected}
+
+
 def test_renamed_column_quarantines_as_missing_amount(spark, tmp_path):
     header = [name if name != "amount" else "transaction_amount" for name in FEED_FIELDS]
     path = write_csv(tmp_path / "f.csv", [line("D1"), line("D2")], header)

@@ -372,6 +372,8 @@ def test_task_sizes_follow_the_input():
     assert small["spark.sql.shuffle.partitions"] == "8"
     assert small["spark.sql.files.maxPartitionBytes"] == str(128 * 1024 * 1024)
     assert int(large["spark.sql.shuffle.partitions"]) <= 30_000
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    assert small[advisory] == large[advisory] == str(128 * 1024 * 1024)
 
 
 def test_scratch_folders_are_new_and_shared(spark):
