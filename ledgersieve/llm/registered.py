@@ -109,8 +109,9 @@ LLM_SQL: dict[str, str] = {
             SELECT payload_digest, max(page_id) AS newest FROM d WHERE payload_bytes >= 1000 GROUP BY 1
         )
         SELECT d.page_id, d.payload_bytes, d.payload_digest,
-               CASE WHEN d.page_id <> g.newest THEN 'revisit' ELSE 'response' END AS record_type,
-               CASE WHEN d.page_id <> g.newest THEN g.newest END AS refers_to
+               CASE WHEN g.newest IS NOT NULL AND d.page_id IS DISTINCT FROM g.newest
+                    THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN d.page_id IS DISTINCT FROM g.newest THEN g.newest END AS refers_to
         FROM d LEFT JOIN g ON d.payload_digest = g.payload_digest AND d.payload_bytes >= 1000
     """,
 }
