@@ -9,9 +9,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from ledgersieve.plans.duck_sql import ORACLE_SQL as SQL
+from ledgersieve.plans.registered import REGISTERED as QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="no test tables")
 
@@ -33,6 +34,8 @@ def comparable(rows):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
