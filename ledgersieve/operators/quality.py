@@ -5,42 +5,44 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgersieve.functions import clock
 
 
-def _repeated_keys(rows: DataFrame, key: str) -> DataFrame:
-    """How many key values occur more than once. Partial counts keep a hot key to one row per task."""
-    return rows.groupBy(key).agg(F.count("*").alias("n")).agg(F.count_if(F.col("n") > 1).alias("failing_count"))
+def _failing(rows: DataFrame, key: str, row_tests: dict[str, Column], key_name: str, null_keys: bool) -> DataFrame:
+    """One row: how many rows fail each row test, and, as ``key_name``, how many key values occur more than once.
+
+    One pass: the row tests are counted per key and then added up, so the rows are computed once. Partial counts
+    keep a hot key to one row per task. Repeated null keys count as one value if ``null_keys`` says so.
+    """
+    per_key = rows.groupBy(F.col(key).alias("__key")).agg(
+        F.count(F.lit(1)).alias("__n"), *[F.count_if(test).alias(name) for name, test in row_tests.items()]
+    )
+    repeated = F.col("__n") > 1
+    if not null_keys:
+        repeated &= F.col("__key").isNotNull()
+    return per_key.agg(
+        *[F.coalesce(F.sum(f"`{name}`"), F.lit(0)).alias(name) for name in row_tests], F.count_if(repeated).alias(key_name)
+    )
 
 
 def quality_checks(rows: DataFrame, as_of: datetime) -> DataFrame:
     """Three rows: check name, whether it passed, how many failures.
 
-    The first two need no grouping and share one pass; they and the key check read different columns, so
-    nothing is scanned twice.
+    All three come from one pass over the rows.
     """
     # The three check names.
-    by_row = rows.agg(
-        F.count_if(F.col("account_id").isNull() | F.col("currency").isNull()).alias("null_keys"),
-        F.count_if(F.col("posted_at") > clock.acceptance_limit(as_of)).alias("future_rows"),
-    ).select(
-        F.stack(
-            F.lit(2),
-            F.lit("null_key_check"),
-            F.col("null_keys"),
-            F.lit("future_timestamp_check"),
-            F.col("future_rows"),
-        ).alias("check_name", "failing_count")
-    )
-    by_key = _repeated_keys(rows, "natural_key").select(
-        F.lit("duplicate_natural_key_check").alias("check_name"), "failing_count"
-    )
-    return by_row.unionByName(by_key).select(
+    names = ["null_key_check", "future_timestamp_check", "duplicate_natural_key_check"]
+    by_row = {
+        names[0]: F.col("account_id").isNull() | F.col("currency").isNull(),
+        names[1]: F.col("posted_at") > clock.acceptance_limit(as_of),
+    }
+    counts = _failing(rows, "natural_key", by_row, names[2], null_keys=True)
+    pairs = [part for name in names for part in (F.lit(name), F.col(name))]
+    return counts.select(F.stack(F.lit(len(names)), *pairs).alias("check_name", "failing_count")).select(
         "check_name", (F.col("failing_count") == 0).alias("passed"), "failing_count"
     )
 
@@ -92,22 +94,34 @@ def rule_accepted_values(model: str, rows: DataFrame, accepted: dict[str, list[s
 
 def rule_unique(model: str, rows: DataFrame, column: str) -> DataFrame:
     """Values that occur more than once fail; nulls are left to ``rule_not_null``."""
-    counts = _repeated_keys(rows.where(F.col(column).isNotNull()), column).withColumnRenamed(
-        "failing_count", column
-    )
+    counts = _failing(rows.where(F.col(column).isNotNull()), column, {}, column, null_keys=False)
     return _rule_rows(model, "unique", counts, [column])
 
 
 def published_model_rules(staged: DataFrame, mart: DataFrame) -> DataFrame:
-    """The rule set of the two published models (fixed values: models, columns, accepted currency)."""
-    return reduce(
-        DataFrame.unionByName,
-        [
-            rule_not_null(
-                "stg_silver_transactions", staged, ["natural_key", "account_id", "currency", "amount"]
-            ),
-            rule_unique("stg_silver_transactions", staged, "natural_key"),
-            rule_accepted_values("stg_silver_transactions", staged, {"currency": ["USD"]}),
-            rule_not_null("fct_daily_account_summary", mart, ["run_date", "account_id", "total_amount"]),
-        ],
-    )
+    """The rule set of the two published models (fixed values: models, columns, accepted currency).
+
+    The six rules of the staged model come from one pass over it, those of the mart from one over that.
+    """
+    # Rule and column pairs of the staged model.
+    rules = [
+        ("not_null", "natural_key"),
+        ("not_null", "account_id"),
+        ("not_null", "currency"),
+        ("not_null", "amount"),
+        ("accepted_values", "currency"),
+        ("unique", "natural_key"),
+    ]
+    tests = {
+        f"{rule}:{column}": F.col(column).isNull() if rule == "not_null" else ~F.col(column).isin(["USD"])
+        for rule, column in rules
+        if rule != "unique"
+    }
+    counts = _failing(staged, "natural_key", tests, "unique:natural_key", null_keys=False)
+    parts = [p for rule, column in rules for p in (F.lit(rule), F.lit(column), F.col(f"`{rule}:{column}`"))]
+    of_staged = counts.select(
+        F.lit("stg_silver_transactions").alias("model"),
+        F.stack(F.lit(len(rules)), *parts).alias("rule", "column_name", "failing_count"),
+    ).withColumn("passed", F.col("failing_count") == 0)
+    of_mart = rule_not_null("fct_daily_account_summary", mart, ["run_date", "account_id", "total_amount"])
+    return of_staged.unionByName(of_mart)

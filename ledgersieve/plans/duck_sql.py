@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 AS_OF = "TIMESTAMP '2024-01-29 00:00:00'"
+LATER = "TIMESTAMP '2024-01-29 12:00:00'"
 EARLIER = "TIMESTAMP '2024-01-15 00:00:00'"
 REPORT_TIME = "TIMESTAMP '2024-01-31 00:00:00'"
 RUN_1 = "run-20240129000000-00000001"
@@ -18,6 +19,11 @@ _REASON = f"""
       WHEN posted_ts > {AS_OF} + INTERVAL 1 DAY THEN 'future_posted_at'
     END
 """
+_REFRESHED_BY_MONTH = f"""
+    CASE WHEN date_trunc('month', posted_at) IN (
+      SELECT date_trunc('month', posted_at) FROM bronze_late WHERE load_run_id = '{RUN_2}'
+    ) THEN {LATER} ELSE {AS_OF} END
+"""
 _TYPED = """
     SELECT *,
       posted_at <> '' AND posted_ts IS NULL AS posted_failed,
@@ -53,10 +59,10 @@ def _standardized(bronze: str) -> str:
     """
 
 
-def _silver(standardized: str) -> str:
+def _silver(standardized: str, refreshed: str = AS_OF) -> str:
     return f"""
     SELECT natural_key, source_name, raw_transaction_id, account_id, posted_at, amount, currency,
-      description, updated_at, status, load_run_id, {AS_OF} AS refreshed_at
+      description, updated_at, status, load_run_id, {refreshed} AS refreshed_at
     FROM (
       SELECT *, row_number() OVER (
           PARTITION BY natural_key ORDER BY updated_at DESC, load_run_id DESC, raw_line_hash) AS rn
@@ -127,6 +133,7 @@ _CTES = {
     "standardized": _standardized("bronze"),
     "silver": _silver("standardized"),
     "gold": _gold("silver", AS_OF),
+    "gold_a": _gold("silver WHERE source_name = 'source_a'", AS_OF),
     "notes": """
     SELECT natural_key, account_id, CAST(posted_at AS DATE) AS transaction_date, amount, currency,
       concat('Account ', account_id, ' posted ', CAST(amount AS VARCHAR), ' ', currency, ' on ',
@@ -144,6 +151,57 @@ _CTES = {
     "bronze_two": f"{_bronze('load_1', RUN_1)} UNION ALL {_bronze('load_2', RUN_2)}",
     "standardized_two": _standardized("bronze_two"),
     "silver_two": _silver("standardized_two"),
+    # Two deliveries, the second later and for a few months: 1996 with its odd numbers, June 1995 deleted.
+    "tombstones": f"""
+    SELECT *, sha256(concat_ws('|', source_name, {_FIELDS})) AS raw_line_hash FROM (
+      SELECT DISTINCT source_name, transaction_id, account_id, posted_at, amount, currency, description,
+        '2024-01-20T00:00:00' AS updated_at, 'deleted' AS status
+      FROM feed WHERE substr(posted_at, 1, 7) = '1995-06'
+    )
+    """,
+    "late_typed": _TYPED.format(rows="tombstones"),
+    "late_routed": f"SELECT *, {_REASON} AS quarantine_reason FROM late_typed",
+    "early_part": """
+    SELECT * FROM routed
+    WHERE NOT (substr(posted_at, 1, 4) = '1996' AND CAST(substr(transaction_id, 2) AS BIGINT) % 2 = 1)
+    """,
+    "late_part": """
+    SELECT * FROM routed
+    WHERE substr(posted_at, 1, 4) = '1996' AND CAST(substr(transaction_id, 2) AS BIGINT) % 2 = 1
+    """,
+    "bronze_late": f"""
+    {_bronze('early_part', RUN_1)} UNION ALL {_bronze('late_part', RUN_2)}
+    UNION ALL {_bronze('late_routed', RUN_2)}
+    """,
+    "standardized_late": _standardized("bronze_late"),
+    "silver_late": _silver("standardized_late", _REFRESHED_BY_MONTH),
+    # Columns that a feed has lost.
+    "lost_feed": """
+    SELECT DISTINCT source_name, CAST(NULL AS VARCHAR) AS transaction_id, account_id, posted_at, amount, currency,
+      description, CAST(NULL AS VARCHAR) AS updated_at, CAST(NULL AS VARCHAR) AS status FROM source_a
+    UNION ALL
+    SELECT DISTINCT source_name, transaction_id, account_id, posted_at, amount, currency,
+      CAST(NULL AS VARCHAR), updated_at, status FROM source_b
+    """,
+    "lost_hashed": f"""
+    SELECT *, sha256(concat_ws('|', source_name, {', '.join(f"coalesce({c}, '')" for c in _FIELDS.split(', '))}))
+      AS raw_line_hash FROM lost_feed
+    """,
+    "lost_typed": _TYPED.format(rows="lost_hashed"),
+    "lost_routed": f"SELECT *, {_REASON} AS quarantine_reason FROM lost_typed",
+    "lost_bronze": _bronze("lost_routed", RUN_1),
+    "lost_standardized": _standardized("lost_bronze"),
+    "lost_silver": _silver("lost_standardized"),
+    # Records with whole texts; of the documents every tenth is cut off after the amount.
+    "text_feed": """
+    SELECT 'source_a' AS source_name, doc_id AS k, 'D' || doc_id AS transaction_id, 'ACC-' || doc_id % 100 AS account_id,
+      doc_id || '.5' AS amount, coalesce(text, '') AS description, doc_id % 10 = 3 AS cut,
+      CASE WHEN doc_id % 4 = 0 THEN 'Deleted' ELSE 'posted' END AS status FROM documents
+    UNION ALL
+    SELECT 'source_b', conv_id, 'C' || conv_id || '-' || turn, 'ACC-' || conv_id % 100, turn || '.5',
+      coalesce(text, ''), false, CASE WHEN turn % 4 = 0 THEN 'Deleted' ELSE 'posted' END
+    FROM conversations WHERE position(chr(10) IN coalesce(text, '')) = 0
+    """,
     "runs": """
     SELECT 'run-' || strftime(day, '%Y%m%d') AS run_id, start_ts, end_ts,
       CASE WHEN errors > 70 THEN 'failed' ELSE 'success' END AS status, records_ingested, records_silver,
@@ -263,9 +321,20 @@ _FINAL = {
     "csv_feed_scan": "SELECT * FROM source_a",
     "feed_union": "SELECT * FROM feed",
     "object_store_feed": "SELECT * FROM counters",
-    "landing_objects": """
-    SELECT DISTINCT source_name, substr(posted_at, 1, 4) AS delivery_year, true AS has_bytes
-    FROM feed WHERE posted_at <> ''
+    "feed_malformed_rows": """
+    SELECT DISTINCT source_name, transaction_id AS raw_transaction_id,
+      md5(CASE WHEN cut THEN '' ELSE description END) AS description_md5,
+      CASE WHEN cut THEN '' ELSE status END AS status,
+      CASE WHEN NOT cut THEN CAST(amount AS DOUBLE) END AS amount,
+      CASE WHEN cut THEN 'damaged record: ' || transaction_id || ',' || account_id || ',2024-01-05T08:00:00,' || amount
+        END AS posted_at_text,
+      CASE WHEN cut THEN 'parsing_error' END AS quarantine_reason
+    FROM text_feed
+    """,
+    "landing_objects": f"""
+    SELECT source_name, coalesce(nullif(substr(posted_at, 1, 4), ''), 'undated') AS delivery_year,
+      CAST(sum(strlen(concat_ws('|', {_FIELDS})) + 1) AS BIGINT) AS bytes
+    FROM feed GROUP BY 1, 2
     """,
     "feed_line_hash": "SELECT source_name, transaction_id, raw_line_hash FROM hashed",
     "feed_dedup_exact": "SELECT * FROM deduped",
@@ -294,8 +363,14 @@ _FINAL = {
     SELECT CAST(posted_at AS DATE) AS posted_date, count(*) AS row_count
     FROM silver_two WHERE load_run_id = '{RUN_2}' GROUP BY 1
     """,
-    "silver_incremental_merge": "SELECT * FROM silver_two",
-    "gold_incremental_publish": _gold("silver_two", AS_OF),
+    "silver_incremental_merge": "SELECT * FROM silver_late",
+    "gold_incremental_publish": _gold("silver_late", "max(refreshed_at)"),
+    "silver_absent_columns": """
+    SELECT natural_key, raw_transaction_id, account_id, amount, description, updated_at, status,
+      CASE WHEN description IS NOT NULL THEN concat('Account ', account_id, ' posted ', CAST(amount AS VARCHAR), ' ',
+        currency, ' on ', CAST(CAST(posted_at AS DATE) AS VARCHAR), '. Description: ', description) END AS semantic_text
+    FROM lost_silver
+    """,
     "silver_date_range": """
     SELECT * FROM silver
     WHERE posted_at >= TIMESTAMP '1998-03-10 00:00:00' AND posted_at < TIMESTAMP '1998-07-20 00:00:00'
@@ -320,13 +395,29 @@ _FINAL = {
     UNION ALL SELECT 'quarantine', count(*) FROM quarantine
     """,
     "run_audit": f"""
-    SELECT '{RUN_1}' AS run_id, {AS_OF} AS start_ts, 'success' AS status,
+    SELECT '{RUN_1}' AS run_id, {AS_OF} AS start_ts, true AS ends_after_start, 'success' AS status,
       (SELECT CAST(sum(ingested) AS BIGINT) FROM counters) AS records_ingested,
       (SELECT count(*) FROM silver) AS records_silver,
       (SELECT CAST(sum(quarantined) AS BIGINT) FROM counters) AS records_quarantine,
       (SELECT freshness_lag_minutes FROM lag) AS freshness_lag_minutes,
       CAST(NULL AS VARCHAR) AS error_message
     """,
+    "failed_gate_run": f"""
+    SELECT CASE source_name WHEN 'source_a' THEN '{RUN_1}' ELSE '{RUN_2}' END AS run_id,
+      CASE source_name WHEN 'source_a' THEN {EARLIER} ELSE {AS_OF} END AS start_ts,
+      CASE source_name WHEN 'source_a' THEN 'success' ELSE 'failed' END AS status,
+      ingested AS records_ingested,
+      (SELECT count(*) FROM silver s WHERE s.source_name <= c.source_name) AS records_silver,
+      quarantined AS records_quarantine,
+      CASE source_name WHEN 'source_a' THEN (
+        SELECT CAST(floor(date_diff('microsecond', max(posted_at), {EARLIER}) / 60000000.0) AS BIGINT)
+        FROM silver WHERE source_name = 'source_a') END AS freshness_lag_minutes,
+      CASE source_name WHEN 'source_b' THEN 'Quality checks failed: null_key_check' END AS error_message,
+      (SELECT count(*) FROM gold_a ) AS gold_rows,
+      (SELECT CAST(sum(transaction_count) AS BIGINT) FROM gold_a ) AS gold_transactions,
+      {EARLIER} AS gold_refreshed_at
+    FROM counters c
+    """,
     "metrics_roundtrip": f"""
     SELECT '{RUN_1}/' || source_name AS run_id, 'success' AS status, ingested AS records_ingested,
       CAST(NULL AS BIGINT) AS records_silver, quarantined AS records_quarantine,

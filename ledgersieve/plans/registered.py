@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgersieve.operators import conform, ingest, publish, quality, report
 from ledgersieve.plans import refresh
-from ledgersieve.plans.daily_run import run_daily
+from ledgersieve.plans.daily_run import RunFailed, run_daily
 from ledgersieve.plans.warehouse import Warehouse
 from ledgersieve.schemas import FEED_FIELDS, METRICS, NOTES
 from ledgersieve.session import scratch_dir
@@ -23,7 +23,7 @@ from ledgersieve.sinks.appends import append_metrics
 from ledgersieve.sinks.exports import export_notes_csv, promote_tables, write_feed_csv, write_report_csv
 from ledgersieve.sources import derived
 from ledgersieve.sources.csv_feeds import FeedSource, by_header_name, scan_feed, union_feeds
-from ledgersieve.sources.derived import AS_OF, REPORT_TIME
+from ledgersieve.sources.derived import AS_OF, LATER, REPORT_TIME
 from ledgersieve.sources.object_store import landing_manifest, object_store_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,18 +74,29 @@ def _redelivery(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
 
 def _two_load_warehouse(spark: SparkSession, sf_dir: str, publish_too: bool = False) -> Warehouse:
-    """A stored warehouse after both deliveries; the second refresh covers only what the load touched."""
-    warehouse = Warehouse(spark, scratch_dir(spark, "warehouse"), GRAIN)
-    feed = derived.transaction_feed(spark, sf_dir)
+    """A stored warehouse, by month, after both deliveries.
+
+    The second one comes later, touches the months of 1996 and empties June 1995; all other months keep the rows
+    and the refresh time of the first one.
+    """
+    warehouse = Warehouse(spark, scratch_dir(spark, "warehouse"), "month")
+    first, second = derived.late_delivery(derived.transaction_feed(spark, sf_dir))
     layers = ["gold_daily_account_summary", "ai_ready_financial_notes"]
-    for run_id, delivery in [(RUN_1, derived.first_delivery(feed)), (RUN_2, feed)]:
-        refresh.load_feed(warehouse, delivery, run_id, AS_OF)
-        refresh.refresh_silver(warehouse, AS_OF)
+    for run_id, delivery, clock in [(RUN_1, first, AS_OF), (RUN_2, second, LATER)]:
+        refresh.load_feed(warehouse, delivery, run_id, clock)
+        refresh.refresh_silver(warehouse, clock)
         if publish_too:
-            refresh.publish_layers(warehouse, AS_OF, refresh.refresh_scopes(warehouse, layers, AS_OF))
+            refresh.publish_layers(warehouse, clock, refresh.refresh_scopes(warehouse, layers, clock))
     return warehouse
 
 
+def _stored(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
+    """Rows written once and read back, for queries that use them more than once."""
+    path = scratch_dir(spark, label)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 # Scans ------------------------------------------------------------------------------------------------
 
 
@@ -123,19 +134,50 @@ def object_store_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.run_counters(ingest.route_feed(union_feeds(spark, sources), RUN_1, AS_OF))
 
 
+@_register
+def feed_malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts as descriptions, and damaged records among them.
+
+    Source a allows line breaks inside quotes; a tenth of its records are cut off after the amount. Source b does not
+    allow them: of its records only those without a line break are whole, and what is left of the others goes to
+    quarantine piece by piece, so that no deletion is taken for a posting. Gives what was accepted, and the cut records.
+    """
+    root = scratch_dir(spark, "malformed")
+    documents = derived.document_feed(spark, sf_dir)
+    cut = F.substr("transaction_id", F.lit(2)).cast("long") % 10 == 3
+    write_feed_csv(documents.where(~cut), f"{root}/a")
+    line = F.concat_ws(",", "transaction_id", "account_id", "posted_at", "amount")
+    # No field of a cut record holds a comma or a quote, so the line needs no quoting; \x01 keeps it one column.
+    documents.where(cut).select(line.alias(",".join(FEED_FIELDS))).write.option("header", True).option("sep", "\x01").csv(
+        f"{root}/cut"
+    )
+    write_feed_csv(derived.conversation_feed(spark, sf_dir), f"{root}/b")
+    sources = [FeedSource("source_a", (f"{root}/a", f"{root}/cut"), multiline=True), FeedSource("source_b", (f"{root}/b",))]
+    routed = ingest.route_feed(union_feeds(spark, sources), RUN_1, AS_OF)
+    return routed.where("route = 'bronze' or source_name = 'source_a'").select(
+        "source_name",
+        "raw_transaction_id",
+        F.md5("description").alias("description_md5"),
+        "status",
+        "amount",
+        "posted_at_text",
+        "quarantine_reason",
+    )
+
+
 @_register
 def landing_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land the feed by source and posting year, then list the landing zone: which deliveries are there."""
+    """Land the feed's lines by source and posting year, then list the landing zone: the bytes of each delivery."""
     root = scratch_dir(spark, "landing")
     year = F.substr("posted_at", F.lit(1), F.lit(4))
     (
         derived.transaction_feed(spark, sf_dir)
-        .where("posted_at != ''")
-        .withColumn("delivery_year", year)
+        .select("source_name", F.concat_ws("|", *FEED_FIELDS).alias("value"), year.alias("year"))
+        .withColumn("delivery_year", F.expr("if(year = '', 'undated', year)"))
+        .drop("year")
         .hint("rebalance", "source_name", "delivery_year")
         .write.partitionBy("source_name", "delivery_year")
-        .option("header", True)
-        .csv(root)
+        .text(root)
     )
     objects = landing_manifest(spark, root)
     return (
@@ -143,8 +185,8 @@ def landing_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.regexp_extract("path", "source_name=([^/]*)/", 1).alias("source_name"),
             F.regexp_extract("path", "delivery_year=([^/]*)/", 1).alias("delivery_year"),
         )
-        .agg((F.sum("length") > 0).alias("has_bytes"))
-        .select("source_name", "delivery_year", "has_bytes")
+        .agg(F.sum("length").alias("bytes"))
+        .select("source_name", "delivery_year", "bytes")
     )
 
 
@@ -256,9 +298,11 @@ def mart_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def backfill_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second load brings rows for past dates: which dates, and how many rows of it are current."""
-    first, second = _redelivery(spark, sf_dir)
-    bronze = ingest.accepted_rows(first).unionByName(ingest.accepted_rows(second))
-    return report.backfill_by_date(conform.silver(bronze, AS_OF), RUN_2)
+    feed = derived.transaction_feed(spark, sf_dir)
+    warehouse = Warehouse(spark, scratch_dir(spark, "warehouse"), GRAIN)
+    refresh.load_feed(warehouse, derived.first_delivery(feed), RUN_1, AS_OF)
+    refresh.load_feed(warehouse, feed, RUN_2, AS_OF)
+    return report.backfill_by_date(conform.silver(warehouse.bronze(), AS_OF), RUN_2)
 
 
 @_register
@@ -381,21 +425,64 @@ def run_health_report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = _silver(spark, sf_dir)
+    """Counts of stored layers: the feed is routed once, and each layer is made once."""
+    routed = _stored(spark, _routed(spark, sf_dir), "routed")
+    silver = _stored(spark, conform.silver(ingest.accepted_rows(routed), AS_OF), "silver")
     return report.layer_counts(
         silver=silver,
         gold=publish.gold_daily_account_summary(silver, AS_OF),
-        quarantine=_quarantine(spark, sf_dir),
+        quarantine=ingest.rejected_rows(routed),
     )
 
 
 @_register
 def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One whole run over the feed; its audit row, without the measured end time."""
+    """One whole run over the feed; its audit row, with whether the measured end is after the start."""
     base = scratch_dir(spark, "warehouse")
     feed = derived.transaction_feed(spark, sf_dir)
     run_daily(spark, feed, base, run_id=RUN_1, as_of=AS_OF, grain=GRAIN)
-    return Warehouse(spark, base, GRAIN).runs().drop("end_ts")
+    runs = Warehouse(spark, base, GRAIN).runs()
+    return runs.withColumn("ends_after_start", F.col("end_ts") > F.col("start_ts")).drop("end_ts")
+
+
+@_register
+def failed_gate_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A good run over the first source, then a run over the second one, which has lost its currency column.
+
+    The second run lands its rows and replaces silver, but fails the checks: its audit row says so, and gold is what
+    the first run published.
+    """
+    base = scratch_dir(spark, "warehouse")
+    run_daily(spark, derived.orders_feed(spark, sf_dir), base, run_id=RUN_1, as_of=EARLIER, grain=GRAIN)
+    no_currency = by_header_name(derived.events_feed(spark, sf_dir).drop("currency"), "source_b")
+    try:
+        run_daily(spark, no_currency, base, run_id=RUN_2, as_of=AS_OF, grain=GRAIN)
+    except RunFailed:
+        pass
+    warehouse = Warehouse(spark, base, GRAIN)
+    gold = warehouse.gold().agg(
+        F.count(F.lit(1)).alias("gold_rows"),
+        F.sum("transaction_count").alias("gold_transactions"),
+        F.max("last_refresh_ts").alias("gold_refreshed_at"),
+    )
+    facts = [gold.select(name).scalar().alias(name) for name in gold.columns]
+    return warehouse.runs().drop("end_ts").select("*", *facts)
+
+
+@_register
+def silver_absent_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feeds without their id, description and status columns, through the natural key, silver and the notes.
+
+    Rows without a description have a key without an id, the default status, and no sentence.
+    """
+    lost = derived.orders_feed(spark, sf_dir).drop("transaction_id", "status", "updated_at")
+    mute = derived.events_feed(spark, sf_dir).drop("description")
+    feed = by_header_name(lost, "source_a").unionByName(by_header_name(mute, "source_b"))
+    silver = conform.silver(ingest.accepted_rows(ingest.route_feed(feed, RUN_1, AS_OF)), AS_OF)
+    notes = publish.financial_notes(silver).select("natural_key", "semantic_text")
+    return silver.select(
+        "natural_key", "raw_transaction_id", "account_id", "amount", "description", "updated_at", "status"
+    ).join(notes, "natural_key", "left")
 
 
 @_register
@@ -419,7 +506,7 @@ def metrics_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def promoted_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Promote silver and gold, then count what arrived; the reported counts must agree with it."""
     root = scratch_dir(spark, "external")
-    silver = _silver(spark, sf_dir)
+    silver = _stored(spark, _silver(spark, sf_dir), "silver")
     tables = {
         "silver_transactions": silver,
         "gold_daily_account_summary": publish.gold_daily_account_summary(silver, AS_OF),

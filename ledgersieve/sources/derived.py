@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 AS_OF = datetime(2024, 1, 29)
+LATER = datetime(2024, 1, 29, 12)
 REPORT_TIME = datetime(2024, 1, 31)
 
 
@@ -81,6 +82,51 @@ def first_delivery(feed: DataFrame) -> DataFrame:
     return feed.where(F.substr("transaction_id", F.lit(2)).cast("long") % 2 == 0)
 
 
+def late_delivery(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two deliveries of which the second touches a few months only.
+
+    The first lacks the odd transaction numbers of 1996. The second holds all of 1996 again, and deletes every
+    transaction posted in June 1995, which empties that month.
+    """
+    odd = F.substr("transaction_id", F.lit(2)).cast("long") % 2 == 1
+    year = F.substr("posted_at", F.lit(1), F.lit(4))
+    first = feed.where(~((year == "1996") & odd))
+    deleted = (
+        feed.where(F.substr("posted_at", F.lit(1), F.lit(7)) == "1995-06")
+        .withColumn("updated_at", F.lit("2024-01-20T00:00:00"))
+        .withColumn("status", F.lit("deleted"))
+    )
+    return first, feed.where(year == "1996").unionByName(deleted)
+
+
+def document_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed whose descriptions are whole document texts, with their commas, quotes and line breaks."""
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr(
+        "'D' || doc_id as transaction_id",
+        "'ACC-' || doc_id % 100 as account_id",
+        "'2024-01-05T08:00:00' as posted_at",
+        "doc_id || '.5' as amount",
+        "'USD' as currency",
+        "coalesce(text, '') as description",
+        "'2024-01-06T08:00:00' as updated_at",
+        "if(doc_id % 4 = 0, 'Deleted', 'posted') as status",
+    )
+
+
+def conversation_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the texts of conversations."""
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet").selectExpr(
+        "'C' || conv_id || '-' || turn as transaction_id",
+        "'ACC-' || conv_id % 100 as account_id",
+        "'2024-01-05T08:00:00' as posted_at",
+        "turn || '.5' as amount",
+        "'USD' as currency",
+        "coalesce(text, '') as description",
+        "'2024-01-06T08:00:00' as updated_at",
+        "if(turn % 4 = 0, 'Deleted', 'posted') as status",
+    )
+
+
 def daily_run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run-audit table with one run per day of ``events``."""
     errors = F.count_if(F.col("event_type") == "error")
