@@ -158,18 +158,24 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
 
 
 def whole_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """node and its whole shingle set (sorted 64-bit hashes) for some documents."""
+    """node, size, registers and whole shingle set (sorted 64-bit hashes) of some documents that have shingles."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_chunks(batches, 1_000_000):
-            sets = [s.tobytes() for s in shingle_sets(texts, words)]
+            sets = shingle_sets(texts, words)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sets, pa.binary())], names=["node", "shingles"]
+                [
+                    batch.column("doc_id"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([registers(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                ],
+                names=["node", "n", "registers", "shingles"],
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     wanted = rows.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-    return wanted.mapInArrow(run, "node long, shingles binary")
+    return wanted.mapInArrow(run, "node long, n long, registers binary, shingles binary").where("n > 0")
 
 
 def band_rows(nodes: DataFrame) -> DataFrame:
@@ -288,7 +294,7 @@ def spanning(links: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int,
     return out
 
 
-def crossing(bands: DataFrame, nodes: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def crossing(bands: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) that connect all linked nodes that share a band and are not connected yet.
 
     In each bucket that holds several components, every node outside the commonest one is held against all nodes
@@ -329,11 +335,13 @@ def crossing(bands: DataFrame, nodes: DataFrame, sets: DataFrame, labels: DataFr
         .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
         .distinct()
     )
-    small = confirmed(likely(joined, nodes, similarity), sets, percent)
+    # Sets of nodes without an open bucket don't travel.
+    sets = sets.join(open_rows.select("node").distinct(), "node", "left_semi")
+    small = confirmed(likely(joined, sets, similarity), sets, percent)
 
     chunks = F.ceil(F.col("total") / BLOCK).cast("int")
     minors = F.ceil(F.col("minor") / BLOCK).cast("int")
-    large = open_rows.where(~few).join(nodes.select("node", "n", "registers"), "node").join(sets, "node")
+    large = open_rows.where(~few).join(sets, "node")
     mine = F.pmod(F.xxhash64("node"), chunks).cast("int")
     theirs = F.pmod(F.xxhash64("node", F.lit(1)), minors).cast("int")
     columns = ["band", "chunk", "part", "number", "node", "component", "n", "registers", "shingles"]
@@ -416,11 +424,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         .groupBy("band")
         .agg(
             F.min("node").alias("one"),
-            F.min(F.struct(F.xxhash64("node").alias("hash"), "node")).alias("two"),
+            F.max("node").alias("two"),
             F.count(F.lit(1)).alias("n"),
         )
         .where("n > 1")
-        .select("band", "one", F.col("two.node").alias("two"))
+        .select("band", "one", "two")
     )
     bands = written(
         _spread(band_rows(nodes), "node", "band").join(_salted(buckets), ["band", "salt"]).drop("salt"), "near-bands"
@@ -432,14 +440,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         .distinct()
     )
     best = (
-        likely(pairs, nodes, similarity)
+        likely(pairs, sets, similarity)
         .groupBy("u")
         .agg(F.max(F.struct("estimate", F.col("v"))).alias("best"))
         .select("u", F.col("best.v").alias("v"))
     )
     first = written(confirmed(best, sets, percent), "near-links")
     labels = written(components(first), "near-labels")
-    links = written(crossing(bands.select("band", "number", "node"), nodes, sets, labels, percent), "near-rest")
+    links = written(crossing(bands.select("band", "number", "node"), sets, labels, percent), "near-rest")
     stars = labels.where("node != component").select(F.col("node").alias("u"), F.col("component").alias("v"))
     same_id = found.select("doc_id", "digest").join(
         found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1"), "doc_id"

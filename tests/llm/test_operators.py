@@ -403,3 +403,13 @@ def test_stages_take_effect(spark, folder):
 
 def test_pipeline_of_empty_tables(spark, empty):
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_near_duplicates_of_ids_with_an_empty_row(spark):
+    """A repeated id with a null or empty text beside a text that has a near copy."""
+    words = [f"w{i}" for i in range(200)]
+    near = " ".join([*words[:-1], "other"])
+    rows = [(1, " ".join(words)), (1, None), (2, near), (2, ""), (3, "alone here with five words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles > 0, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect())
+    assert got == [(1, False, 1, True), (1, True, 1, True), (2, False, 1, False), (2, True, 1, False), (3, True, 3, True)]
