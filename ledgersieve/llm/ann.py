@@ -141,22 +141,23 @@ def nearest(
 ) -> DataFrame:
     """For each query row its ``k`` nearest other rows by inner product: query_id, rank, vec_id, score.
 
-    ``is_query`` is a condition on the column ``id``. Equal vectors are searched and found once, with their k + 1
-    smallest ids, so copies can't fill a leaf. The forest is fitted on at most ``SAMPLE_ROWS`` different vectors and
+    ``is_query`` is a condition on the column ``id``. Neighbours are different ids, none of them the query's own. An id
+    may occur in several rows: with one vector it counts once, with several its best product counts. Every query row
+    is answered, so equal query rows get equal answers. Equal vectors are searched and found once, with their k + 1
+    smallest different ids, so copies can't fill a leaf. The forest is fitted on at most ``SAMPLE_ROWS`` different vectors and
     holds every one of them in a leaf of each tree; a query visits the same share of all leaves at every size, and
     the candidates there are ranked by their exact product in double precision. Trees have 128 leaves, or more where
     those would have over 20,000 rows, and fewer for small tables, down to one (which is exhaustive).
     """
     spark = vectors.sparkSession
     rows = usable(vectors, id_column, vector_column)
-    by_id = Window.partitionBy("key").orderBy("id")
-    copies = (
-        rows.withColumn("nth", F.row_number().over(by_id))
-        .where(F.col("nth") <= k + 1)
-        .groupBy("key")
-        .agg(F.first("vector").alias("vector"), F.array_sort(F.collect_list("id")).alias("ids"))
-    )
-    classes = written(copies, "ann-classes")
+    # Different ids of a vector are limited in salted parts first, so a vector of many ids is no hot spot.
+    ids = rows.select("key", "id").distinct().withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    for keys in (["key", "salt"], ["key"]):
+        by_id = Window.partitionBy(*keys).orderBy("id")
+        ids = ids.withColumn("nth", F.row_number().over(by_id)).where(F.col("nth") <= k + 1)
+    ids = ids.groupBy("key").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    classes = written(rows.groupBy("key").agg(F.first("vector").alias("vector")).join(ids, "key"), "ann-classes")
     n = classes.count()
     sample = _matrix(r.vector for r in classes.select("vector", "key").orderBy("key").limit(SAMPLE_ROWS).collect())
     depth = max(0, min(int(np.log2(FEWEST_LEAVES)), int(np.log2(max(1, n / 40)))))
@@ -173,8 +174,8 @@ def nearest(
                 at = leaves_of(sent.value, _matrix(cut.column("vector").to_pylist()).astype(np.float32))
                 row = pa.array(np.repeat(np.arange(cut.num_rows), at.shape[1]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(at.ravel()), *(cut.column(c).take(row) for c in ("key", "vector"))],
-                    names=["leaf", "key", "vector"],
+                    [pa.array(at.ravel()), *(cut.column(c).take(row) for c in ("ids", "vector"))],
+                    names=["leaf", "ids", "vector"],
                 )
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +193,7 @@ def nearest(
                 names=["leaf", "key", "vector"],
             )
 
-    placed = classes.select("key", "vector").mapInArrow(place, "leaf int, key binary, vector binary")
+    placed = classes.select("ids", "vector").mapInArrow(place, "leaf int, ids array<long>, vector binary")
     query_keys = rows.where(is_query).select(F.col("key").alias("wanted")).distinct()
     asked = (
         classes.join(query_keys, F.col("key") == F.col("wanted"), "left_semi")
@@ -201,34 +202,42 @@ def nearest(
     )
 
     def rerank(_: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """The best k + 1 classes in a leaf for each query there (its own class may be one; ties stay)."""
+        """The best k + 1 different ids in a leaf for each query there (its own may be one)."""
         out = []
         if len(left) and len(right):
-            stored, keys = _matrix(right["vector"]), right["key"].to_numpy()
+            stored, lists = _matrix(right["vector"]), right["ids"].to_list()
+            ids, of = np.concatenate(lists), np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+            order = np.argsort(ids, kind="stable")
+            ids, of = ids[order], of[order]
+            head = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+            times = np.diff(np.append(head, len(ids)))
             for begin in range(0, len(left), 500):
                 scores = _matrix(left["vector"].iloc[begin : begin + 500]) @ stored.T
                 for i, own in enumerate(left["key"].iloc[begin : begin + 500]):
-                    line = scores[i]
-                    best = np.arange(len(line))
-                    if len(line) > k + 1:
-                        least = np.partition(line, len(line) - k - 1)[len(line) - k - 1]
-                        best = np.flatnonzero(line >= least - 1e-9 * max(1.0, abs(least)))
+                    line = scores[i][of]
+                    top = np.maximum.reduceat(line, head)
+                    floor = top - 1e-9 * np.maximum(1.0, np.abs(top))
+                    if len(top) > k + 1:
+                        least = np.partition(top, len(top) - k - 1)[len(top) - k - 1]
+                        floor = np.maximum(floor, least - 1e-9 * max(1.0, abs(least)))
+                    best = np.flatnonzero(line >= np.repeat(floor, times))
                     query = np.frombuffer(left["vector"].iloc[begin + i], "<f8")
-                    exact = [float((query * stored[b]).sum()) for b in best]
-                    out.append(pd.DataFrame({"query": [own] * len(best), "key": keys[best], "score": exact}))
-        return pd.concat(out) if out else pd.DataFrame({"query": [], "key": [], "score": []})
+                    exact = (query * stored[of[best]]).sum(axis=1)
+                    at = np.lexsort((ids[best], -exact))
+                    at = at[np.sort(np.unique(ids[best][at], return_index=True)[1])[: k + 1]]
+                    out.append(pd.DataFrame({"query": [own] * len(at), "vec_id": ids[best][at], "score": exact[at]}))
+        return pd.concat(out) if out else pd.DataFrame({"query": [], "vec_id": [], "score": []})
 
     found = (
         asked.groupBy("leaf")
         .cogroup(placed.groupBy("leaf"))
-        .applyInPandas(rerank, "query binary, key binary, score double")
-        .groupBy("query", "key")
+        .applyInPandas(rerank, "query binary, vec_id long, score double")
+        .groupBy("query", "vec_id")
         .agg(F.max("score").alias("score"))
     )
-    named = found.join(classes.select("key", F.explode("ids").alias("vec_id")), "key")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     best = (
-        named.withColumn("nth", F.row_number().over(order))
+        found.withColumn("nth", F.row_number().over(order))
         .where(F.col("nth") <= k + 1)
         .groupBy("query")
         .agg(F.array_sort(F.collect_list(F.struct("nth", "vec_id", "score"))).alias("near"))

@@ -301,6 +301,31 @@ def test_few_vectors_are_all_found(spark):
     assert [r.vec_id for r in near.orderBy("rank").collect()] == [4, 3, 2, 1]
 
 
+@pytest.mark.parametrize("times", [2, 30])
+def test_repeated_ids_leave_the_neighbours_whole(spark, times):
+    """Query rows that repeat, alone (0) and with another id of the same vector (20, 21), and an id of many vectors (1)."""
+    rng = np.random.default_rng(times)
+    vec = rng.normal(size=(45, 6))
+    vec /= np.linalg.norm(vec, axis=1)[:, None]
+    rows = [(i, v) for i, v in enumerate(vec) if i not in (1, 21)] + [(21, vec[20])]
+    rows += [(0, vec[0]), (20, vec[20])] * (times - 1)
+    rows += [(1, vec[0] * (1 + j / 100)) for j in range(times)]
+    data = [(i, v.tolist()) for i, v in rows]
+    near = ann.nearest(spark.createDataFrame(data, "vec_id long, embedding array<double>"), ann.F.col("id") % 20 == 0)
+    got = {}
+    for r in near.collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, round(r.score, 9)))
+    assert sorted(got) == [0, 20, 40]
+    for q, found in got.items():
+        best = {}
+        for i, v in rows:
+            if i != q:
+                best[i] = max(best.get(i, -9.0), float((vec[q] * v).sum()))
+        exact = sorted(best.items(), key=lambda p: (-round(p[1], 9), p[0]))[:20]
+        each = times if q in (0, 20) else 1
+        assert sorted(found) == sorted([(n, i, round(s, 9)) for n, (i, s) in enumerate(exact, 1)] * each)
+
+
 def test_language_held_out():
     rng = random.Random(1)
     sample = [(words(rng, lang, rng.randint(3, 60)), lang) for lang in LANGUAGES for _ in range(40)]
