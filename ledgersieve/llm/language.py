@@ -56,8 +56,8 @@ def codewords(classes: int, seed: int = 7) -> np.ndarray:
 
 
 def letter_table() -> np.ndarray:
-    """Whether each code point of the basic plane is a letter."""
-    return np.array([chr(c).isalpha() for c in range(0x10000)])
+    """Whether each code point is a letter."""
+    return np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
 LETTERS = letter_table()
@@ -71,7 +71,7 @@ def grams(text: str | None) -> np.ndarray | None:
     if not text:
         return None
     points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), np.uint32)
-    letter = LETTERS[np.minimum(points, 0xFFFF)] | (points > 0xFFFF)
+    letter = LETTERS[points]
     if not letter.any():
         return None
     keep = letter | np.concatenate([[True], letter[:-1]])

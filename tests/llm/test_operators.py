@@ -339,6 +339,15 @@ def test_language_held_out():
     assert all(0 <= s <= 1 for s in score.to_pylist())
 
 
+def test_letters_above_the_basic_plane():
+    rng = random.Random(1)
+    model = language.fit([(words(rng, lang, 20), lang) for lang in LANGUAGES for _ in range(10)])
+    names, score, unsure = language.scorer(model)()(["😀", "😀🎉 🚀", "12 😀 !?", "𝟏𝟐", "𠀀", "😀 the cat"])
+    assert names.to_pylist()[:4] == ["und"] * 4 and score.to_pylist()[:4] == [0.0] * 4
+    assert unsure.to_pylist()[:4] == [True] * 4
+    assert not {"und"} & set(names.to_pylist()[4:])
+
+
 def test_codewords_differ():
     for classes in (2, 3, 4, 6, 9, 20):
         code = language.codewords(classes)
