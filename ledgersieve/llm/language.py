@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgersieve.llm.shared import scored
+from ledgersieve.llm.shared import scored, written
 
 BUCKETS = 8192
 ORDERS = (1, 2, 3)
@@ -162,9 +162,23 @@ def scorer(model: Model) -> Callable[[], Callable[[list[str | None]], list[pa.Ar
     return lambda: predict
 
 
+def fair_level(sizes: list[int], most: float, rows: int) -> float:
+    """The largest number up to ``most`` such that languages cut to it have ``rows`` documents at most."""
+    left = float(rows)
+    for i, size in enumerate(sorted(sizes)):
+        level = left / (len(sizes) - i)
+        if size >= min(level, most):
+            return min(level, most)
+        left -= size
+    return float(most)
+
+
 def fit_language(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on about ``per_language`` documents of each language, ``rows`` at most, chosen by a hash of their ids.
+    """Fit on about ``per_language`` documents of each language, ``rows`` at most, chosen by a hash of id and text.
 
+    Many languages share ``rows`` evenly, and those with fewer documents than that are taken whole; the first document
+    of each comes before the second ones, so the bound removes no language (of more than ``rows`` the commonest stay).
+    Equal rows count once in the sample.
     Documents without lang or text, and those over 32 KB, are not in the sample (training only).
     """
     usable = docs.where(
@@ -172,14 +186,17 @@ def fit_language(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, rows:
     ).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
     )
-    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(rows)
-    share = counts.select(F.col("lang").alias("of"), F.least(F.lit(1.0), per_language / F.col("n")).alias("share"))
-    place = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) / 1_000_000.0
+    usable = usable.withColumn("place", F.xxhash64("doc_id", "text", F.lit(11)) / 2.0**64)
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("least"))
+    counts = written(counts.orderBy(F.desc("n"), "lang").limit(rows), "language-counts")
+    level = fair_level([row.n for row in counts.collect()], per_language, rows)
     chosen = (
-        usable.join(F.broadcast(share), F.col("lang") == F.col("of"))
-        .where(place < F.col("share"))
-        .select("text", "lang", "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        usable.join(F.broadcast(counts.withColumnRenamed("lang", "of")), F.col("lang") == F.col("of"))
+        .withColumn("nth", (F.col("place") - F.col("least")) * F.col("n"))
+        .where((F.col("nth") < level) | (F.col("n") <= level))
+        .select("nth", "text", "lang", "doc_id")
+        .distinct()
+        .orderBy("nth", "lang", "doc_id", "text")
         .limit(rows)
     )
     return fit([(row.text, row.lang) for row in chosen.collect()])

@@ -348,6 +348,15 @@ def test_letters_above_the_basic_plane():
     assert not {"und"} & set(names.to_pylist()[4:])
 
 
+def test_the_bound_on_the_sample_removes_no_language(spark):
+    rng = random.Random(2)
+    rows = [(100 * k + i, words(rng, "aa", 9), f"l{k:02}") for k in range(30) for i in range(10 if k < 20 else 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language.fit_language(docs, per_language=10, rows=60).languages == [f"l{k:02}" for k in range(30)]
+    assert language.fair_level([1, 10, 10], 10, 11) == 5
+    assert language.fair_level([3, 600, 9000], 500, 4000) == 500
+
+
 def test_codewords_differ():
     for classes in (2, 3, 4, 6, 9, 20):
         code = language.codewords(classes)
