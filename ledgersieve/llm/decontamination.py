@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +14,7 @@ from ledgersieve.llm.shared import text_chunks
 
 Q = 10
 EDIT_SHARE = 0.05
-MIN_PATTERN = 50
+MIN_PATTERN = 2 * Q
 MAX_PATTERN = 400
 BLOCK_BYTES = 4_000_000
 TABLE_BITS = 22
@@ -38,7 +38,10 @@ def least_shared(length: int) -> int:
 
 
 def patterns(text: str | None) -> list[str]:
-    """A normalised item; a long one as overlapping parts. Items under ``MIN_PATTERN`` characters have none."""
+    """A normalised item; a long one as overlapping parts. Items under ``MIN_PATTERN`` characters have none.
+
+    From there on a match within the budget shares at least one q-gram. Shorter items are looked for as they are.
+    """
     text = normal(text)
     if len(text) < MIN_PATTERN:
         return []
@@ -71,7 +74,10 @@ def slot(hashes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """A block of patterns: their q-grams sorted by hash, with pattern and place, and a bit table to look at first."""
+    """A block of patterns: their q-grams sorted by hash, with pattern and place, and a bit table to look at first.
+
+    ``short`` has the items under ``MIN_PATTERN`` characters by length: text and ids.
+    """
 
     items: np.ndarray
     texts: list[str]
@@ -79,12 +85,17 @@ class Index:
     pattern: np.ndarray
     place: np.ndarray
     seen: np.ndarray
+    short: dict[int, dict[str, list[int]]] = field(default_factory=dict)
 
 
 def index(items: list[tuple[int, str]]) -> Index:
     ids, texts, hashes, pattern, place = [], [], [], [], []
     known = set()
+    short: dict[int, dict[str, list[int]]] = {}
     for item_id, text in items:
+        whole = normal(text)
+        if 0 < len(whole) < MIN_PATTERN:
+            short.setdefault(len(whole), {}).setdefault(whole, []).append(item_id)
         for p in patterns(text):
             if (item_id, p) in known:
                 continue
@@ -97,12 +108,12 @@ def index(items: list[tuple[int, str]]) -> Index:
             texts.append(p)
     if not texts:
         empty = np.zeros(0, np.int32)
-        return Index(np.zeros(0, np.int64), [], np.zeros(0, np.uint64), empty, empty, np.zeros(1 << TABLE_BITS, bool))
+        return Index(np.zeros(0, np.int64), [], np.zeros(0, np.uint64), empty, empty, np.zeros(1 << TABLE_BITS, bool), short)
     h, p, a = np.concatenate(hashes), np.concatenate(pattern), np.concatenate(place)
     order = np.argsort(h, kind="stable")
     seen = np.zeros(1 << TABLE_BITS, bool)
     seen[slot(h)] = True
-    return Index(np.array(ids, np.int64), texts, h[order], p[order], a[order], seen)
+    return Index(np.array(ids, np.int64), texts, h[order], p[order], a[order], seen, short)
 
 
 def banded(pattern: np.ndarray, text: np.ndarray, most: int) -> tuple[int, int, int] | None:
@@ -177,6 +188,32 @@ def regions(found: Index, hashes: np.ndarray) -> list[tuple[int, int, int]]:
     return out
 
 
+def short_hits(found: Index, plain: str, codes: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """item_id, start and stop of the first place where a short item stands as whole words in a normalised text."""
+    value = np.zeros(len(codes), np.uint64)
+    for size in range(1, min(max(found.short, default=0), len(codes)) + 1):
+        n = len(codes) - size + 1
+        value = value[:n] * BASE + codes[size - 1 :][:n]
+        if size not in found.short:
+            continue
+        left = dict(found.short[size])
+        grid = np.stack([points(item) for item in left])
+        wanted = np.zeros(len(grid), np.uint64)
+        for k in range(size):
+            wanted = wanted * BASE + grid[:, k]
+        for start in np.flatnonzero(np.isin(value, wanted)).tolist():
+            stop = start + size
+            item = plain[start:stop]
+            if (
+                item in left
+                and not (start and plain[start - 1].isalnum() and item[0].isalnum())
+                and not (stop < len(plain) and plain[stop].isalnum() and item[-1].isalnum())
+            ):
+                yield from ((item_id, start, stop) for item_id in left.pop(item))
+                if not left:
+                    break
+
+
 def hits(found: Index, text: str | None) -> list[tuple[int, int, int, int]]:
     """item_id, start, stop (places in the normalised text) and edits of the matches in a whole text, the best of each item."""
     plain = normal(text)
@@ -196,14 +233,22 @@ def hits(found: Index, text: str | None) -> list[tuple[int, int, int, int]]:
             item = int(found.items[which])
             new = (got[0], begin + got[1], begin + got[2])
             best[item] = min(best.get(item, new), new)
+    for item, start, stop in short_hits(found, plain, codes):
+        best[item] = min(best.get(item, (0, start, stop)), (0, start, stop))
     return [(item, start, stop, edits) for item, (edits, start, stop) in sorted(best.items())]
 
 
-def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str]]]:
-    """The benchmark's items in blocks of about ``block_bytes``, by a hash of the id. Null ids and texts are left out."""
+def blocks(
+    benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, without_id: bool = False
+) -> Iterator[list[tuple[int, str]]]:
+    """The benchmark's items in blocks of about ``block_bytes``, by a hash of the id. Null texts are left out.
+
+    Items with a null id are left out too, or get the id 0 with ``without_id``.
+    """
     items = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
-    ).where("item_id is not null and text is not null")
+    ).where("text is not null")
+    items = items.fillna(0, ["item_id"]) if without_id else items.where("item_id is not null")
     size = items.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     parts = max(1, -(-size // block_bytes))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
@@ -215,10 +260,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK
     """A row for each document and benchmark item with a match: doc_id, item_id, start, stop and edits.
 
     A match is a passage of the document's normalised text within an edit distance of 5 % of the item's normalised
-    text (of a 400-character part of longer items; items under 50 characters are not looked for). Start and stop are
-    places in the normalised text, of the match with the fewest edits. Every block of the benchmark is held against
-    all documents; documents are not shuffled. Null and empty texts match nothing, an empty benchmark gives no rows,
-    repeated rows are reported as often as they occur.
+    text (of a 400-character part of longer items), or an exact copy as whole words of an item under 20 characters.
+    Items without an id can't be reported; ``clean`` looks for them too. Start and stop are places in the normalised
+    text, of the match with the fewest edits. Every block of the benchmark is held against all documents; documents
+    are not shuffled. Null and empty texts match nothing, an empty benchmark gives no rows, repeated rows are reported
+    as often as they occur.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = None
@@ -246,9 +292,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents without a match; all columns stay."""
+    """The documents without a match, of items without an id too; all columns stay."""
     out = docs
-    for items in blocks(benchmark, block_bytes):
+    for items in blocks(benchmark, block_bytes, without_id=True):
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

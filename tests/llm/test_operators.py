@@ -225,6 +225,20 @@ def test_edits_within_the_budget_are_found_and_more_are_not():
         assert all(hit[3] <= edits for hit in got)
 
 
+def test_short_items_and_items_without_an_id_are_found(spark):
+    items = [(1, "what is the capital of peru"), (2, "Who wrote  it?"), (3, "lima"), (4, "2 + 2"), (None, "q" * 70), (None, "oslo")]
+    texts = [
+        "so: What is the capital of Peru", "what is the capitol of peru", "they ask who wrote it? now", "in Lima.", "limas",
+        "is 2 + 2 four", "is 12 + 2 less", "a " + "q" * 70, "from Oslo", "nothing here", "unwho wrote it", None, "", "what is the peru",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame([*items, (3, "lima"), (5, "")], "item_id long, text string")
+    found = sorted((r.doc_id, r.item_id, r.start, r.stop, r.edits) for r in decontamination.contaminated(docs, benchmark).collect())
+    assert [f[:2] + f[4:] for f in found] == [(0, 1, 0), (1, 1, 1), (2, 2, 0), (3, 3, 0), (5, 4, 0)]
+    assert [texts[f[0]][f[2] : f[3]].lower() for f in found[2:]] == ["who wrote it?", "lima", "2 + 2"]
+    assert sorted(r.doc_id for r in decontamination.clean(docs, benchmark).collect()) == [4, 6, 9, 10, 11, 12, 13]
+
+
 def test_near_duplicates_equal_brute_force(spark, folder):
     docs = table(spark, folder, "documents")
     for size in (2, 5):
