@@ -11,15 +11,12 @@ from ledgersieve.llm import decontamination, language, minhash, packing, toxicit
 from ledgersieve.llm.registered import table
 from ledgersieve.llm.shared import held_out_is, written
 
-#: A clean document weighs as much as a toxic one here, so the cut is at even odds.
-TOXIC_FROM = 0.5
-
 
 def keep_ordinary(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that are toxic at even odds. Null and empty texts stay unless every text would go."""
+    """Drop documents that op3 calls toxic. Null and empty texts stay unless no evidence alone reaches that cut."""
     model = toxicity.fit_toxicity(docs.where(~held_out_is("doc_id", 4, 2)), table(spark, sf_dir, "labels"))
     found = toxicity.toxicity(docs, model, column="__toxicity")
-    return found.where(F.col("__toxicity") < TOXIC_FROM).select(docs.columns)
+    return found.where(F.col("__toxicity") < toxicity.THRESHOLD).select(docs.columns)
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

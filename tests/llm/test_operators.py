@@ -458,6 +458,14 @@ def test_stages_take_effect(spark, folder):
     assert {r.doc_id for r in corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()} == set(ids)
 
 
+def test_the_toxicity_stage_drops_what_op3_calls_toxic(spark, folder, monkeypatch):
+    score = corpus_pipeline.F.col("doc_id") / 100
+    monkeypatch.setattr(toxicity, "fit_toxicity", lambda docs, labels: None)
+    monkeypatch.setattr(toxicity, "toxicity", lambda docs, model, keep_text=True, column="score": docs.withColumn(column, score))
+    docs = spark.createDataFrame([(i, "x") for i in (0, 29, 30, 45, 50, 90)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.keep_ordinary(spark, docs, folder).collect()) == [0, 29]
+
+
 def test_pipeline_of_empty_tables(spark, empty):
     assert corpus_pipeline.run(spark, empty).count() == 0
 
