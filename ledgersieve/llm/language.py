@@ -57,7 +57,7 @@ def codewords(classes: int, seed: int = 7) -> np.ndarray:
 
 def letter_table() -> np.ndarray:
     """Whether each code point is a letter."""
-    return np.array([chr(c).isalpha() for c in range(0x110000)])
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
 LETTERS = letter_table()
