@@ -8,6 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgersieve.functions import clock
 
@@ -47,6 +48,55 @@ def quality_checks(rows: DataFrame, as_of: datetime) -> DataFrame:
     )
 
 
+#: Counts of one period that add up to the checks of all: no key occurs in two periods, as the posting time is part of it.
+PERIOD_STATE = T.StructType(
+    [
+        T.StructField("posted_period", T.DateType()),
+        T.StructField("row_count", T.LongType()),
+        T.StructField("null_keys", T.LongType()),
+        T.StructField("repeated_keys", T.LongType()),
+        T.StructField("newest", T.TimestampNTZType()),
+    ]
+)
+
+
+def period_states(rows: DataFrame) -> DataFrame:
+    """``PERIOD_STATE`` of rows that have their period: per key first, so a hot key or period is a row for each task."""
+    missing = F.col("account_id").isNull() | F.col("currency").isNull()
+    per_key = rows.groupBy("posted_period", "natural_key").agg(
+        F.count(F.lit(1)).alias("times"), F.count_if(missing).alias("missing"), F.max("posted_at").alias("newest")
+    )
+    return per_key.groupBy("posted_period").agg(
+        F.sum("times").alias("row_count"),
+        F.sum("missing").alias("null_keys"),
+        F.count_if(F.col("times") > 1).alias("repeated_keys"),
+        F.max("newest").alias("newest"),
+    )
+
+
+def late_periods(states: DataFrame, as_of: datetime) -> DataFrame:
+    """Periods whose newest posting is after the clock's limit, most often none: only their rows need a look."""
+    return states.where(F.col("newest") > clock.acceptance_limit(as_of)).select("posted_period")
+
+
+def checks_from_states(states: DataFrame, late_rows: DataFrame, as_of: datetime) -> DataFrame:
+    """The rows of ``quality_checks`` over all periods, from their stored counts.
+
+    How many postings are after the limit depends on the clock, so it can't be counted beforehand; ``late_rows`` are
+    the rows of ``late_periods``.
+    """
+    # The three check names.
+    names = ["null_key_check", "future_timestamp_check", "duplicate_natural_key_check"]
+    late = late_rows.agg(F.count_if(F.col("posted_at") > clock.acceptance_limit(as_of)).alias("n"))
+    counts = states.agg(
+        F.coalesce(F.sum("null_keys"), F.lit(0)).alias(names[0]), F.coalesce(F.sum("repeated_keys"), F.lit(0)).alias(names[2])
+    ).select("*", late.scalar().alias(names[1]))
+    pairs = [part for name in names for part in (F.lit(name), F.col(name))]
+    return counts.select(F.stack(F.lit(len(names)), *pairs).alias("check_name", "failing_count")).select(
+        "check_name", (F.col("failing_count") == 0).alias("passed"), "failing_count"
+    )
+
+
 def freshness_lag(rows: DataFrame, as_of: datetime) -> DataFrame:
     """Whole minutes between the newest posting and the clock; null without rows."""
     return rows.agg(clock.lag_minutes(F.max("posted_at"), as_of).alias("freshness_lag_minutes"))
@@ -67,8 +117,11 @@ class QualityResult:
 
 def run_quality_checks(rows: DataFrame, as_of: datetime) -> QualityResult:
     """Evaluate the checks; three rows come to the driver."""
-    found = quality_checks(rows, as_of).collect()
-    return QualityResult([(r.check_name, r.passed, r.failing_count) for r in found])
+    return verdict_of(quality_checks(rows, as_of))
+
+
+def verdict_of(checks: DataFrame) -> QualityResult:
+    return QualityResult([(r.check_name, r.passed, r.failing_count) for r in checks.collect()])
 
 
 def _rule_rows(model: str, rule: str, counts: DataFrame, columns: Iterable[str]) -> DataFrame:

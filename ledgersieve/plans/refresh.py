@@ -1,27 +1,27 @@
 """Loading a feed and bringing the derived layers up to date, in full or only where something changed.
 
 Every version of a transaction has the same ``posted_at`` (it is part of the natural key), so a load can only
-change silver, gold and notes rows of the periods it has rows for.
+change silver, gold and notes rows of the periods it has rows for. Each layer notes the version of the loads it holds;
+what later versions brought is pending, and the manifest says which periods that touches.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgersieve.functions import clock, parsing, text
 from ledgersieve.operators import conform, ingest, publish
-from ledgersieve.plans.warehouse import PERIOD, Warehouse
-from ledgersieve.schemas import LAYER_REFRESHES
-from ledgersieve.sinks.appends import one_row
+from ledgersieve.plans.snapshots import Version
+from ledgersieve.plans.warehouse import LOADED, LOADED_RUNS, LOADS, PERIOD, Warehouse
 
 
 def _replay_candidates(warehouse: Warehouse, run_id: str) -> DataFrame:
-    other_runs = (F.col("route") == "bronze") & (F.col("load_run_id") != run_id)
-    return warehouse.routed().where(other_runs).select(*ingest.HASH_KEY, PERIOD)
+    other_runs = (F.col("route") == "bronze") & ~F.col("load_run_id").eqNullSafe(run_id)
+    return warehouse.routed(other_runs).select(*ingest.HASH_KEY, PERIOD)
 
 
 def net_new_rows(warehouse: Warehouse, feed: DataFrame, run_id: str, as_of: datetime) -> DataFrame:
@@ -58,14 +58,24 @@ class LoadCounts:
 def load_feed(warehouse: Warehouse, feed: DataFrame, run_id: str, as_of: datetime) -> LoadCounts:
     """Route a feed into bronze and quarantine in one write job, then count what landed.
 
-    The counts come from the written partition (no data columns are read), not from accumulators, so a task
-    that runs twice cannot change them.
+    The counts come from the manifest of the written files, not from accumulators, so a task that runs twice cannot
+    change them.
     """
-    used = warehouse.refreshes().where(F.col("load_run_id") == run_id)
-    if not used.isEmpty():
+    now = warehouse.version()
+    known = warehouse.snapshots.manifest(now, LOADED, LOADED_RUNS).where(F.col("load_run_id") == run_id).first()
+    if known and known.version <= max((now.held(layer) for layer in now.layers), default=0):
         raise ValueError(f"run id {run_id!r} was already loaded; give every run its own id")
     warehouse.write_routed(net_new_rows(warehouse, feed, run_id, as_of), run_id)
-    landed = ingest.run_counters(warehouse.routed().where(F.col("load_run_id") == run_id)).collect()
+    landed = (
+        warehouse.files(LOADS)
+        .where(F.col("load_run_id") == run_id)
+        .groupBy("source_name")
+        .agg(
+            F.sum(F.when(F.col("route") == "bronze", F.col("row_count")).otherwise(0)).alias("ingested"),
+            F.sum(F.when(F.col("route") == "quarantine", F.col("row_count")).otherwise(0)).alias("quarantined"),
+        )
+        .collect()
+    )
     by_source = {row.source_name: (row.ingested, row.quarantined) for row in landed}
     return LoadCounts(
         ingested=sum(pair[0] for pair in by_source.values()),
@@ -76,20 +86,19 @@ def load_feed(warehouse: Warehouse, feed: DataFrame, run_id: str, as_of: datetim
 
 @dataclass(frozen=True)
 class RefreshScope:
-    """What a layer refresh must cover. ``periods`` is None for all of them (a forced one, or the clock went back)."""
+    """What a layer refresh must cover, worked out at one version.
+
+    ``periods`` is a small table of them, or None for all (a forced refresh, a first one, or the clock went back).
+    """
 
-    load_runs: list[str]
-    periods: list[date] | None
-    number: int
+    start: Version
+    periods: DataFrame | None
+    nothing_to_do: bool = False
 
     @property
     def full(self) -> bool:
         return self.periods is None
 
-    @property
-    def nothing_to_do(self) -> bool:
-        return self.periods == []
-
 
 def refresh_scopes(
     warehouse: Warehouse, layers: list[str], as_of: datetime, force_full: bool = False
@@ -98,49 +107,32 @@ def refresh_scopes(
 
     A partial refresh equals a full one as long as the clock does not go back: rows accepted at one time pass
     the same check at any later one. If it went back, now or at the last refresh, the scope is full.
-    The refresh log comes to the driver whole: a row per run and layer, whatever the data size. So do the periods
-    of the loads that are not merged yet: at most one row per load and calendar period.
+    The periods stay a table: they come from the manifest, and reads and checks join them.
     """
-    log = warehouse.refreshes().collect()
-    held = warehouse.routed().where("route = 'bronze'").select("load_run_id", PERIOD)
+    now = warehouse.version()
     scopes = {}
-    partial: dict[str, set[str]] = {}
-    numbers = {}
+    pending: dict[int, RefreshScope] = {}
     for layer in layers:
-        own = [row for row in log if row.layer == layer]
-        last = max(own, key=lambda row: row.refresh_number, default=None)
-        numbers[layer] = last.refresh_number + 1 if last else 1
-        latest_clock = max((row.as_of for row in own), default=None)
-        if last and not force_full and latest_clock <= as_of and latest_clock == last.as_of:
-            partial[layer] = {row.load_run_id for row in own if row.load_run_id}
-    if partial:
-        held_by_all = sorted(set.intersection(*partial.values()))
-        missing = held.where(~F.col("load_run_id").isin(held_by_all)).distinct()
-        pending = missing.collect()
-        for layer, merged in partial.items():
-            own = [row for row in pending if row.load_run_id not in merged]
-            scopes[layer] = RefreshScope(
-                load_runs=sorted({row.load_run_id for row in own}),
-                periods=sorted({row[PERIOD] for row in own}),
-                number=numbers[layer],
-            )
-    rest = [layer for layer in layers if layer not in scopes]
-    if rest:
-        all_runs = sorted(row.load_run_id for row in held.select("load_run_id").distinct().collect())
-        scopes.update({layer: RefreshScope(all_runs, None, numbers[layer]) for layer in rest})
+        last, latest = now.clock(layer), now.clock(layer, "latest")
+        if force_full or last is None or latest > as_of or latest != last:
+            scopes[layer] = RefreshScope(now, None)
+            continue
+        held = now.held(layer)
+        if held not in pending:
+            new = (F.col("route") == "bronze") & (F.col("version") > held)
+            periods = warehouse.snapshots.kept(warehouse.snapshots.manifest(now, LOADS).where(new).select(PERIOD).distinct())
+            pending[held] = RefreshScope(now, periods, periods.isEmpty())
+        scopes[layer] = pending[held]
     return scopes
 
 
-def _log_refresh(warehouse: Warehouse, layer: str, scope: RefreshScope, as_of: datetime) -> None:
-    """Written after the layer: if the driver dies in between, the next run refreshes again."""
-    runs = F.explode(F.array([F.lit(run) for run in scope.load_runs] or [F.lit(None).cast("string")]))
-    entry = {"layer": layer, "as_of": as_of, "refresh_number": scope.number}
-    (
-        one_row(warehouse.spark, LAYER_REFRESHES, entry)
-        .withColumn("load_run_id", runs)
-        .write.mode("append")
-        .parquet(warehouse.path("layer_refreshes"))
-    )
+def _held_after(scope: RefreshScope, layer: str, as_of: datetime) -> dict:
+    latest = scope.start.clock(layer, "latest")
+    return {
+        "holds": scope.start.number,
+        "as_of": as_of.isoformat(),
+        "latest": max(as_of, latest or as_of).isoformat(),
+    }
 
 
 def refresh_silver(warehouse: Warehouse, as_of: datetime, force_full: bool = False) -> RefreshScope:
@@ -149,19 +141,27 @@ def refresh_silver(warehouse: Warehouse, as_of: datetime, force_full: bool = Fal
     if scope.nothing_to_do:
         return scope
     bronze = warehouse.bronze() if scope.full else warehouse.bronze_of(scope.periods)
-    warehouse.replace_layer(layer, conform.silver(bronze, as_of), scope.periods)
-    _log_refresh(warehouse, layer, scope, as_of)
+    made = warehouse.replace_layer(layer, conform.silver(bronze, as_of), scope.periods, _held_after(scope, layer, as_of))
+    warehouse.put_in_force(scope.start, [made])
     return scope
 
 
-def publish_layers(warehouse: Warehouse, as_of: datetime, scopes: dict[str, RefreshScope]) -> None:
-    """Refresh gold and notes from stored silver."""
+def publish_layers(warehouse: Warehouse, as_of: datetime, scopes: dict[str, RefreshScope]) -> Version | None:
+    """Refresh gold and notes from stored silver; one version brings both, so no reader sees one without the other.
+
+    Until that version the new files are in no manifest: a crash before it leaves everything as it was, and the next
+    run finds the same loads pending.
+    """
     builders = {
         "gold_daily_account_summary": lambda rows: publish.gold_daily_account_summary(rows, as_of),
         "ai_ready_financial_notes": publish.financial_notes,
     }
+    made = []
     for layer, build in builders.items():
         scope = scopes[layer]
         if not scope.nothing_to_do:
-            warehouse.replace_layer(layer, build(warehouse.silver(scope.periods)), scope.periods)
-            _log_refresh(warehouse, layer, scope, as_of)
+            rows = build(warehouse.silver(scope.periods))
+            made.append(warehouse.replace_layer(layer, rows, scope.periods, _held_after(scope, layer, as_of)))
+    if not made:
+        return None
+    return warehouse.put_in_force(min((s.start for s in scopes.values()), key=lambda v: v.number), made)

@@ -319,7 +319,8 @@ def gold_incremental_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A range of posting times from stored silver: only the years that overlap it are read."""
     warehouse = Warehouse(spark, scratch_dir(spark, "warehouse"), GRAIN)
-    warehouse.replace_layer("silver_transactions", _silver(spark, sf_dir))
+    silver = warehouse.replace_layer("silver_transactions", _silver(spark, sf_dir))
+    warehouse.put_in_force(warehouse.version(), [silver])
     return warehouse.silver_between(*RANGE)
 
 

@@ -1,46 +1,54 @@
-"""Where the layer tables are stored, and how they are read and replaced.
+"""The stored layer tables: where they lie, how they are read, replaced and compacted.
 
 Layout under ``base_dir``:
 
-``transactions/load_run_id=R/route=bronze|quarantine/source_name=S/posted_period=D``
-    both routes of every load, written by one job per run, so that a run lands as a whole or not at all;
-``silver_transactions``, ``gold_daily_account_summary``, ``ai_ready_financial_notes``
-    partitioned by ``posted_period``;
-``pipeline_runs``, ``layer_refreshes``, ``settings``
-    small tables with a few rows per run.
-
-``posted_period`` is the day of ``posted_at``, or the first day of its month or year, as the grain says. Choose
-the finest grain at which a period still fills a file (100 MB or more): a coarser one re-ranks more rows per
-late row, a finer one writes many small files.
+``transactions/write=W/route=bronze|quarantine/source_name=S/posted_period=D``
+    both routes of every load; a load is one write;
+``silver_transactions``, ``gold_daily_account_summary``, ``ai_ready_financial_notes`` ``/write=W/posted_period=D``
+    derived layers, replaced period by period;
+``_log``
+    the manifest of files and its versions (see ``snapshots``);
+``pipeline_runs``, ``pipeline_metrics``
+    one row per run.
+
+A write shows nothing until a version names its files, so readers see loads and layers whole, and what a crash leaves
+behind is never read. ``posted_period`` is the day of ``posted_at``, or the first day of its month or year, as the grain
+says. Choose the finest grain at which a period still fills a file (100 MB or more): a coarser one re-ranks more rows
+per late row, a finer one writes many small files.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
+from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ledgersieve import schemas
 from ledgersieve.functions import clock
+from ledgersieve.operators import quality
 from ledgersieve.operators.ingest import accepted_rows, rejected_rows
+from ledgersieve.plans import files as store
+from ledgersieve.plans.snapshots import ConcurrentChange, Snapshots, Version, no_rows
 from ledgersieve.sinks.appends import one_row
 
 PERIOD = "posted_period"
+LOADS = "transactions"
+LOADED = "loads"
+CHECKS = "silver_checks"
+LOADED_RUNS = T.StructType([T.StructField("load_run_id", T.StringType()), T.StructField("version", T.LongType())])
+LOAD_FOLDERS = ["route", "source_name", PERIOD]
 
-# Layer table -> its schema and the column its period is taken from.
+# Layer table -> its schema, the column its period is taken from, and the order of the rows within a period.
 PERIODIC_LAYERS = {
-    "silver_transactions": (schemas.SILVER, "posted_at"),
-    "gold_daily_account_summary": (schemas.GOLD, "run_date"),
-    "ai_ready_financial_notes": (schemas.NOTES, "transaction_date"),
-}
-
-SMALL_TABLES = {
-    "pipeline_runs": schemas.PIPELINE_RUNS,
-    "layer_refreshes": schemas.LAYER_REFRESHES,
-    "settings": T.StructType([T.StructField("grain", T.StringType())]),
+    "silver_transactions": (schemas.SILVER, "posted_at", ["posted_at", "natural_key"]),
+    "gold_daily_account_summary": (schemas.GOLD, "run_date", ["run_date", "account_id", "currency"]),
+    "ai_ready_financial_notes": (schemas.NOTES, "transaction_date", ["transaction_date", "account_id", "natural_key"]),
 }
 
 
@@ -48,83 +56,80 @@ def _with_period(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(PERIOD, T.DateType())])
 
 
+@dataclass(frozen=True)
+class Replacement:
+    """New files of a layer that are written but in no version yet."""
+
+    tables: dict[str, DataFrame]
+    held: dict[str, dict]
+
+
 class Warehouse:
-    def __init__(self, spark: SparkSession, base_dir: str, grain: str = "day"):
+    """The tables as of one version; ``refreshed()`` gives them as of the newest one.
+
+    Reads without a version see the newest one at the time of the call.
+    """
+
+    def __init__(self, spark: SparkSession, base_dir: str, grain: str = "day", version: int | None = None):
         clock.period_of(F.lit(None), grain)  # rejects an unknown grain
         self.spark = spark
         self.base_dir = base_dir.rstrip("/")
         self.grain = grain
-        self._create_missing_tables()
-        self._check_grain()
-
-    def _create_missing_tables(self) -> None:
-        """Every table exists from the start, so that reads need no special case. Existing ones are kept."""
-        partitioned = {"transactions": (schemas.ROUTED, ["load_run_id", "route", "source_name", PERIOD])}
-        for name, (schema, _) in PERIODIC_LAYERS.items():
-            partitioned[name] = (_with_period(schema), [PERIOD])
-        for name, (schema, folders) in partitioned.items():
-            self._no_rows(schema).write.mode("ignore").partitionBy(*folders).parquet(self.path(name))
-        for name, schema in SMALL_TABLES.items():
-            self._no_rows(schema).write.mode("ignore").parquet(self.path(name))
-
-    def _check_grain(self) -> None:
-        """The grain is part of the stored layout, so a warehouse keeps the one it was made with."""
-        stored = [row.grain for row in self._read("settings", SMALL_TABLES["settings"]).take(1)]
-        if not stored:
-            settings = one_row(self.spark, SMALL_TABLES["settings"], {"grain": self.grain})
-            settings.write.mode("append").parquet(self.path("settings"))
-        elif stored[0] != self.grain:
-            raise ValueError(f"this warehouse was made with grain {stored[0]!r}, not {self.grain!r}")
+        self.snapshots = Snapshots(spark, self.base_dir)
+        stored = self.snapshots.start(grain)
+        if stored.grain != grain:
+            raise ValueError(f"this warehouse was made with grain {stored.grain!r}, not {grain!r}")
+        self._fixed = None if version is None else self.snapshots.at(version)
+
+    def version(self) -> Version:
+        return self._fixed or self.snapshots.newest()
 
     def path(self, table: str) -> str:
         return f"{self.base_dir}/{table}"
 
-    def _no_rows(self, schema: T.StructType) -> DataFrame:
-        return self.spark.range(0, 0, 1, 1).select([F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+    # Reads ------------------------------------------------------------------------------------------
 
-    def _read(self, table: str, schema: T.StructType) -> DataFrame:
-        """Read a table with its schema given (run ids and names must not be guessed to be numbers)."""
+    def _small(self, table: str, schema: T.StructType) -> DataFrame:
+        """A table of one row per run. It has no folder before its first row."""
+        if not any(name.startswith("part-") for name in store.names(self.spark, self.path(table))):
+            return no_rows(self.spark, schema)
         return self.spark.read.schema(schema).parquet(self.path(table))
 
-    # Reads ------------------------------------------------------------------------------------------
-
-    def routed(self) -> DataFrame:
-        return self._read("transactions", schemas.ROUTED)
+    def routed(self, chosen: Column | DataFrame | None = None) -> DataFrame:
+        return self.snapshots.read(self.version(), LOADS, schemas.ROUTED, chosen)
 
     def bronze(self) -> DataFrame:
-        return accepted_rows(self.routed())
+        return accepted_rows(self.routed(F.col("route") == "bronze"))
 
-    def bronze_of(self, periods: list[date]) -> DataFrame:
-        return accepted_rows(self.routed().where(F.col(PERIOD).isin(periods)))
+    def bronze_of(self, periods: DataFrame) -> DataFrame:
+        """Accepted rows of the periods in a table of them; only their files are opened."""
+        return accepted_rows(self.routed(periods))
 
     def quarantine(self) -> DataFrame:
-        return rejected_rows(self.routed())
+        return rejected_rows(self.routed(F.col("route") == "quarantine"))
 
-    def stored(self, layer: str) -> DataFrame:
+    def stored(self, layer: str, chosen: Column | DataFrame | None = None) -> DataFrame:
         """A periodic layer with its partition column."""
-        schema, _ = PERIODIC_LAYERS[layer]
-        return self._read(layer, _with_period(schema))
+        return self.snapshots.read(self.version(), layer, _with_period(PERIODIC_LAYERS[layer][0]), chosen)
 
-    def layer(self, layer: str, periods: list[date] | None = None) -> DataFrame:
-        rows = self.stored(layer)
-        if periods is not None:
-            rows = rows.where(F.col(PERIOD).isin(periods))
-        return rows.drop(PERIOD)
+    def layer(self, layer: str, periods: DataFrame | None = None) -> DataFrame:
+        return self.stored(layer, periods).drop(PERIOD)
 
-    def silver(self, periods: list[date] | None = None) -> DataFrame:
+    def silver(self, periods: DataFrame | None = None) -> DataFrame:
         return self.layer("silver_transactions", periods)
 
     def silver_between(self, start: datetime, end: datetime) -> DataFrame:
-        """Silver rows posted in [start, end). Only the periods that overlap it are read."""
+        """Silver rows posted in [start, end). Only files whose least and greatest time overlap it are opened."""
         first, last = (clock.period_of(clock.at(moment), self.grain) for moment in (start, end))
-        rows = self.stored("silver_transactions").where(F.col(PERIOD).between(first, last))
+        overlapping = (F.col("greatest") >= clock.at(start)) & (F.col("least") < clock.at(end))
+        rows = self.stored("silver_transactions", overlapping).where(F.col(PERIOD).between(first, last))
         in_range = (F.col("posted_at") >= clock.at(start)) & (F.col("posted_at") < clock.at(end))
         return rows.where(in_range).drop(PERIOD)
 
     def newest_silver(self) -> DataFrame:
         """Silver rows of the newest period, found at run time and used as a partition filter."""
         rows = self.stored("silver_transactions")
-        newest = rows.agg(F.max(PERIOD)).scalar()
+        newest = self.files("silver_transactions").agg(F.max(PERIOD)).scalar()
         return rows.where(F.col(PERIOD) == newest).drop(PERIOD)
 
     def gold(self) -> DataFrame:
@@ -134,10 +139,23 @@ class Warehouse:
         return self.layer("ai_ready_financial_notes")
 
     def runs(self) -> DataFrame:
-        return self._read("pipeline_runs", schemas.PIPELINE_RUNS)
+        return self._small("pipeline_runs", schemas.PIPELINE_RUNS)
+
+    def files(self, table: str) -> DataFrame:
+        """The manifest of a table: a row for each file."""
+        return self.snapshots.manifest(self.version(), table)
+
+    def loads(self) -> DataFrame:
+        """A row for each load that was committed: load_run_id, and the version that brought it first."""
+        return self.snapshots.manifest(self.version(), LOADED, LOADED_RUNS)
 
-    def refreshes(self) -> DataFrame:
-        return self._read("layer_refreshes", schemas.LAYER_REFRESHES)
+    def check_states(self) -> DataFrame:
+        """Counts of each silver period that the quality checks need; stored with the rows they count."""
+        return self.snapshots.manifest(self.version(), CHECKS, quality.PERIOD_STATE)
+
+    def row_count(self, table: str) -> int:
+        """From the manifest; no data is read."""
+        return self.files(table).agg(F.sum("row_count").alias("n")).first()["n"] or 0
 
     def register_views(self) -> None:
         """Make every layer table available to ``spark.sql`` under its name."""
@@ -154,53 +172,130 @@ class Warehouse:
 
     # Writes -----------------------------------------------------------------------------------------
 
-    def write_routed(self, routed: DataFrame, run_id: str) -> None:
-        """Land one run. The run's folder is replaced as a whole, so a retried run does not double.
+    def write_routed(self, routed: DataFrame, run_id: str) -> Version:
+        """Land one load. It becomes visible as a whole; a load with the same id is replaced, so a retry does not double.
 
         ``rebalance`` gathers each partition folder's rows into few files; where one source or period holds
         much of the data, AQE splits it over several tasks.
         """
         if not re.fullmatch(r"[A-Za-z0-9._-]+", run_id):
             raise ValueError(f"run id {run_id!r} cannot be a folder name")
-        folders = ["route", "source_name", PERIOD]
-        (
-            routed.drop("load_run_id")
-            .hint("rebalance", *folders)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(*folders)
-            .parquet(f"{self.path('transactions')}/load_run_id={run_id}")
+        write_id = f"{run_id}-{uuid.uuid4().hex[:12]}"
+        self.snapshots.write(LOADS, routed.hint("rebalance", *LOAD_FOLDERS), LOAD_FOLDERS, write_id)
+        while True:
+            start = self.snapshots.newest()
+            number = start.number + 1
+            added = self.snapshots.listed(LOADS, schemas.ROUTED, write_id, "posted_at", number, run_id)
+            kept = self.snapshots.manifest(start, LOADS).where(~F.col("load_run_id").eqNullSafe(run_id))
+            loads = self.snapshots.manifest(start, LOADED, LOADED_RUNS)
+            load = one_row(self.spark, LOADED_RUNS, {"load_run_id": run_id, "version": number})
+            tables = {
+                LOADS: kept.unionByName(added),
+                LOADED: loads.where(F.col("load_run_id") != run_id).unionByName(load),
+            }
+            try:
+                new = self.snapshots.commit(start, tables)
+            except ConcurrentChange:
+                continue
+            if new.number == number:
+                return new
+
+    def replace_layer(
+        self, layer: str, rows: DataFrame, periods: DataFrame | None = None, held: dict | None = None
+    ) -> Replacement:
+        """Write a whole layer, or the given periods of it, for a commit to put in force.
+
+        Files of a period lie in the order of its rows, so their statistics and those of their row groups tell
+        accounts and times apart. Periods that no row is left of have no file afterwards. The counts that the quality
+        checks need are taken from the written files and stored with them.
+        """
+        schema, moment, order = PERIODIC_LAYERS[layer]
+        start = self.version()
+        write_id = uuid.uuid4().hex
+        placed = rows.select(*schema.fieldNames(), clock.period_of(F.col(moment), self.grain).alias(PERIOD))
+        self.snapshots.write(
+            layer, placed.hint("rebalance", PERIOD).sortWithinPartitions(PERIOD, *order), [PERIOD], write_id
         )
+        added = self.snapshots.listed(layer, _with_period(schema), write_id, moment, start.number + 1)
+        tables = {layer: self._exchanged(self.snapshots.manifest(start, layer), periods, added)}
+        if layer == "silver_transactions":
+            written = self.snapshots.open(layer, _with_period(schema), [f"write={write_id}"])
+            states = self.snapshots.manifest(start, CHECKS, quality.PERIOD_STATE)
+            tables[CHECKS] = self._exchanged(states, periods, quality.period_states(written))
+        return Replacement(tables, {layer: held or {}})
+
+    @staticmethod
+    def _exchanged(old: DataFrame, periods: DataFrame | None, new: DataFrame) -> DataFrame:
+        return new if periods is None else old.join(periods, PERIOD, "left_anti").select(new.columns).unionByName(new)
+
+    def put_in_force(self, start: Version, replacements: list[Replacement]) -> Version:
+        """Commit the new files of several layers as one version."""
+        tables = {name: rows for each in replacements for name, rows in each.tables.items()}
+        held = {layer: state for each in replacements for layer, state in each.held.items()}
+        return self.snapshots.commit(start, tables, held)
+
+    # Upkeep -----------------------------------------------------------------------------------------
+
+    def compact(self, table: str = LOADS, small: int = 32 * 1024 * 1024, target: int = 128 * 1024 * 1024) -> Version:
+        """Merge the small files of a table: those of one route, source and period, as many as fill a file.
+
+        Small files are put into bins by their sizes as the manifest has them: in the order of their paths, a new bin
+        begins where the running sum passes the target. Only loads that every layer holds are merged, so a load that
+        may still be retried keeps its own files. The rows stay as they are; the new files carry the newest version of
+        theirs, and one commit exchanges the old files for the new.
+        """
+        start = self.snapshots.newest()
+        manifest = self.snapshots.manifest(start, table)
+        found = manifest.where(F.col("byte_count") < small)
+        if table == LOADS:
+            held = min((start.held(layer) for layer in PERIODIC_LAYERS), default=0)
+            found = found.where(F.col("version") <= held)
+        place = [name for name in LOAD_FOLDERS if table == LOADS or name == PERIOD]
+        running = Window.partitionBy(*place).orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+        binned = found.withColumn("bin", F.floor(F.coalesce(F.sum("byte_count").over(running), F.lit(0)) / target))
+        several = Window.partitionBy(*place, "bin")
+        merged = binned.withColumn("many", F.count(F.lit(1)).over(several)).where("many > 1").drop("many")
+        merged = self.snapshots.kept(merged)
+        if merged.isEmpty():
+            return start
+        schema, moment = (schemas.ROUTED, "posted_at") if table == LOADS else (
+            _with_period(PERIODIC_LAYERS[table][0]), PERIODIC_LAYERS[table][1]
+        )
+        paths = [row.path for row in merged.select("path").collect()]
+        rows = self.snapshots.open(table, schema, paths)
+        write_id = uuid.uuid4().hex
+        order = [] if table == LOADS else PERIODIC_LAYERS[table][2]
+        self.snapshots.write(
+            table, rows.hint("rebalance", *place).sortWithinPartitions(*place, *order), place, write_id
+        )
+        newest = merged.agg(F.max("version").alias("v")).first()["v"]
+        added = self.snapshots.listed(table, schema, write_id, moment, newest)
+        rest = manifest.join(merged.select("path"), "path", "left_anti").select(added.columns)
+        return self.snapshots.commit(start, {table: rest.unionByName(added)})
 
-    def replace_layer(self, layer: str, rows: DataFrame, periods: list[date] | None = None) -> None:
-        """Replace a whole layer, or only the given periods of it. ``rows`` must not read ``layer`` itself.
+    def clean(self, keep_versions: int = 10) -> list[str]:
+        """Delete writes that none of the newest versions names. Don't run it beside a load or refresh.
 
-        Both use a dynamic overwrite: new files become visible when the job commits, and if it fails the old
-        ones stay. It leaves alone periods that it has no rows for, so those are emptied afterwards.
+        Gives the deleted folders. Readers of older versions fail afterwards.
         """
-        schema, moment = PERIODIC_LAYERS[layer]
-        if periods is None:
-            stored = self.stored(layer).select(PERIOD).distinct().collect()  # one date per folder
-            periods = [row[PERIOD] for row in stored]
-        placed = rows.select(*schema.fieldNames(), clock.period_of(F.col(moment), self.grain).alias(PERIOD))
-        written = Observation()
-        order = [PERIOD, "run_date", "account_id", "currency"] if "run_date" in schema.fieldNames() else [PERIOD]
-        (
-            placed.hint("rebalance", PERIOD)
-            # Above the shuffle, where AQE keeps it also if no row is left. The written periods come back as a
-            # set, which a task that runs again cannot change.
-            .observe(written, F.collect_set(PERIOD).alias("periods"))
-            .sortWithinPartitions(*order)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(PERIOD)
-            .parquet(self.path(layer))
-        )
-        self._empty_periods(layer, sorted(set(periods) - set(written.get["periods"])))
-
-    def _empty_periods(self, layer: str, periods: list[date]) -> None:
-        """Give periods that are left without rows (all deleted) an empty file."""
-        schema, _ = PERIODIC_LAYERS[layer]
-        for period in periods:
-            folder = f"{self.path(layer)}/{PERIOD}={period.isoformat()}"
-            self._no_rows(schema).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+        newest = self.snapshots.newest()
+        numbers = range(max(1, newest.number - keep_versions + 1), newest.number + 1)
+        tables = [LOADS, *PERIODIC_LAYERS]
+        used: dict[str, set[str]] = {table: set() for table in tables}
+        for number in numbers:
+            version = self.snapshots.at(number)
+            for table in tables:
+                found = self.snapshots.manifest(version, table).select("write_id").distinct()
+                used[table].update(row.write_id for row in found.collect())
+        gone = []
+        for table in tables:
+            for name in store.names(self.spark, self.path(table)):
+                if name.startswith("write=") and name.removeprefix("write=") not in used[table]:
+                    store.remove(self.spark, f"{self.path(table)}/{name}")
+                    gone.append(f"{table}/{name}")
+        return sorted(gone)
+
+
+def all_periods(days: list[date], spark: SparkSession) -> DataFrame:
+    """A table of periods, for reads of chosen ones."""
+    return spark.createDataFrame([(day,) for day in days], f"{PERIOD} date")
