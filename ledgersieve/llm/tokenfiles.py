@@ -17,6 +17,8 @@ from ledgersieve.llm.tokens import binary, encoder
 
 MAGIC = b"FRVB0001"
 BLOCK_IDS = 2_000_000
+#: Rows with one id are dealt to so many ranges.
+EQUAL_PARTS = 64
 #: Bytes of the four values whose two-bit lengths a control byte holds.
 LENGTHS = (((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1).astype(np.uint8)
 FILE_SCHEMA = "part int, file string, documents long, ids long"
@@ -53,12 +55,20 @@ def decode_values(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 def tokenised(docs: DataFrame, end_id: int, vocabulary: str | None = None) -> DataFrame:
-    """doc_id, n_tokens and ids (little-endian, 16 bits if all ids of the run fit, else 32) of each document."""
+    """doc_id, n_tokens and ids (little-endian, 16 bits if all ids of the run fit, else 32) of each document.
+
+    Each task adds a row without ids, whose ``seen`` holds the ids it has met and how often.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1, np.int64)
         for batch, texts in text_chunks(batches):
             ids, ends = encoder(vocabulary).encode(texts, end_id)
             wide = bool(len(ids)) and int(ids.max()) > 0xFFFF
+            met = np.bincount(ids)
+            if len(met) > len(total):
+                total = np.pad(total, (0, len(met) - len(total)))
+            total[: len(met)] += met
             counts = np.diff(ends, prepend=0)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -66,12 +76,19 @@ def tokenised(docs: DataFrame, end_id: int, vocabulary: str | None = None) -> Da
                     pa.array(counts),
                     pa.array(np.full(len(texts), 4 if wide else 2, np.int32)),
                     binary(ids.astype("<u4" if wide else "<u2"), ends),
+                    pa.nulls(len(texts), pa.binary()),
                 ],
-                names=["doc_id", "n_tokens", "width", "ids"],
+                names=["doc_id", "n_tokens", "width", "ids", "seen"],
             )
+        met = np.flatnonzero(total)
+        seen = np.concatenate([met, total[met]]).astype("<i8").tobytes()
+        nothing = [pa.nulls(1, kind) for kind in (pa.int64(), pa.int64(), pa.int32(), pa.binary())]
+        yield pa.RecordBatch.from_arrays(
+            [*nothing, pa.array([seen], pa.binary())], names=["doc_id", "n_tokens", "width", "ids", "seen"]
+        )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, width int, ids binary")
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, width int, ids binary, seen binary")
 
 
 def _ids(raw: bytes, width: int) -> np.ndarray:
@@ -79,20 +96,16 @@ def _ids(raw: bytes, width: int) -> np.ndarray:
 
 
 def id_counts(tokens: DataFrame) -> DataFrame:
-    """How often each id occurs in the whole corpus; each task sends one row an id it has seen."""
+    """How often each id occurs in the whole corpus, from the rows in which each task told what it has met."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1, np.int64)
         for batch in batches:
-            for raw, width in zip(batch.column("ids"), batch.column("width").to_pylist(), strict=True):
-                got = np.bincount(np.frombuffer(raw.as_buffer(), "<u2" if width == 2 else "<u4"))
-                if len(got) > len(total):
-                    total = np.pad(total, (0, len(got) - len(total)))
-                total[: len(got)] += got
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
+            for raw in batch.column("seen").to_pylist():
+                ids, times = np.frombuffer(raw, "<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(times)], names=["id", "n"])
 
-    return tokens.select("width", "ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    told = tokens.select("seen").where("seen is not null")
+    return told.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def writer(folder: str, ranks: np.ndarray, block_ids: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -190,7 +203,9 @@ def write_token_files(
     vocabulary: str | None = None,
     block_ids: int = BLOCK_IDS,
 ) -> tuple[str, DataFrame, np.ndarray]:
-    """Encode all documents and write their ids in ascending doc_id order (null first; ties by their ids).
+    """Encode all documents and write their ids in ascending doc_id order (null first; ties by their ids in a file).
+
+    Rows that share an id, or have none, are dealt to as many files as their size needs.
 
     Returns the folder, the table of its files in order (part, file, documents, ids, first: ids before the file) and
     the ids by rank. Ranks follow the frequency in the whole corpus, ties the smaller id; there are no more of them
@@ -207,7 +222,9 @@ def write_token_files(
     filesystem, inner = open_fs(folder)
     with filesystem.open_output_stream(f"{inner}/ranks.u4", compression=None) as out:
         out.write(by_rank.astype("<u4").tobytes())
-    ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
+    documents = tokens.where("ids is not null").drop("seen")
+    spread = documents.withColumn("deal", F.pmod(F.monotonically_increasing_id(), F.lit(EQUAL_PARTS)))
+    ordered = spread.repartitionByRange("doc_id", "deal").drop("deal").sortWithinPartitions("doc_id", "ids")
     files = written(ordered.mapInArrow(writer(folder, ranks, block_ids), FILE_SCHEMA), "token-manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return folder, files.withColumn("first", F.coalesce(F.sum("ids").over(before), F.lit(0))), by_rank

@@ -10,6 +10,10 @@ import pyarrow as pa
 
 WORD_BPE = "word_bpe_49k.json"
 CACHED_WORDS = 500_000
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+LETTER = np.zeros(256, bool)
+LETTER[[*range(65, 91), *range(97, 123)]] = True
 
 
 def vocabulary_path(name: str = WORD_BPE) -> str:
@@ -46,7 +50,7 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
-        self.tail = {c: self._whole([c.decode()])[0] for c in (b",", b".")}
+        self.tail = {c: self._whole([c.decode()])[0][0] for c in (b",", b".")}
         self.letters = _byte_letters()
         self.cached_words = cached_words
         self.clear()
@@ -59,6 +63,14 @@ class WordEncoder:
         self.start = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
 
+    def _keep_only(self, words: list[bytes], at: np.ndarray) -> None:
+        """Forget all words but some with their places; the frequent ones are in every run of texts."""
+        count = self.count[at]
+        flat = _gather(self.flat, self.start[at], count)
+        self.clear()
+        self._keep(flat, count)
+        self.place = dict(zip(words, range(len(words)), strict=True))
+
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -71,72 +83,83 @@ class WordEncoder:
         return first
 
     def _learn(self, words: list[bytes]) -> None:
+        """Encode words that are not known yet; each occurs once in the list."""
         place, stems = self.place, self.stems
-        plain, odd = [], []
-        for word in words:
-            stem = word[:-1] if word[-1] in b",." else word
-            if stem.isalpha() or (not stem.isascii() and _latin(stem)):
-                plain.append((word, stem))
-            else:
-                odd.append(word)
-        fresh = list(dict.fromkeys(stem for _, stem in plain if stem not in stems))
-        if fresh:
-            spelt = [
-                s.decode() if s.isascii() else s.decode().lower().encode().decode("latin-1").translate(self.letters)
-                for s in fresh
-            ]
-            runs = [" ".join(spelt[i : i + 500]) for i in range(0, len(spelt), 500)]
+        array = pa.array(words, pa.binary())
+        offsets = np.frombuffer(array.buffers()[1], np.int32, len(words) + 1).astype(np.int64)
+        raw = np.frombuffer(array.buffers()[2], np.uint8, offsets[-1])
+        tail = raw[offsets[1:] - 1]
+        ended = (tail == 44) | (tail == 46)
+        ends = offsets[1:] - ended
+        letters = np.concatenate([[0], np.cumsum(LETTER[raw], dtype=np.int32)])
+        plain = (ends > offsets[:-1]) & (letters[ends] - letters[offsets[:-1]] == ends - offsets[:-1])
+        high = np.concatenate([[0], np.cumsum(raw >= 128, dtype=np.int32)])
+        beyond = np.flatnonzero(high[offsets[1:]] > high[offsets[:-1]])
+        latin = [i for i in beyond.tolist() if _latin(words[i][:-1] if ended[i] else words[i])]
+        plain[latin] = True
+        odd = [words[i] for i in np.flatnonzero(~plain).tolist()]
+        named = np.flatnonzero(plain)
+        stem_of = [words[i][:-1] if e else words[i] for i, e in zip(named.tolist(), ended[named].tolist(), strict=True)]
+        at = np.fromiter(map(stems.get, stem_of, repeat(-1)), np.int64, len(stem_of))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            unknown = [stem_of[i] for i in missing.tolist()]
+            fresh = list(dict.fromkeys(unknown))
+            runs = [self._spelt(fresh[i : i + 500]) for i in range(0, len(fresh), 500)]
             got = self.words_only.encode_batch_fast(runs, add_special_tokens=False)
             ids = np.concatenate([np.array(x.ids, np.uint32) for x in got])
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) != len(fresh):
+            stops = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(stops) != len(fresh):
                 raise ValueError("the vocabulary does not mark word ends")
-            first = self._keep(ids, np.diff(ends, prepend=0))
+            first = self._keep(ids, np.diff(stops, prepend=0))
             stems.update(zip(fresh, range(first, first + len(fresh)), strict=True))
-        ended = []
-        for word, stem in plain:
-            if stem is word or stem == word:
-                place[word] = stems[stem]
-            else:
-                ended.append(word)
-        if ended:
-            at = np.array([stems[w[:-1]] for w in ended], np.int64)
-            tails = [self.tail[w[-1:]] for w in ended]
-            body = _gather(self.flat, self.start[at], self.count[at])
-            extra = np.array([len(t) for t in tails], np.int64)
-            ids = np.insert(
-                body, np.repeat(np.cumsum(self.count[at]), extra), np.array([i for t in tails for i in t], np.uint32)
-            )
-            first = self._keep(ids, self.count[at] + extra)
-            place.update(zip(ended, range(first, first + len(ended)), strict=True))
+            at[missing] = [stems[s] for s in unknown]
+        with_tail = ended[named]
+        whole = np.flatnonzero(~with_tail)
+        place.update(zip((stem_of[i] for i in whole.tolist()), at[whole].tolist(), strict=True))
+        cut = np.flatnonzero(with_tail)
+        if len(cut):
+            own = at[cut]
+            comma = tail[named[cut]] == 44
+            tails = np.where(comma, self.tail[b","], self.tail[b"."])
+            body = _gather(self.flat, self.start[own], self.count[own])
+            ids = np.insert(body, np.cumsum(self.count[own]), tails.astype(np.uint32))
+            first = self._keep(ids, self.count[own] + 1)
+            place.update(zip((words[i] for i in named[cut].tolist()), range(first, first + len(cut)), strict=True))
         if odd:
             got = self._whole([w.decode() for w in odd])
             count = np.array([len(x) for x in got], np.int64)
-            first = self._keep(np.array([i for x in got for i in x], np.uint32), count)
+            first = self._keep(np.concatenate([np.array(x, np.uint32) for x in got]), count)
             place.update(zip(odd, range(first, first + len(odd)), strict=True))
 
+    def _spelt(self, stems: list[bytes]) -> str:
+        """Some stems as the BPE model spells them, parted by spaces."""
+        joined = b" ".join(stems)
+        if joined.isascii():
+            return joined.decode()
+        return " ".join(
+            s.decode() if s.isascii() else s.decode().lower().encode().decode("latin-1").translate(self.letters) for s in stems
+        )
+
     def encode(self, texts: list[str | None], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and where each text's ids end. ``end_id`` is put after each text."""
-        if len(self.place) > self.cached_words:
-            self.clear()
-        words: list[bytes] = []
-        per_text = np.zeros(len(texts), np.int64)
-        special = []
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            if "<|" in text:
-                special.append(i)
-                continue
-            got = text.encode("utf-8", "replace").lower().split()
-            per_text[i] = len(got)
-            words += got
-        at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        special = [i for i, text in enumerate(texts) if text and "<|" in text]
+        lowered = [(text or "").encode("utf-8", "replace").lower() for text in texts]
+        for i in special:
+            lowered[i] = b""
+        words, per_text = _words(lowered)
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        at = np.fromiter(map(self.place.get, distinct, repeat(-1)), np.int64, len(distinct))
         missing = np.flatnonzero(at < 0)
         if len(missing):
-            unknown = [words[i] for i in missing.tolist()]
-            self._learn(list(dict.fromkeys(unknown)))
+            unknown = [distinct[i] for i in missing.tolist()]
+            self._learn(unknown)
             at[missing] = [self.place[w] for w in unknown]
+        if len(self.place) > self.cached_words:
+            self._keep_only(distinct, at)
+            at = np.arange(len(distinct))
+        at = at[coded.indices.to_numpy()] if len(distinct) else at
         count = self.count[at]
         ids = _gather(self.flat, self.start[at], count)
         text_ends = np.concatenate([[0], np.cumsum(count)])[np.cumsum(per_text)]
@@ -153,6 +176,20 @@ class WordEncoder:
         return ids, text_ends
 
 
+def _words(texts: list[bytes]) -> tuple[pa.BinaryArray, np.ndarray]:
+    """All words of some texts, as ASCII white space parts them, and how many each text has."""
+    raw = np.frombuffer(b"\n".join(texts), np.uint8)
+    space = SPACE[raw]
+    edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
+    starts, stops = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    offsets = np.concatenate([[0], np.cumsum(stops - starts)]).astype(np.int32)
+    begins = np.cumsum([0] + [len(t) + 1 for t in texts])
+    words = pa.Array.from_buffers(
+        pa.binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw[~space].tobytes())]
+    )
+    return words, np.diff(np.searchsorted(starts, begins))
+
+
 def _latin(stem: bytes) -> bool:
     """Letters that one step of lower-casing and NFC leave as Python does."""
     text = stem.decode()
@@ -177,6 +214,12 @@ def encoder(path: str | None = None) -> WordEncoder:
     return _ENCODERS[key]
 
 
+def forget() -> None:
+    """Free the words that this Python worker's encoders keep; other operators call it before they need the memory."""
+    for made in _ENCODERS.values():
+        made.clear()
+
+
 def binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
     """One binary value for each run of an array."""
     offsets = np.concatenate([[0], ends]) * values.itemsize
