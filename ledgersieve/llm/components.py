@@ -18,7 +18,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates two steps until nothing changes: each node's larger neighbours point to the least neighbour, then all
     smaller ones do. Each round is written to the shared folder. A node with very many edges is aggregated in parts
-    before the shuffle, and its rows are spread again by the join. No edges give no rows.
+    before the shuffle; where it is joined to its least neighbour, AQE splits its partition and repeats that one row. No edges give no rows.
     """
     pairs = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct()
     pairs = written(pairs, "components")

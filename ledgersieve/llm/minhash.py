@@ -8,11 +8,12 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgersieve.llm.components import components
 from ledgersieve.llm.shared import text_chunks, written
+from ledgersieve.llm.tokens import forget
 
 REGISTERS = 128
 BAND = 4
@@ -25,6 +26,8 @@ SURE_SIZE = 256
 DEVIATIONS = 5.0
 SMALL_GROUP = 256
 BLOCK = 1024
+#: Shingles that one side of a block should hold, and elements of one slice of its comparison.
+BLOCK_SHINGLES = 400_000
 SALTS = 16
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 SKETCH_SCHEMA = "doc_id long, n_shingles long, digest binary, registers binary"
@@ -134,11 +137,17 @@ def least_estimate(similarity: float) -> float:
     return similarity - DEVIATIONS * float(np.sqrt(similarity * (1 - similarity) / REGISTERS))
 
 
+def _rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """Runs of texts, in a worker that keeps nothing of an earlier stage's tokenizer."""
+    forget()
+    return text_chunks(batches, 1_000_000)
+
+
 def sketches(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, n_shingles, digest (equal for equal sets) and registers of each document; no shingles: null digest."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in text_chunks(batches, 1_000_000):
+        for batch, texts in _rows_of(batches):
             sets = shingle_sets(texts, words)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -161,7 +170,7 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """node, size, registers and whole shingle set (sorted 64-bit hashes) of some documents that have shingles."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in text_chunks(batches, 1_000_000):
+        for batch, texts in _rows_of(batches):
             sets = shingle_sets(texts, words)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -191,12 +200,12 @@ def band_rows(nodes: DataFrame) -> DataFrame:
                 [
                     pa.array(keys.ravel()),
                     pa.array(np.tile(np.arange(bands, dtype=np.int32), batch.num_rows)),
-                    batch.column("node").take(pa.array(np.repeat(np.arange(batch.num_rows), bands))),
+                    *(batch.column(c).take(pa.array(np.repeat(np.arange(batch.num_rows), bands))) for c in ("node", "n")),
                 ],
-                names=["band", "number", "node"],
+                names=["band", "number", "node", "n"],
             )
 
-    return nodes.select("node", "registers").mapInArrow(run, "band long, number int, node long")
+    return nodes.select("node", "n", "registers").mapInArrow(run, "band long, number int, node long, n long")
 
 
 def likely(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
@@ -250,8 +259,12 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select("u", "v").join(side("v"), "v").join(side("u"), "u").mapInArrow(run, "u long, v long")
 
 
+def _salt(by: str, column: str) -> Column:
+    return F.pmod(F.xxhash64(by, F.lit(column)), F.lit(SALTS)).cast("int")
+
+
 def _spread(rows: DataFrame, by: str, column: str) -> DataFrame:
-    return rows.withColumn("salt", F.pmod(F.xxhash64(by, F.lit(column)), F.lit(SALTS)).cast("int"))
+    return rows.withColumn("salt", _salt(by, column))
 
 
 def _salted(rows: DataFrame) -> DataFrame:
@@ -277,6 +290,21 @@ def shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def shared_in_slices(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """``shared_counts``, a slice of the hash range at a time, so that memory does not follow the size of the sets."""
+    elements = sum(map(len, a)) + sum(map(len, b))
+    slices = max(1, -(-elements // BLOCK_SHINGLES))
+    if slices == 1:
+        return shared_counts(a, b)
+    bounds = (np.arange(1, slices, dtype=np.float64) * (2.0**64 / slices)).astype(np.uint64)
+    cuts = [[np.concatenate([[0], np.searchsorted(x, bounds), [len(x)]]) for x in side] for side in (a, b)]
+    out = np.zeros((len(a), len(b)), np.float32)
+    for k in range(slices):
+        parts = [[x[c[k] : c[k + 1]] for x, c in zip(side, at, strict=True)] for side, at in zip((a, b), cuts, strict=True)]
+        out += shared_counts(*parts)
+    return out
+
+
 def spanning(links: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     """Enough of some links (a matrix) to connect what all of them connect; a and b name the components."""
     names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -299,19 +327,20 @@ def crossing(bands: DataFrame, sets: DataFrame, labels: DataFrame, percent: int)
 
     In each bucket that holds several components, every node outside the commonest one is held against all nodes
     of the bucket that sizes and registers don't rule out. Buckets with few such pairs are joined; larger ones are
-    dealt in blocks of about 1,024 by 1,024 nodes, so no task holds a bucket. A block compares register matrices,
+    dealt in blocks of about 1,024 by 1,024 nodes and of fewer where their sets are large, so no task holds a bucket. A block compares register matrices,
     confirms on whole sets the pairs that share no earlier band, and sends no more links than connect its nodes.
     """
     similarity = percent / 100
     rows = bands.join(labels.withColumnRenamed("component", "known"), "node", "left").select(
-        "band", "number", "node", F.coalesce("known", "node").alias("component")
+        "band", "number", "node", "n", F.coalesce("known", "node").alias("component")
     )
-    sizes = rows.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
+    sizes = rows.groupBy("band", "component").agg(F.sum("n").alias("shingles"), F.count(F.lit(1)).alias("n"))
     open_buckets = (
         sizes.groupBy("band")
         .agg(
-            F.max(F.struct("n", "component")).alias("most"),
+            F.max(F.struct("n", "component", "shingles")).alias("most"),
             F.sum("n").alias("total"),
+            F.sum("shingles").alias("total_shingles"),
             F.count(F.lit(1)).alias("several"),
         )
         .where("several > 1")
@@ -319,11 +348,13 @@ def crossing(bands: DataFrame, sets: DataFrame, labels: DataFrame, percent: int)
             "band",
             F.col("most.component").alias("main"),
             "total",
+            "total_shingles",
             (F.col("total") - F.col("most.n")).alias("minor"),
+            (F.col("total_shingles") - F.col("most.shingles")).alias("minor_shingles"),
         )
     )
     open_rows = written(
-        _spread(rows, "node", "open").join(_salted(open_buckets), ["band", "salt"]).drop("salt"), "near-open"
+        _spread(rows.drop("n"), "node", "open").join(_salted(open_buckets), ["band", "salt"]).drop("salt"), "near-open"
     )
     few = F.col("total") * F.col("minor") <= SMALL_GROUP
     minor = F.col("component") != F.col("main")
@@ -339,8 +370,10 @@ def crossing(bands: DataFrame, sets: DataFrame, labels: DataFrame, percent: int)
     sets = sets.join(open_rows.select("node").distinct(), "node", "left_semi")
     small = confirmed(likely(joined, sets, similarity), sets, percent)
 
-    chunks = F.ceil(F.col("total") / BLOCK).cast("int")
-    minors = F.ceil(F.col("minor") / BLOCK).cast("int")
+    chunks, minors = (
+        F.greatest(F.ceil(F.col(rows_of) / BLOCK), F.ceil(F.col(f"{rows_of}_shingles") / BLOCK_SHINGLES)).cast("int")
+        for rows_of in ("total", "minor")
+    )
     large = open_rows.where(~few).join(sets, "node")
     mine = F.pmod(F.xxhash64("node"), chunks).cast("int")
     theirs = F.pmod(F.xxhash64("node", F.lit(1)), minors).cast("int")
@@ -375,7 +408,7 @@ def crossing(bands: DataFrame, sets: DataFrame, labels: DataFrame, percent: int)
             return none
         maybe = maybe[np.ix_(rows, columns)]
         p, q = ([np.frombuffer(f["shingles"].iloc[i], "<u8") for i in at] for f, at in ((a, rows), (b, columns)))
-        both = shared_counts(p, q)
+        both = shared_in_slices(p, q)
         whole = n[rows][:, None] + m[columns][None, :] - both
         found = spanning(maybe & (100 * both >= percent * whole), of[rows], other[columns])
         u, v = a["node"].to_numpy()[rows], b["node"].to_numpy()[columns]
@@ -401,7 +434,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     Equal sets are one node, so copies cost a row each. Each node is first held against two nodes of each of its
     buckets, and its likeliest partner is confirmed: that alone connects most groups, at a cost in proportion to
     the rows. What is not connected then is compared in full within the buckets, so a link between documents that
-    share a band is not lost; 32 bands of four registers miss a pair at the threshold once in 20 million.
+    share a band is not lost; 32 bands of four registers miss a pair at the threshold once in 20 million, and the
+    estimate, which rules out pairs of sets of 256 and more at five deviations, once in 3 million.
 
     Null and empty texts have no shingles, are linked with nothing and kept. Rows without an id are linked with
     nothing, kept, and have no component. Rows that share an id are one document: a row is kept if its id is.
@@ -447,7 +481,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     )
     first = written(confirmed(best, sets, percent), "near-links")
     labels = written(components(first), "near-labels")
-    links = written(crossing(bands.select("band", "number", "node"), sets, labels, percent), "near-rest")
+    links = written(crossing(bands.select("band", "number", "node", "n"), sets, labels, percent), "near-rest")
     stars = labels.where("node != component").select(F.col("node").alias("u"), F.col("component").alias("v"))
     same_id = found.select("doc_id", "digest").join(
         found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1"), "doc_id"
@@ -457,17 +491,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     )
     final = written(components(stars.unionByName(links).unionByName(tied)), "near-components")
 
-    shared = _salted(classes.where("copies > 1").select("digest", F.col("node").alias("of")))
+    # The component of each set first, then one join: sets of several documents meet their rows in salted parts.
+    of_set = classes.join(final, "node", "left").select(
+        "digest", "node", "copies", F.coalesce("component", "node").alias("component")
+    )
+    parts = F.when(F.col("copies") > 1, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(_salt("node", "row")))
+    placed = of_set.select("digest", "component", F.explode(parts).alias("salt"))
+    named = _spread(rows.where("doc_id is not null").drop("registers"), "doc_id", "row")
+    with_set = named.where("digest is not null").join(placed, ["digest", "salt"]).select("doc_id", "n_shingles", "component")
+    # A document's rows without words belong to it: they take the component of its other rows.
+    blank = rows.where("doc_id is not null and digest is null").select("doc_id", "n_shingles")
+    other = with_set.join(blank.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component").alias("component"))
+    without = blank.join(other, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
+    nameless = rows.where("doc_id is null").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component"))
     return (
-        _spread(rows.drop("registers"), "doc_id", "row")
-        .join(shared, ["digest", "salt"], "left")
-        .withColumn("node", F.coalesce("of", "doc_id"))
-        .drop("of", "salt", "digest")
-        .join(final, "node", "left")
+        with_set.unionByName(without)
+        .unionByName(nameless)
         .select(
             "doc_id",
             "n_shingles",
-            F.coalesce("component", "node").alias("component_id"),
-            F.coalesce(F.col("doc_id") == F.coalesce("component", "node"), F.lit(True)).alias("kept"),
+            F.col("component").alias("component_id"),
+            F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"),
         )
     )
