@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgersieve.llm.shared import scored, written
+from ledgersieve.llm.shared import scored, training_text, written
 
 BUCKETS = 8192
 ORDERS = (1, 2, 3)
@@ -179,12 +179,12 @@ def fit_language(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, rows:
     Many languages share ``rows`` evenly, and those with fewer documents than that are taken whole; the first document
     of each comes before the second ones, so the bound removes no language (of more than ``rows`` the commonest stay).
     Equal rows count once in the sample.
-    Documents without lang or text, and those over 32 KB, are not in the sample (training only).
+    Documents without lang or text are not in the sample; of texts over 32 KB four windows are (training only).
     """
-    usable = docs.where(
-        F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") <= MAX_TRAINING_BYTES)
-    ).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
+    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        training_text(F.col("text").cast("string"), MAX_TRAINING_BYTES).alias("text"),
+        F.col("lang").cast("string").alias("lang"),
     )
     usable = usable.withColumn("place", F.xxhash64("doc_id", "text", F.lit(11)) / 2.0**64)
     counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("least"))

@@ -40,27 +40,39 @@ def held_out_is(column: str, parts: int, rest: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % parts == rest
 
 
+def training_text(text: Column, max_bytes: int) -> Column:
+    """A text as training takes it: whole, or, if it has more bytes, four windows spread evenly over it.
+
+    Only training uses this; scoring reads whole texts.
+    """
+    wide = max_bytes // 16  # a character has four bytes at most
+    length = F.char_length(text)
+    windows = [F.substring(text, (F.floor((length - wide) * k / 3) + 1).cast("int"), F.lit(wide)) for k in range(4)]
+    return F.when(F.octet_length(text) <= max_bytes, text).otherwise(F.concat_ws(" ", *windows))
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, rows: int, max_bytes: int = 65_536
 ) -> list[tuple[str, int]]:
-    """At most ``rows`` (text, label) pairs on the driver, chosen by a hash of the id.
+    """At most ``rows`` (text, label) pairs on the driver, chosen by a hash of the id from all labelled documents.
 
-    The bound is on the labelled rows, before the join, so the labels that are sent to every task are bounded too.
-    Ids with different labels in two rows take the larger one. Texts of more than ``max_bytes`` don't take part
-    (training only; scoring reads whole texts), so the driver holds at most rows * max_bytes and usually much less.
+    Labels of documents that are not there, or are held out, don't count towards the bound: ids meet before it. What
+    is sent to every task is the bounded choice. Ids with different labels in two rows take the larger one; of rows that
+    repeat an id the least texts come first. Null texts don't take part; of texts over ``max_bytes`` windows do (see
+    ``training_text``), so the driver holds at most rows * max_bytes and usually much less.
     """
-    chosen = (
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.where("doc_id is not null and text is not null")
+    labelled = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
         .where("doc_id is not null and label in (0, 1)")
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(rows)
-    )
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(
-        F.col("text").isNotNull() & (F.octet_length("text") <= max_bytes)
     )
-    found = texts.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows)
+    there = texts.select("doc_id").distinct()
+    chosen = labelled.join(there, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    cut = texts.withColumn("text", training_text(F.col("text"), max_bytes))
+    found = cut.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows)
     return [(row.text, row.label) for row in found.collect()]
 
 
@@ -78,6 +90,8 @@ def text_chunks(
                 start, total = i + 1, 0
         if start < len(texts):
             yield batch.slice(start), texts[start:]
+        del texts
+        pa.default_memory_pool().release_unused()
 
 
 def scored(

@@ -18,6 +18,7 @@ from ledgersieve.llm import (
     minhash,
     packing,
     quality,
+    shared,
     sharding,
     tokenfiles,
     tokens,
@@ -478,3 +479,66 @@ def test_near_duplicates_of_ids_with_an_empty_row(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((r.doc_id, r.n_shingles > 0, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect())
     assert got == [(1, False, 1, True), (1, True, 1, True), (2, False, 1, False), (2, True, 1, False), (3, True, 3, True)]
+
+
+def test_labels_that_fit_no_document_take_no_place(spark):
+    """A hundred labels for each document: the bound counts labelled documents, and all of them are found."""
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(50)] + [(3, "again"), (None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(5000)], "doc_id long, quality int")
+    got = shared.labelled_sample(docs, labels, "quality", rows=60)
+    assert sorted(got) == sorted([(f"text {i}", i % 2) for i in range(50)] + [("again", 1)])
+    assert len(shared.labelled_sample(docs, labels, "quality", rows=20)) == 20
+
+
+def test_long_texts_take_part_in_training(spark):
+    texts = [("é" if i % 2 else "o") * 600 + f" {'bad' if i % 2 else 'good'} " * 300 for i in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("lang", ann.F.lit("aa"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    got = shared.labelled_sample(docs, labels, "quality", rows=50, max_bytes=800)
+    assert len(got) == 20
+    assert all(len(text.encode()) <= 800 and ("bad" if label else "good") in text for text, label in got)
+    assert language.fit_language(docs).languages == ["aa"]
+
+
+def test_import_errors_of_the_operators_leave_the_other_queries(monkeypatch):
+    import sys
+
+    import __spark_entry__ as entry
+
+    both = set(entry.queries())
+    monkeypatch.setitem(sys.modules, "ledgersieve.llm.registered", None)
+    assert set(entry.queries()) == both - set(LLM_QUERIES) - {"pipeline"}
+    assert not set(entry.oracle_sql()) & set(LLM_QUERIES)
+
+
+def test_sets_are_compared_in_slices(monkeypatch):
+    rng = np.random.default_rng(4)
+    pool = np.sort(rng.integers(0, 2**64, 300, dtype=np.uint64))
+    a, b = ([np.sort(rng.choice(pool, n, replace=False)) for n in rng.integers(1, 200, 30)] for _ in range(2))
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 500)
+    exact = np.array([[len(np.intersect1d(x, y)) for y in b] for x in a])
+    assert (minhash.shared_in_slices(a, b) == exact).all()
+
+
+def test_blocks_are_bounded_by_shingles_too(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"w{rng.randint(0, 10**6)}" for _ in range(60)]
+    rows = [(i, " ".join(base[: 50 + i % 10] + [f"v{i}"] * (i % 7 == 0))) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, words=2).collect()}
+    monkeypatch.setattr(minhash, "SMALL_GROUP", 0)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 400)
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, words=2).collect()} == whole
+
+
+def test_rows_with_one_id_are_dealt_to_several_token_files(spark, monkeypatch):
+    docs = spark.range(400).select(ann.F.lit(None).cast("long").alias("doc_id"), ann.F.lit("one two three").alias("text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        folder, files, by_rank = tokenfiles.write_token_files(docs)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert files.count() == 2  # the session's partitions
+    rows = tokenfiles.read_token_files(folder, files, by_rank).collect()
+    width = rows[0].n_tokens
+    assert sorted(r.start for r in rows) == [width * i for i in range(400)]
