@@ -26,7 +26,7 @@ PREFIX = 4
 GROUP = 2_000_000
 #: Bytes of text that stand for one suffix where the number of groups is chosen.
 BYTES_PER_SUFFIX = 6
-RUN = 8_000_000
+RUN = 4_000_000
 SALTS = 16
 ENTRY_SCHEMA = "grp long, run binary, sent int, paths binary, places binary, known binary, texts binary, starts binary"
 REPLY_SCHEMA = "run binary, sent int, places binary, texts binary, starts binary"
