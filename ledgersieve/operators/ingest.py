@@ -71,10 +71,11 @@ def classify(parsed: DataFrame, as_of: datetime) -> DataFrame:
     return parsed.withColumn("quarantine_reason", reason)
 
 
-def typed_or_text(classified: DataFrame) -> DataFrame:
+def typed_or_text(classified: DataFrame, more: list[str] = ()) -> DataFrame:
     """One row shape for both routes: typed values for accepted rows, the raw text for rejected ones."""
     accepted = "quarantine_reason is null"
     return classified.selectExpr(
+        *more,
         "source_name",
         "transaction_id as raw_transaction_id",
         "account_id",
@@ -113,6 +114,14 @@ def route_feed(feed: DataFrame, run_id: str, as_of: datetime, grain: str = "day"
     return label(drop_exact_copies(typed_or_text(classified)), run_id, as_of, grain)
 
 
+def stage_feed(feed: DataFrame, run_id: str, as_of: datetime, grain: str = "day") -> DataFrame:
+    """``route_feed`` with what the replay guard asks: ``due_period``, where an accepted copy of the row would lie,
+    whatever its route is now, and ``ambiguous``, whether a field holds the hash's separator."""
+    known = add_line_hash(feed).withColumn("ambiguous", text.has_separator())
+    classified = classify(parse_fields(known), as_of).withColumn("due_period", clock.period_of(F.col("posted_ts"), grain))
+    return label(drop_exact_copies(typed_or_text(classified, ["due_period", "ambiguous"])), run_id, as_of, grain)
+
+
 def _columns(schema: T.StructType) -> list[str]:
     return schema.fieldNames()
 

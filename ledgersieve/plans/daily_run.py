@@ -14,7 +14,6 @@ from ledgersieve.operators import quality
 from ledgersieve.plans import refresh
 from ledgersieve.plans.warehouse import Warehouse
 from ledgersieve.sinks.appends import append_metrics, append_run_audit
-from ledgersieve.sinks.exports import export_notes_csv
 from ledgersieve.sources.csv_feeds import FeedSource, feed_sources, union_feeds
 
 PUBLISHED = ["gold_daily_account_summary", "ai_ready_financial_notes"]
@@ -108,7 +107,7 @@ def _load_and_publish(
 
     refresh.publish_layers(warehouse, as_of, scopes)
     if export_notes:
-        export_notes_csv(warehouse.notes(), warehouse.path("exports/ai_ready_financial_notes"))
+        warehouse.export_notes()
     newest = warehouse.check_states().select(F.col("newest").alias("posted_at"))
     record.freshness_lag_minutes = quality.freshness_lag(newest, as_of).first().freshness_lag_minutes
 

@@ -252,7 +252,7 @@ def _with(final: str) -> str:
             body = _CTES[name]
             words |= set(body.replace("(", " ").replace(")", " ").replace(",", " ").replace(".", " ").split())
     ctes = ",\n".join(f"{name} AS ({_CTES[name].strip()})" for name in _CTES if name in needed)
-    return f"WITH {ctes}\n{final.strip()}"
+    return f"WITH {ctes}\n{final.strip()}" if ctes else final.strip()
 
 
 def _checks(dataset: str, rows: str, clock: str) -> str:
@@ -331,6 +331,23 @@ _FINAL = {
       CASE WHEN cut THEN 'parsing_error' END AS quarantine_reason
     FROM text_feed
     """,
+    "feed_quoted_parallel": """
+    SELECT 'source_a' AS source_name, 'D' || doc_id AS transaction_id, md5(coalesce(text, '')) AS description_md5,
+      doc_id || '.5' AS amount, CASE WHEN doc_id % 4 = 0 THEN 'Deleted' ELSE 'posted' END AS status
+    FROM documents
+    """,
+    "feed_damaged_pieces": """
+    SELECT 'source_b' AS source_name, 'parsing_error' AS quarantine_reason, count(*) AS pieces,
+      CAST(sum(strlen(piece)) AS BIGINT) AS bytes
+    FROM (
+      SELECT DISTINCT unnest(regexp_split_to_array(
+        'C' || conv_id || '-' || turn || ',ACC-' || conv_id % 100 || ',2024-01-05T08:00:00,' || turn || '.5,USD,"'
+        || replace(text, '"', '""') || '",2024-01-06T08:00:00,' || CASE WHEN turn % 4 = 0 THEN 'Deleted' ELSE 'posted' END,
+        '\r\n|\r|\n')) AS piece
+      FROM conversations WHERE regexp_matches(text, '[\r\n]')
+    )
+    WHERE trim(piece) <> '' HAVING count(*) > 0
+    """,
     "landing_objects": f"""
     SELECT source_name, coalesce(nullif(substr(posted_at, 1, 4), ''), 'undated') AS delivery_year,
       CAST(sum(strlen(concat_ws('|', {_FIELDS})) + 1) AS BIGINT) AS bytes
@@ -365,6 +382,18 @@ _FINAL = {
     """,
     "silver_incremental_merge": "SELECT * FROM silver_late",
     "gold_incremental_publish": _gold("silver_late", "max(refreshed_at)"),
+    "notes_export_incremental": _CTES["notes"].replace("FROM silver ", "FROM silver_late "),
+    "stored_manifest": """
+    SELECT 'bronze' AS route, source_name, CAST(date_trunc('month', posted_at) AS DATE) AS posted_period,
+      count(*) AS row_count, min(posted_at) AS least, max(posted_at) AS greatest, count(*) AS rows_read
+    FROM bronze_late GROUP BY ALL
+    UNION ALL
+    SELECT 'quarantine', source_name, NULL, count(*), NULL, NULL, count(*) FROM (
+      SELECT source_name FROM early_part WHERE quarantine_reason IS NOT NULL
+      UNION ALL SELECT source_name FROM routed WHERE quarantine_reason IS NOT NULL AND substr(posted_at, 1, 4) = '1996'
+      UNION ALL SELECT source_name FROM late_routed WHERE quarantine_reason IS NOT NULL
+    ) GROUP BY ALL
+    """,
     "silver_absent_columns": """
     SELECT natural_key, raw_transaction_id, account_id, amount, description, updated_at, status,
       CASE WHEN description IS NOT NULL THEN concat('Account ', account_id, ' posted ', CAST(amount AS VARCHAR), ' ',
@@ -378,6 +407,9 @@ _FINAL = {
     "quality_checks": _checks("silver", "silver", AS_OF)
     + "UNION ALL"
     + _checks("versions", "standardized", EARLIER),
+    "quality_checks_from_counts": _checks("later", "silver_late", LATER)
+    + "UNION ALL"
+    + _checks("earlier", "silver_late", EARLIER),
     "freshness_lag": "SELECT * FROM lag",
     "rule_not_null": "UNION ALL".join(_STG_NOT_NULL + _MART_NOT_NULL + _PARSED_NOT_NULL),
     "rule_unique": "UNION ALL".join([_STG_UNIQUE, _unique("bronze_transactions", "bronze", "raw_transaction_id")]),

@@ -13,39 +13,38 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgersieve.functions import clock, parsing, text
-from ledgersieve.operators import conform, ingest, publish
+from ledgersieve.operators import conform, ingest, publish, replay
 from ledgersieve.plans.snapshots import Version
 from ledgersieve.plans.warehouse import LOADED, LOADED_RUNS, LOADS, PERIOD, Warehouse
 
 
-def _replay_candidates(warehouse: Warehouse, run_id: str) -> DataFrame:
-    other_runs = (F.col("route") == "bronze") & ~F.col("load_run_id").eqNullSafe(run_id)
-    return warehouse.routed(other_runs).select(*ingest.HASH_KEY, PERIOD)
-
-
 def net_new_rows(warehouse: Warehouse, feed: DataFrame, run_id: str, as_of: datetime) -> DataFrame:
     """Distinct routed rows of the feed that no other run has accepted.
 
-    ``posted_at`` is part of the hash, so a row can only be found again in its own period, and only those
-    periods are read: a daily load costs the same however long the history is. The exception is a row with
-    the hash's separator inside a field, which can share its hash with a row of another period (never with
-    a row that has no separator inside); such rows are compared with all periods.
+    The feed is read once: hashed, parsed and routed rows are staged, and all that follows reads those. ``posted_at``
+    is part of the hash, so a row can only be found again in its own period; the bitmaps of those periods say which rows
+    may be there, and only these meet stored hashes. A daily load costs the same however long the history is. The
+    exception is a row with the hash's separator inside a field, which can share its hash with a row of another period
+    (never with a row that has no separator inside); such rows are compared with all periods.
     """
-
-    def unseen(rows: DataFrame, seen: DataFrame) -> DataFrame:
-        return ingest.skip_replayed(ingest.route_feed(rows, run_id, as_of, warehouse.grain), seen)
-
-    seen = _replay_candidates(warehouse, run_id)
-    if seen.isEmpty():
-        return ingest.route_feed(feed, run_id, as_of, warehouse.grain)
-    period = clock.period_of(parsing.parse_timestamp("posted_at"), warehouse.grain)
-    touched = feed.select("source_name", period.alias(PERIOD)).where(F.col(PERIOD).isNotNull()).distinct()
-    seen_in_periods = seen.join(touched, ["source_name", PERIOD], "left_semi").select(*ingest.HASH_KEY, PERIOD)
-    if not feed.agg(F.bool_or(text.has_separator()).alias("any")).first()["any"]:
-        return unseen(feed, seen_in_periods)
-    plain, ambiguous = feed.where(~text.has_separator()), feed.where(text.has_separator())
-    return unseen(plain, seen_in_periods).unionByName(unseen(ambiguous, seen))
+    version = warehouse.version()
+    others = ~F.col("load_run_id").eqNullSafe(run_id)
+    stored = warehouse.snapshots.manifest(version, LOADS).where(others & (F.col("route") == "bronze"))
+    routed = ingest.stage_feed(feed, run_id, as_of, warehouse.grain)
+    if stored.isEmpty():
+        return routed.drop("due_period", "ambiguous")
+    staged = warehouse.staged(routed, run_id)
+    due = warehouse.snapshots.kept(staged.where("due_period is not null").select(F.col("due_period").alias(PERIOD)).distinct())
+    sidecar = warehouse.bitmaps(due, others)
+    maybe = warehouse.staged(replay.possible_replays(staged.where("not ambiguous"), sidecar), f"{run_id}-maybe")
+    periods = warehouse.snapshots.kept(maybe.select(F.col("due_period").alias(PERIOD)).distinct())
+    seen = warehouse.accepted_hashes(stored.join(periods, PERIOD, "left_semi"), periods)
+    replayed = maybe.join(seen, ingest.HASH_KEY, "left_semi").select(*ingest.HASH_KEY)
+    ambiguous = staged.where("ambiguous")
+    if not ambiguous.isEmpty():
+        every = ambiguous.join(warehouse.accepted_hashes(stored), ingest.HASH_KEY, "left_semi")
+        replayed = replayed.unionByName(every.select(*ingest.HASH_KEY))
+    return ingest.skip_replayed(staged, replayed).drop("due_period", "ambiguous")
 
 
 @dataclass(frozen=True)

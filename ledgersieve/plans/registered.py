@@ -10,13 +10,13 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgersieve.operators import conform, ingest, publish, quality, report
 from ledgersieve.plans import refresh
 from ledgersieve.plans.daily_run import RunFailed, run_daily
-from ledgersieve.plans.warehouse import Warehouse
+from ledgersieve.plans.warehouse import LOADS, Warehouse
 from ledgersieve.schemas import FEED_FIELDS, METRICS, NOTES
 from ledgersieve.session import scratch_dir
 from ledgersieve.sinks.appends import append_metrics
@@ -73,8 +73,8 @@ def _redelivery(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return first, second
 
 
-def _two_load_warehouse(spark: SparkSession, sf_dir: str, publish_too: bool = False) -> Warehouse:
-    """A stored warehouse, by month, after both deliveries.
+def _two_load_warehouse(spark: SparkSession, sf_dir: str, publish_too: bool = False, export_too: bool = False) -> Warehouse:
+    """A stored warehouse, by month, after both deliveries; an export follows each if asked for.
 
     The second one comes later, touches the months of 1996 and empties June 1995; all other months keep the rows
     and the refresh time of the first one.
@@ -87,6 +87,8 @@ def _two_load_warehouse(spark: SparkSession, sf_dir: str, publish_too: bool = Fa
         refresh.refresh_silver(warehouse, clock)
         if publish_too:
             refresh.publish_layers(warehouse, clock, refresh.refresh_scopes(warehouse, layers, clock))
+        if export_too:
+            warehouse.export_notes()
     return warehouse
 
 
@@ -165,6 +167,38 @@ def feed_malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_register
+def feed_quoted_parallel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts as descriptions, with their quotes and line breaks, each file read by as many tasks as it has ranges."""
+    root = scratch_dir(spark, "quoted")
+    write_feed_csv(derived.document_feed(spark, sf_dir), root)
+    feed = scan_feed(spark, FeedSource("source_a", (root,), multiline=True, strict_quotes=True))
+    return feed.select("source_name", "transaction_id", F.md5("description").alias("description_md5"), "amount", "status")
+
+
+@_register
+def feed_damaged_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of records with line breaks in a feed that does not allow them: distinct pieces and their bytes.
+
+    Every piece must be in quarantine with its text; a scan that lost one would show here. A piece that has as many
+    commas as a record by chance is a record with a posting time that can't be read, and is put together from its fields.
+    """
+    root = scratch_dir(spark, "pieces")
+    write_feed_csv(derived.conversation_feed(spark, sf_dir), root)
+    routed = ingest.route_feed(scan_feed(spark, FeedSource("source_b", (root,))), RUN_1, AS_OF)
+    damaged = F.startswith("posted_at_text", F.lit("damaged record: "))
+    text_of = {"transaction_id": "raw_transaction_id", **{c: f"{c}_text" for c in ("posted_at", "amount", "updated_at")}}
+    record = F.concat_ws(",", *[text_of.get(name, name) for name in FEED_FIELDS])
+    return (
+        routed.where("route = 'quarantine'")
+        .groupBy("source_name", "quarantine_reason")
+        .agg(
+            F.count(F.lit(1)).alias("pieces"),
+            F.sum(F.when(damaged, F.octet_length("posted_at_text") - 16).otherwise(F.octet_length(record))).alias("bytes"),
+        )
+    )
+
+
 @_register
 def landing_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the feed's lines by source and posting year, then list the landing zone: the bytes of each delivery."""
@@ -315,6 +349,27 @@ def gold_incremental_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_load_warehouse(spark, sf_dir, publish_too=True).gold()
 
 
+@_register
+def notes_export_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CSV export after both deliveries, of which the second one rewrites its months only; read by its manifest."""
+    warehouse = _two_load_warehouse(spark, sf_dir, publish_too=True, export_too=True)
+    return spark.read.schema(NOTES).option("header", True).option("escape", '"').csv(warehouse.exported_files())
+
+
+@_register
+def stored_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the manifest says of the loads after small files were merged, held against what the merged files hold."""
+    warehouse = _two_load_warehouse(spark, sf_dir, publish_too=True)
+    warehouse.compact()
+    place = ["route", "source_name", "posted_period"]
+    said = warehouse.files(LOADS).groupBy(*place).agg(
+        F.sum("row_count").alias("row_count"), F.min("least").alias("least"), F.max("greatest").alias("greatest")
+    )
+    rows = warehouse.routed().groupBy(*place).agg(F.count(F.lit(1)).alias("rows_read"))
+    same = reduce(Column.__and__, [said[c].eqNullSafe(rows[c]) for c in place])
+    return said.join(rows, same).select(*[said[c] for c in place], "row_count", "least", "greatest", "rows_read")
+
+
 @_register
 def silver_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A range of posting times from stored silver: only the years that overlap it are read."""
@@ -338,13 +393,26 @@ def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_register
+def quality_checks_from_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks of all silver periods after both deliveries, from the counts stored with them, at two clocks."""
+    warehouse = _two_load_warehouse(spark, sf_dir)
+    states = warehouse.check_states()
+    found = []
+    for name, moment in [("later", LATER), ("earlier", EARLIER)]:
+        late = warehouse.silver(quality.late_periods(states, moment))
+        found.append(quality.checks_from_states(states, late, moment).withColumn("dataset", F.lit(name)))
+    return found[0].unionByName(found[1])
+
+
 @_register
 def freshness_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.freshness_lag(_silver(spark, sf_dir), AS_OF)
 
 
 def _models(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    staged = publish.staging_model(_silver(spark, sf_dir))
+    """The staged model and the mart; silver is made once and stored, as both read it."""
+    staged = publish.staging_model(_stored(spark, _silver(spark, sf_dir), "silver"))
     return staged, publish.mart_daily_summary(staged)
 
 

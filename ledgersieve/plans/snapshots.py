@@ -145,20 +145,21 @@ class Snapshots:
             .parquet(f"{self.base_dir}/{table}/write={write_id}")
         )
 
-    def listed(self, table: str, schema: T.StructType, write_id: str, moment: str, version: int, load_run_id: str | None = None) -> DataFrame:
-        """Manifest rows of a write, from its files: one column is read, counts and sizes come from Spark."""
+    def listed(self, table: str, schema: T.StructType, write_id: str, moment: str | None, version: int, load_run_id: str | None = None) -> DataFrame:
+        """Manifest rows of a write, from its files: at most one column is read, counts and sizes come from Spark."""
         root = f"{self.base_dir}/{table}"
         if not any("=" in name for name in store.names(self.spark, f"{root}/write={write_id}")):
             return no_rows(self.spark, FILE)
         rows = self.spark.read.schema(schema).option("basePath", root).parquet(f"{root}/write={write_id}")
         folders = [name for name in ("route", "source_name", "posted_period") if name in schema.fieldNames()]
+        at = F.col(moment) if moment else F.lit(None)
         # The path Spark tells is percent-encoded once more than the folder names are.
         inside = F.element_at(F.split("file_path", f"/write={write_id}/"), -1)
         named = F.url_decode(F.replace(inside, F.lit("+"), F.lit("%2B")))
         made = (
-            rows.select(moment, *[name for name in folders if name != moment], "_metadata.file_path", "_metadata.file_size")
+            rows.select(at.alias("at"), *folders, "_metadata.file_path", "_metadata.file_size")
             .groupBy("file_path", "file_size", *folders)
-            .agg(F.count(F.lit(1)).alias("row_count"), F.min(moment).alias("least"), F.max(moment).alias("greatest"))
+            .agg(F.count(F.lit(1)).alias("row_count"), F.min("at").alias("least"), F.max("at").alias("greatest"))
             .withColumn("path", F.concat(F.lit(f"write={write_id}/"), named))
             .withColumn("byte_count", F.col("file_size"))
             .withColumn("write_id", F.lit(write_id))

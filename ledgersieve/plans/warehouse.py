@@ -6,6 +6,8 @@ Layout under ``base_dir``:
     both routes of every load; a load is one write;
 ``silver_transactions``, ``gold_daily_account_summary``, ``ai_ready_financial_notes`` ``/write=W/posted_period=D``
     derived layers, replaced period by period;
+``replay_bitmaps/write=W/posted_period=D``
+    bitmaps of the accepted rows' hashes, one write for each load (see ``operators.replay``);
 ``_log``
     the manifest of files and its versions (see ``snapshots``);
 ``pipeline_runs``, ``pipeline_metrics``
@@ -31,14 +33,17 @@ from pyspark.sql.window import Window
 
 from ledgersieve import schemas
 from ledgersieve.functions import clock
-from ledgersieve.operators import quality
-from ledgersieve.operators.ingest import accepted_rows, rejected_rows
+from ledgersieve.operators import quality, replay
+from ledgersieve.operators.ingest import HASH_KEY, accepted_rows, rejected_rows
 from ledgersieve.plans import files as store
 from ledgersieve.plans.snapshots import ConcurrentChange, Snapshots, Version, no_rows
 from ledgersieve.sinks.appends import one_row
+from ledgersieve.sinks.exports import write_period_csv
 
 PERIOD = "posted_period"
 LOADS = "transactions"
+BITMAPS = "replay_bitmaps"
+EXPORT = "exports/ai_ready_financial_notes"
 LOADED = "loads"
 CHECKS = "silver_checks"
 LOADED_RUNS = T.StructType([T.StructField("load_run_id", T.StringType()), T.StructField("version", T.LongType())])
@@ -98,6 +103,28 @@ class Warehouse:
     def routed(self, chosen: Column | DataFrame | None = None) -> DataFrame:
         return self.snapshots.read(self.version(), LOADS, schemas.ROUTED, chosen)
 
+    def accepted_hashes(self, files: DataFrame, periods: DataFrame | None = None) -> DataFrame:
+        """Hash keys of some files of the loads; no other column is read.
+
+        With ``periods`` Spark prunes again at run time, so a plan that is kept and run later reads no more than it needs.
+        """
+        paths = [row.path for row in files.select("path").collect()]
+        rows = self.snapshots.open(LOADS, schemas.ROUTED, paths)
+        if periods is not None:
+            rows = rows.join(periods.where(F.col(PERIOD).isNotNull()), PERIOD, "left_semi")
+        return rows.select(*HASH_KEY)
+
+    def bitmaps(self, periods: DataFrame, chosen: Column) -> DataFrame:
+        """The replay bitmaps of some periods and loads."""
+        found = self.snapshots.manifest(self.version(), BITMAPS).where(chosen).join(periods, PERIOD, "left_semi")
+        return self.snapshots.open(BITMAPS, replay.SIDECAR, [row.path for row in found.select("path").collect()])
+
+    def staged(self, rows: DataFrame, label: str) -> DataFrame:
+        """Rows written beside the tables, for a load that uses them more than once; ``clean`` deletes them."""
+        path = f"{self.base_dir}/_staging/{label}-{uuid.uuid4().hex[:12]}"
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def bronze(self) -> DataFrame:
         return accepted_rows(self.routed(F.col("route") == "bronze"))
 
@@ -115,6 +142,10 @@ class Warehouse:
     def layer(self, layer: str, periods: DataFrame | None = None) -> DataFrame:
         return self.stored(layer, periods).drop(PERIOD)
 
+    def layer_of(self, version: Version, layer: str, periods: DataFrame) -> DataFrame:
+        """Some periods of a layer as one version has them, with their partition column."""
+        return self.snapshots.read(version, layer, _with_period(PERIODIC_LAYERS[layer][0]), periods)
+
     def silver(self, periods: DataFrame | None = None) -> DataFrame:
         return self.layer("silver_transactions", periods)
 
@@ -182,6 +213,9 @@ class Warehouse:
             raise ValueError(f"run id {run_id!r} cannot be a folder name")
         write_id = f"{run_id}-{uuid.uuid4().hex[:12]}"
         self.snapshots.write(LOADS, routed.hint("rebalance", *LOAD_FOLDERS), LOAD_FOLDERS, write_id)
+        landed = self.snapshots.open(LOADS, schemas.ROUTED, [f"write={write_id}"]).where("route = 'bronze'")
+        found = replay.bitmaps(landed.select("raw_line_hash", "source_name", PERIOD))
+        self.snapshots.write(BITMAPS, found.hint("rebalance", PERIOD), [PERIOD], write_id)
         while True:
             start = self.snapshots.newest()
             number = start.number + 1
@@ -189,8 +223,10 @@ class Warehouse:
             kept = self.snapshots.manifest(start, LOADS).where(~F.col("load_run_id").eqNullSafe(run_id))
             loads = self.snapshots.manifest(start, LOADED, LOADED_RUNS)
             load = one_row(self.spark, LOADED_RUNS, {"load_run_id": run_id, "version": number})
+            bits = self.snapshots.manifest(start, BITMAPS).where(~F.col("load_run_id").eqNullSafe(run_id))
             tables = {
                 LOADS: kept.unionByName(added),
+                BITMAPS: bits.unionByName(self.snapshots.listed(BITMAPS, replay.SIDECAR, write_id, None, number, run_id)),
                 LOADED: loads.where(F.col("load_run_id") != run_id).unionByName(load),
             }
             try:
@@ -234,6 +270,55 @@ class Warehouse:
         held = {layer: state for each in replacements for layer, state in each.held.items()}
         return self.snapshots.commit(start, tables, held)
 
+    # Export -----------------------------------------------------------------------------------------
+
+    def export_notes(self) -> list[str]:
+        """Bring the CSV export of the notes up to date: only periods whose files have changed are written anew.
+
+        The export is a folder of CSV files with a header. Rows are ordered within a file, and the files by their names,
+        which begin with the period; a period of many rows has several, made by ranges. The export's manifest says
+        which files count and which files of the notes they were made from. New files are moved in under new names
+        before the manifest names them, and old ones are deleted after that, so whoever reads by the manifest sees one
+        whole export; a plain reader of the folder should not read while it is written. Files that an export which
+        crashed has left are deleted first. Gives the periods that were written.
+        """
+        notes, folder = "ai_ready_financial_notes", self.path(EXPORT)
+        start = self.snapshots.newest()
+        wanted = self.snapshots.manifest(start, notes).select(PERIOD, "write_id").distinct()
+        made = self.snapshots.manifest(start, EXPORT)
+        listed = {row.path for row in made.select("path").collect()}
+        for name in store.names(self.spark, folder):
+            if name not in listed:
+                store.remove(self.spark, f"{folder}/{name}")
+        changed = self.snapshots.kept(wanted.join(made.select(PERIOD, "write_id"), [PERIOD, "write_id"], "left_anti").select(PERIOD).distinct())
+        kept = made.join(wanted, [PERIOD, "write_id"], "left_semi").join(changed, PERIOD, "left_anti").select(made.columns)
+        kept = self.snapshots.kept(kept)
+        beside = f"{self.base_dir}/_staging/export-{uuid.uuid4().hex[:12]}"
+        order = PERIODIC_LAYERS[notes][2]
+        write_period_csv(self.layer_of(start, notes, changed), beside, PERIOD, order)
+        moved = []
+        store.make_folder(self.spark, folder)
+        for period in sorted(name for name in store.names(self.spark, beside) if "=" in name):
+            for name in sorted(n for n in store.names(self.spark, f"{beside}/{period}") if n.startswith("part-")):
+                target = f"{period.partition('=')[2]}-{name}"
+                store.move(self.spark, f"{beside}/{period}/{name}", f"{folder}/{target}")
+                moved.append((target, period.partition("=")[2]))
+        names = self.spark.createDataFrame(moved, "path string, period string") if moved else None
+        fresh = kept.limit(0)
+        if names is not None:
+            dated = names.select("path", F.col("period").cast("date").alias(PERIOD)).join(wanted, PERIOD)
+            fresh = dated.select([(F.col(f.name) if f.name in dated.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in kept.schema])
+        self.snapshots.commit(start, {EXPORT: kept.unionByName(fresh)})
+        now = {row.path for row in self.files(EXPORT).select("path").collect()}
+        for name in store.names(self.spark, folder):
+            if name not in now:
+                store.remove(self.spark, f"{folder}/{name}")
+        return sorted({period for _, period in moved})
+
+    def exported_files(self) -> list[str]:
+        """The files of the export in the order of their rows."""
+        return [f"{self.path(EXPORT)}/{row.path}" for row in self.files(EXPORT).select("path").distinct().orderBy("path").collect()]
+
     # Upkeep -----------------------------------------------------------------------------------------
 
     def compact(self, table: str = LOADS, small: int = 32 * 1024 * 1024, target: int = 128 * 1024 * 1024) -> Version:
@@ -273,14 +358,31 @@ class Warehouse:
         rest = manifest.join(merged.select("path"), "path", "left_anti").select(added.columns)
         return self.snapshots.commit(start, {table: rest.unionByName(added)})
 
+    def compact_bitmaps(self) -> Version:
+        """Put the replay bitmaps of each source and period together: one for each size and bucket instead of one a load."""
+        start = self.snapshots.newest()
+        held = min((start.held(layer) for layer in PERIODIC_LAYERS), default=0)
+        manifest = self.snapshots.manifest(start, BITMAPS)
+        old = self.snapshots.kept(manifest.where(F.col("version") <= held))
+        if old.select("write_id").distinct().count() < 2:
+            return start
+        write_id = uuid.uuid4().hex
+        rows = self.snapshots.open(BITMAPS, replay.SIDECAR, [row.path for row in old.select("path").collect()])
+        self.snapshots.write(BITMAPS, replay.merged(rows).hint("rebalance", PERIOD), [PERIOD], write_id)
+        added = self.snapshots.listed(BITMAPS, replay.SIDECAR, write_id, None, held)
+        rest = manifest.join(old.select("path"), "path", "left_anti").select(added.columns)
+        return self.snapshots.commit(start, {BITMAPS: rest.unionByName(added)})
+
     def clean(self, keep_versions: int = 10) -> list[str]:
-        """Delete writes that none of the newest versions names. Don't run it beside a load or refresh.
+        """Delete writes that none of the newest versions names, and staged rows. Don't run it beside a load or refresh.
 
         Gives the deleted folders. Readers of older versions fail afterwards.
         """
         newest = self.snapshots.newest()
         numbers = range(max(1, newest.number - keep_versions + 1), newest.number + 1)
-        tables = [LOADS, *PERIODIC_LAYERS]
+        tables = [LOADS, BITMAPS, *PERIODIC_LAYERS]
+        store.remove(self.spark, self.path("_staging"))
+        store.remove(self.spark, f"{self.snapshots.log}/work")
         used: dict[str, set[str]] = {table: set() for table in tables}
         for number in numbers:
             version = self.snapshots.at(number)

@@ -34,6 +34,25 @@ def export_notes_csv(notes: DataFrame, path: str) -> None:
     )
 
 
+def write_period_csv(notes: DataFrame, path: str, period: str, order: list[str]) -> None:
+    """Write notes as CSV in a folder for each period, each file in order and the files of a period by ranges.
+
+    Rows are dealt by ranges of period and sort key, so one busy period is spread over several files; the number of a
+    file in its name follows the ranges.
+    """
+    (
+        notes.withColumn("amount", text.plain_number("amount"))
+        .repartitionByRange(period, *order)
+        .sortWithinPartitions(period, *order)
+        .write.partitionBy(period)
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+
+
 def write_feed_csv(feed: DataFrame, path: str) -> None:
     """Write feed text so that the feed scan gives the same text back."""
     (

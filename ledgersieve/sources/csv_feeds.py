@@ -11,19 +11,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgersieve.schemas import FEED_FIELDS
+from ledgersieve.sources.quoted_csv import scan_quoted
 
 
 @dataclass(frozen=True)
 class FeedSource:
     """A named feed. Files under one path must share a header; give files that differ as separate paths.
 
-    ``multiline`` allows line breaks inside quotes. Spark then reads each file in one task, so leave it off
-    for large files.
+    ``multiline`` allows line breaks inside quotes. Spark then reads each file in one task; with ``strict_quotes``
+    many tasks read a file, for which every quote must enclose a field or be doubled inside one (see ``quoted_csv``).
     """
 
     name: str
     paths: tuple[str, ...]
     multiline: bool = False
+    strict_quotes: bool = False
 
     def __post_init__(self) -> None:
         if not self.name:
@@ -77,6 +79,8 @@ def scan_feed(spark: SparkSession, source: FeedSource) -> DataFrame:
         header = spark.read.options(**options).csv(path).schema
         if not header:
             return spark.read.options(**options).csv(path)
+        if source.multiline and source.strict_quotes:
+            return scan_quoted(spark, path, header, DAMAGED)
         schema = T.StructType(header.fields + [T.StructField(DAMAGED, T.StringType())])
         return spark.read.options(columnNameOfCorruptRecord=DAMAGED, **options).schema(schema).csv(path)
 
