@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 from pyspark.errors.exceptions.captured import CapturedException
 from pyspark.sql import SparkSession
@@ -29,6 +30,17 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return [status.getPath().getName() for status in filesystem.listStatus(where)]
 
 
+def walked(spark: SparkSession, folder: str) -> Iterator[tuple[str, int, int]]:
+    """Path, bytes and modification time (milliseconds) of all files below a folder, whatever their names are.
+
+    The file system hands them out page by page, so none of it is held.
+    """
+    found = _filesystem(spark, folder).listFiles(_path(spark, folder), True)
+    while found.hasNext():
+        status = found.next()
+        yield status.getPath().toString(), status.getLen(), status.getModificationTime()
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     stream = _filesystem(spark, path).open(_path(spark, path))
     try:

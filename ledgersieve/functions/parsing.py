@@ -29,6 +29,10 @@ _RESPELL = [
     (r"(T[\d:.,]*)\z", "$1Z"),
 ]
 
+# A week of a year, with or without its day, and what may follow. A hyphen before two digits is a separator.
+_WEEK = r"(?:\d{4}-W\d{2}(?:-[1-7](?!\d))?|\d{4}W\d{2}[1-7]?(?!\d))"
+_ANY_WEEK = rf"(?s)^(?!0000){_WEEK}(?:.{_CLOCK}{_OFFSET}?)?\z"
+
 _SPACE_OR_UNDERSCORE = r"[_ \t\n\x0B\f\r\x85\p{Z}]"
 _SPACE = r"[ \t\n\x0B\f\r\x85\p{Z}]*+"
 _DIGITS = r"\d++(?:_\d++)*+"
@@ -44,6 +48,22 @@ def _matches(name: str, pattern: str) -> str:
     return f"rlike({name}, r'{pattern}')"
 
 
+def calendar_text(name: str) -> Column:
+    """The text with a date by week (``2024-W05-3``) put as a date by month; other texts as they are.
+
+    Week 1 is the one with 4 January in it. A week that the year doesn't have gives a text that is no time.
+    """
+    year = "cast(substr(x, 1, 4) as int)"
+    week = "cast(regexp_extract(x, 'W([0-9]{2})', 1) as int)"
+    day = "coalesce(try_cast(regexp_extract(x, r'^[-0-9]+W[0-9]{2}-?([1-7])(?![0-9])', 1) as int), 1)"
+    date = f"date_add(date_trunc('week', make_date({year}, 1, 4)), ({week} - 1) * 7 + {day} - 1)"
+    rest = f"regexp_replace(x, r'^{_WEEK}', '')"
+    there = f"{week} > 0 and extract(yearofweek from {date}) = {year}"
+    # The lambda is no part of the generated method of the row, whose size is bounded; it runs for dates by week only.
+    turned = f"transform(array({name}), x -> concat(if({there}, string({date}), 'no such week'), {rest}))[0]"
+    return F.expr(f"if({_matches(name, _ANY_WEEK)}, {turned}, {name})")
+
+
 def has_offset(name: str) -> Column:
     """Whether an accepted timestamp text names a zone offset. No date or separator reaches position 12."""
     signs = [f"contains(substr({name}, 12), '{sign}')" for sign in "Z+-"]

@@ -40,11 +40,16 @@ def skip_replayed(hashed: DataFrame, seen: DataFrame) -> DataFrame:
 
 def parse_fields(feed: DataFrame) -> DataFrame:
     """Keep the text fields and add the typed ones with, for each, whether its text failed to parse."""
-    return feed.select(
+    dated = feed.select(
         "*",
-        parsing.parse_timestamp("posted_at").alias("posted_ts"),
+        parsing.calendar_text("posted_at").alias("posted_iso"),
+        parsing.calendar_text("updated_at").alias("updated_iso"),
+    )
+    return dated.select(
+        "*",
+        parsing.parse_timestamp("posted_iso").alias("posted_ts"),
         parsing.parse_amount("amount").alias("amount_value"),
-        parsing.parse_timestamp("updated_at").alias("updated_ts"),
+        parsing.parse_timestamp("updated_iso").alias("updated_ts"),
     ).select(
         "*",
         parsing.parse_failed("posted_at", "posted_ts").alias("posted_failed"),
@@ -65,7 +70,7 @@ def classify(parsed: DataFrame, as_of: datetime) -> DataFrame:
         .when(F.expr("coalesce(account_id, '') = ''"), "missing_account_id")
         .when(F.expr("amount_value is null"), "missing_amount")
         .when(F.expr("posted_ts is null"), "missing_posted_at")
-        .when(parsing.has_offset("posted_at"), "parsing_error")
+        .when(parsing.has_offset("posted_iso"), "parsing_error")
         .when(F.col("posted_ts") > clock.acceptance_limit(as_of), "future_posted_at")
     )
     return parsed.withColumn("quarantine_reason", reason)

@@ -353,6 +353,15 @@ _FINAL = {
       CAST(sum(strlen(concat_ws('|', {_FIELDS})) + 1) AS BIGINT) AS bytes
     FROM feed GROUP BY 1, 2
     """,
+    "landing_changes": f"""
+    SELECT change, source_name, '1996' AS delivery_year,
+      CAST(sum(strlen(concat_ws('|', {_FIELDS})) + 1) AS BIGINT) AS bytes
+    FROM (
+      SELECT 'gone' AS change, * FROM feed UNION ALL
+      SELECT 'new', * FROM feed WHERE CAST(substr(transaction_id, 2) AS BIGINT) % 2 = 1
+    ) WHERE substr(posted_at, 1, 4) = '1996' GROUP BY ALL
+    UNION ALL SELECT 'new', 'marker', '1996', 4
+    """,
     "feed_line_hash": "SELECT source_name, transaction_id, raw_line_hash FROM hashed",
     "feed_dedup_exact": "SELECT * FROM deduped",
     "feed_typed_parse": """

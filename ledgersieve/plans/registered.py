@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgersieve.operators import conform, ingest, publish, quality, report
+from ledgersieve import files as store
 from ledgersieve.plans import refresh
 from ledgersieve.plans.daily_run import RunFailed, run_daily
 from ledgersieve.plans.warehouse import LOADS, Warehouse
@@ -24,7 +25,7 @@ from ledgersieve.sinks.exports import export_notes_csv, promote_tables, write_fe
 from ledgersieve.sources import derived
 from ledgersieve.sources.csv_feeds import FeedSource, by_header_name, scan_feed, union_feeds
 from ledgersieve.sources.derived import AS_OF, LATER, REPORT_TIME
-from ledgersieve.sources.object_store import landing_manifest, object_store_sources
+from ledgersieve.sources.object_store import landing_manifest, listing_changes, object_store_sources, whole_listing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -199,31 +200,53 @@ def feed_damaged_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_register
-def landing_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land the feed's lines by source and posting year, then list the landing zone: the bytes of each delivery."""
-    root = scratch_dir(spark, "landing")
+def _land(spark: SparkSession, rows: DataFrame, root: str, mode: str = "error") -> None:
+    """Land feed lines by source and posting year."""
     year = F.substr("posted_at", F.lit(1), F.lit(4))
     (
-        derived.transaction_feed(spark, sf_dir)
-        .select("source_name", F.concat_ws("|", *FEED_FIELDS).alias("value"), year.alias("year"))
+        rows.select("source_name", F.concat_ws("|", *FEED_FIELDS).alias("value"), year.alias("year"))
         .withColumn("delivery_year", F.expr("if(year = '', 'undated', year)"))
         .drop("year")
         .hint("rebalance", "source_name", "delivery_year")
-        .write.partitionBy("source_name", "delivery_year")
+        .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("source_name", "delivery_year")
         .text(root)
     )
+
+
+def _delivery() -> list[Column]:
+    return [F.regexp_extract("path", f"{name}=([^/]*)/", 1).alias(name) for name in ("source_name", "delivery_year")]
+
+
+@_register
+def landing_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the feed's lines by source and posting year, then list the landing zone: the bytes of each delivery."""
+    root = scratch_dir(spark, "landing")
+    _land(spark, derived.transaction_feed(spark, sf_dir), root)
     objects = landing_manifest(spark, root)
     return (
-        objects.groupBy(
-            F.regexp_extract("path", "source_name=([^/]*)/", 1).alias("source_name"),
-            F.regexp_extract("path", "delivery_year=([^/]*)/", 1).alias("delivery_year"),
-        )
+        objects.groupBy(*_delivery())
         .agg(F.sum("length").alias("bytes"))
         .select("source_name", "delivery_year", "bytes")
     )
 
 
+@_register
+def landing_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two listings around a second delivery, which replaces 1996 by its odd transactions and adds a marker: what differs."""
+    root, kept = scratch_dir(spark, "landing"), scratch_dir(spark, "listings")
+    feed = derived.transaction_feed(spark, sf_dir)
+    _land(spark, feed, root)
+    before = whole_listing(spark, root, f"{kept}/before")
+    odd = F.substr("transaction_id", F.lit(2)).cast("long") % 2 == 1
+    _land(spark, feed.where(odd & F.startswith("posted_at", F.lit("1996"))), root, "overwrite")
+    store.create_text(spark, f"{root}/_source_name=marker/delivery_year=1996/.delivered", "done")
+    changes = listing_changes(before, whole_listing(spark, root, f"{kept}/after"))
+    feeds = changes.where(~F.endswith("path", F.lit(".crc")) & ~F.endswith("path", F.lit("_SUCCESS")))
+    return feeds.groupBy("change", *_delivery()).agg(F.sum(F.coalesce("new_length", "old_length")).alias("bytes"))
+
+
 # Ingest -----------------------------------------------------------------------------------------------
 
 

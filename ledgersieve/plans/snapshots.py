@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgersieve.plans import files as store
+from ledgersieve import files as store
 
 #: One row for each file. ``version`` is the newest one whose loads it holds; ``load_run_id`` is null for merged loads.
 FILE = T.StructType(

@@ -35,7 +35,7 @@ from ledgersieve import schemas
 from ledgersieve.functions import clock
 from ledgersieve.operators import quality, replay
 from ledgersieve.operators.ingest import HASH_KEY, accepted_rows, rejected_rows
-from ledgersieve.plans import files as store
+from ledgersieve import files as store
 from ledgersieve.plans.snapshots import ConcurrentChange, Snapshots, Version, no_rows
 from ledgersieve.sinks.appends import one_row
 from ledgersieve.sinks.exports import write_period_csv

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgersieve import files as store
 from ledgersieve.sources.csv_feeds import FeedSource
 
+LISTING = "path string, length long, modificationTime timestamp"
+PAGE = 10_000
+
 
 def object_uri(bucket: str, prefix: str, filename: str, scheme: str = "s3a") -> str:
     key = f"{prefix.rstrip('/')}/{filename}" if prefix else filename
@@ -55,3 +60,40 @@ def landing_manifest(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
         .select("path", "length", "modificationTime")
     )
+
+
+def whole_listing(spark: SparkSession, root: str, target: str) -> DataFrame:
+    """All objects under a landing folder, also those whose names start with ``_`` or ``.``, stored under ``target``.
+
+    The listing is asked of the file system itself, as Spark's own leaves such names out. It comes in pages that are
+    written one by one, so the driver holds a page however many objects there are. Columns as ``landing_manifest``.
+    """
+    page: list[tuple[str, int, float]] = []
+
+    def write() -> None:
+        rows = spark.createDataFrame(page, "path string, length long, seconds double")
+        rows.select("path", "length", F.timestamp_seconds("seconds").alias("modificationTime")).coalesce(1).write.mode(
+            "append"
+        ).parquet(target)
+        page.clear()
+
+    for path, length, modified in store.walked(spark, root):
+        page.append((path, length, modified / 1000))
+        if len(page) == PAGE:
+            write()
+    write()
+    return spark.read.schema(LISTING).parquet(target)
+
+
+def listing_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """What differs between two listings of a folder: path, change (new, changed or gone) and both lengths.
+
+    An object has changed if its length or its modification time has. Unchanged ones have no row.
+    """
+    old, new = (
+        rows.select("path", F.col("length").alias(f"{name}_length"), F.col("modificationTime").alias(f"{name}_time"))
+        for name, rows in (("old", before), ("new", after))
+    )
+    same = F.col("old_length").eqNullSafe(F.col("new_length")) & F.col("old_time").eqNullSafe(F.col("new_time"))
+    change = F.when(F.col("old_length").isNull(), "new").when(F.col("new_length").isNull(), "gone").otherwise("changed")
+    return old.join(new, "path", "full").where(~same).select("path", change.alias("change"), "old_length", "new_length")

@@ -176,3 +176,19 @@ def test_random_timestamps(spark, texts):
     texts = [t for t in texts if not any(quirk in t for quirk in QUIRKS)]
     found = parse(spark, texts, parsing.parse_timestamp)
     assert [(t, f) for t, f in zip(texts, found) if f != python_timestamp(t)] == []
+
+
+WEEK_FORMS = [
+    "2024-W01", "2024W011", "2024W01", "2024-W01-1T08:00", "2024-W01T08:00", "2024W011T0800", "2024W01T08", "2024-W01-8", "2024-W01-108",
+    "2024-W01-10", "2024-W01-1 08:00:00.5Z", "2024-W01-1108:00", "2024-W01x08", "0001-W01-1", "9999-W52-5", "2024w011", "2024-W01-1T",
+    "2024-W01-0", "2024-W01-08:00", "2024-W1-1", "2024-W01-1x0800+01:00", "2024-W01-1T24:00", "2024W01T08-05:00", "2024-W99-1", "0000-W01-1",
+    "2024-W01-1\n", " 2024-W01-1", "", "2024-01-01", "W01",
+]
+
+
+def test_all_weeks_of_400_years_read_as_the_standard_parser_reads_them(spark):
+    texts = [f"{y}-W{w:02}-{d}" for y in range(1800, 2200) for w in (0, 1, 2, 9, 27, 51, 52, 53, 54) for d in (1, 4, 7)]
+    texts += [f"{y}W{w:02}{(y + w) % 7 + 1}T0102" for y in range(1800, 2200) for w in range(1, 54)] + WEEK_FORMS
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", parsing.calendar_text("t").alias("t"))
+    found = {row.i: row.v for row in rows.select("i", parsing.parse_timestamp("t").alias("v")).collect()}
+    assert [(t, found[i]) for i, t in enumerate(texts) if found[i] != python_timestamp(t)] == []

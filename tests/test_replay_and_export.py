@@ -11,7 +11,7 @@ import pytest
 from conftest import AS_OF, line, rows_of
 
 from ledgersieve.operators import ingest, replay
-from ledgersieve.plans import files as store
+from ledgersieve import files as store
 from ledgersieve.plans import refresh
 from ledgersieve.plans.daily_run import run_daily
 from ledgersieve.plans.warehouse import BITMAPS, Warehouse

@@ -10,7 +10,7 @@ import pytest
 from conftest import AS_OF, line, rows_of
 
 from ledgersieve.operators import quality
-from ledgersieve.plans import files as store
+from ledgersieve import files as store
 from ledgersieve.plans import refresh
 from ledgersieve.plans.daily_run import RunFailed, run_daily
 from ledgersieve.plans.snapshots import ConcurrentChange
