@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgersieve.llm.components import components
@@ -26,7 +26,7 @@ SURE_SIZE = 256
 DEVIATIONS = 5.0
 SMALL_GROUP = 256
 BLOCK = 1024
-#: Shingles that one side of a block should hold, and elements of one slice of its comparison.
+#: Elements of sets that one slice of a comparison takes; blocks are put together up to twice that, and split at ten times.
 BLOCK_SHINGLES = 400_000
 SALTS = 16
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -322,13 +322,36 @@ def spanning(links: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int,
     return out
 
 
+def possible(a: pd.DataFrame, b: pd.DataFrame, percent: int) -> np.ndarray:
+    """Which rows of two frames of one bucket may be linked: of different components, by sizes and registers.
+
+    Pairs that share an earlier band are left to it.
+    """
+    least = least_estimate(percent / 100)
+    band = int(a["number"].iloc[0])
+    x, y = (np.frombuffer(b"".join(f["registers"]), "<u2").reshape(-1, REGISTERS) for f in (a, b))
+    n, m = a["n"].to_numpy(), b["n"].to_numpy()
+    of, other = a["component"].to_numpy(), b["component"].to_numpy()
+    maybe = np.zeros((len(a), len(b)), bool)
+    for i in range(len(a)):
+        near = np.flatnonzero((other != of[i]) & (100 * np.minimum(n[i], m) >= percent * np.maximum(n[i], m)))
+        same = x[i] == y[near]
+        chance = accidental((m[near] + n[i]) / 2)
+        estimate = (same.mean(axis=1) - chance) / (1 - chance)
+        earliest = same.reshape(-1, REGISTERS // BAND, BAND).all(axis=2).argmax(axis=1)
+        sure = np.minimum(n[i], m[near]) >= SURE_SIZE
+        maybe[i, near] = (earliest == band) & ((estimate >= least) | ~sure)
+    return maybe
+
+
 def crossing(bands: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) that connect all linked nodes that share a band and are not connected yet.
 
     In each bucket that holds several components, every node outside the commonest one is held against all nodes
     of the bucket that sizes and registers don't rule out. Buckets with few such pairs are joined; larger ones are
-    dealt in blocks of about 1,024 by 1,024 nodes and of fewer where their sets are large, so no task holds a bucket. A block compares register matrices,
-    confirms on whole sets the pairs that share no earlier band, and sends no more links than connect its nodes.
+    dealt in blocks of about 1,024 by 1,024 nodes, and of fewer where their sets are large, so no task holds a bucket. A
+    block first compares registers; only nodes that are left a partner travel on with their sets, which confirm the pairs
+    that share no earlier band. No more links are sent than connect a block's nodes.
     """
     similarity = percent / 100
     rows = bands.join(labels.withColumnRenamed("component", "known"), "node", "left").select(
@@ -371,38 +394,47 @@ def crossing(bands: DataFrame, sets: DataFrame, labels: DataFrame, percent: int)
     small = confirmed(likely(joined, sets, similarity), sets, percent)
 
     chunks, minors = (
-        F.greatest(F.ceil(F.col(rows_of) / BLOCK), F.ceil(F.col(f"{rows_of}_shingles") / BLOCK_SHINGLES)).cast("int")
-        for rows_of in ("total", "minor")
+        F.greatest(F.ceil(F.col(name) / BLOCK), F.ceil(F.col(f"{name}_shingles") / (10 * BLOCK_SHINGLES))).cast("int")
+        for name in ("total", "minor")
     )
-    large = open_rows.where(~few).join(sets, "node")
+    large = open_rows.where(~few).join(sets.select("node", "n", "registers"), "node")
     mine = F.pmod(F.xxhash64("node"), chunks).cast("int")
     theirs = F.pmod(F.xxhash64("node", F.lit(1)), minors).cast("int")
-    columns = ["band", "chunk", "part", "number", "node", "component", "n", "registers", "shingles"]
+    columns = ["band", "chunk", "part", "number", "node", "component", "n", "registers"]
+    keys = ["band", "chunk", "part"]
     every = large.withColumn("chunk", mine).withColumn("part", F.explode(F.sequence(F.lit(0), minors - 1)))
     outside = (
         large.where(minor).withColumn("part", theirs).withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
     )
-    least = least_estimate(similarity)
+
+    def narrow(_: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        """Nodes of a block that registers pair with any node of the other side: only their sets travel."""
+        kept = ["band", "chunk", "part", "number", "node", "component"]
+        if not len(a) or not len(b):
+            return a[kept].iloc[:0].assign(outer=False)
+        maybe = possible(a, b, percent)
+        return pd.concat([a[kept][maybe.any(axis=1)].assign(outer=True), b[kept][maybe.any(axis=0)].assign(outer=False)])
+
+    sided = [side.select([F.col(c).alias(c) for c in columns]).groupBy(*keys) for side in (outside, every)]
+    left_over = written(
+        sided[0].cogroup(sided[1]).applyInPandas(
+            narrow, "band long, chunk int, part int, number int, node long, component long, outer boolean"
+        ),
+        "near-maybe",
+    )
+    # Survivors of one band and part meet again in fewer blocks: chunks that kept few nodes are put together.
+    held = left_over.join(sets.select("node", "n"), "node").groupBy("band", "part", "chunk").agg(F.sum("n").alias("shingles"))
+    lower = Window.partitionBy("band", "part").orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)
+    block = F.floor(F.sum("shingles").over(lower) / (2 * BLOCK_SHINGLES)).cast("int")
+    dealt = left_over.join(held.select("band", "part", "chunk", block.alias("block")), ["band", "part", "chunk"])
 
     def compare(_: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"u": [], "v": []}).astype("int64")
         if not len(a) or not len(b):
             return none
-        band = int(a["number"].iloc[0])
-        x, y = (np.frombuffer(b"".join(f["registers"]), "<u2").reshape(-1, REGISTERS) for f in (a, b))
         n, m = a["n"].to_numpy(), b["n"].to_numpy()
         of, other = a["component"].to_numpy(), b["component"].to_numpy()
-        maybe = np.zeros((len(a), len(b)), bool)
-        for i in range(len(a)):
-            near = np.flatnonzero(
-                (other != of[i]) & (100 * np.minimum(n[i], m) >= percent * np.maximum(n[i], m))
-            )
-            same = x[i] == y[near]
-            chance = accidental((m[near] + n[i]) / 2)
-            estimate = (same.mean(axis=1) - chance) / (1 - chance)
-            earliest = same.reshape(-1, REGISTERS // BAND, BAND).all(axis=2).argmax(axis=1)
-            sure = np.minimum(n[i], m[near]) >= SURE_SIZE
-            maybe[i, near] = (earliest == band) & ((estimate >= least) | ~sure)
+        maybe = possible(a, b, percent)
         rows, columns = np.flatnonzero(maybe.any(axis=1)), np.flatnonzero(maybe.any(axis=0))
         if not len(rows):
             return none
@@ -414,13 +446,15 @@ def crossing(bands: DataFrame, sets: DataFrame, labels: DataFrame, percent: int)
         u, v = a["node"].to_numpy()[rows], b["node"].to_numpy()[columns]
         return pd.DataFrame([(u[i], v[j]) for i, j in found], columns=["u", "v"]).astype("int64")
 
-    keys = ["band", "chunk", "part"]
-    blocks = (
-        outside.select(columns)
-        .groupBy(*keys)
-        .cogroup(every.select([F.col(c).alias(c) for c in columns]).groupBy(*keys))
-        .applyInPandas(compare, "u long, v long")
-    )
+    # A node of the outer side may be in several chunks of one block; it is sent once.
+    placed = dealt.select("band", "part", "block", "number", "node", "component", "outer").distinct().join(sets, "node")
+    sides = [
+        placed.where(side).select([F.col(c).alias(c) for c in ("band", "part", "block", *columns[3:], "shingles")]).groupBy(
+            "band", "part", "block"
+        )
+        for side in (F.col("outer"), ~F.col("outer"))
+    ]
+    blocks = sides[0].cogroup(sides[1]).applyInPandas(compare, "u long, v long")
     return small.unionByName(blocks)
 
 
