@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -116,33 +117,40 @@ def index(items: list[tuple[int, str]]) -> Index:
     return Index(np.array(ids, np.int64), texts, h[order], p[order], a[order], seen, short)
 
 
-def banded(pattern: np.ndarray, text: np.ndarray, most: int) -> tuple[int, int, int] | None:
-    """Edits, start and stop of the best match of a pattern anywhere in a short text, if within the budget.
+def banded(pattern: np.ndarray, text: np.ndarray, most: int, low: int, high: int) -> tuple[int, int, int] | None:
+    """Edits, start and stop of the best match of a pattern whose path stays on the diagonals low to high, if within budget.
 
-    Dynamic programming down the pattern; a row is a vector over the text's places, and insertions within a row are
-    a running minimum.
+    A diagonal is place in the text less place in the pattern. Dynamic programming down the pattern; a row is a vector
+    over the diagonals only, so a pattern of n characters costs n times the band's width whatever the text's length is.
+    A dropped character comes from the next diagonal of the row above, insertions within a row are a running minimum.
     """
-    n = len(text)
-    at = np.arange(n + 1)
-    cost, origin = np.zeros(n + 1, np.int64), at.copy()
-    wide = n + 2
+    n, width = len(text), high - low + 1
+    at = np.arange(width)
+    far = len(pattern) + n + 1
+    padded = np.full(n + width + len(pattern) + 2, -1, np.int64)
+    shift = max(0, 1 - low)  # where the text begins in the padded copy, so that no place is negative
+    padded = np.concatenate([np.full(shift, -1, np.int64), text.astype(np.int64), padded])
+    place = at + low
+    cost, origin = np.where((place >= 0) & (place <= n), 0, far), place.copy()
     for i, c in enumerate(pattern.tolist(), 1):
-        swap = cost[:-1] + (text != c)
-        drop = cost + 1
-        best = drop.copy()
-        source = origin.copy()
-        better = swap < drop[1:]
-        best[1:][better] = swap[better]
-        source[1:][better] = origin[:-1][better]
-        key = (best - at) * wide + np.arange(n + 1)
+        place = at + (low + i)
+        swap = cost + (padded[place - 1 + shift] != c)
+        swap[place < 1] = far
+        drop = np.append(cost[1:] + 1, far)
+        better = drop < swap
+        best = np.where(better, drop, swap)
+        source = np.where(better, np.append(origin[1:], 0), origin)
+        best[(place < 0) | (place > n)] = far
+        key = (best - at) * (width + 1) + at
         lead = np.minimum.accumulate(key)
-        place = lead % wide
-        cost = (lead - place) // wide + at
-        origin = source[place]
+        came = lead % (width + 1)
+        cost = (lead - came) // (width + 1) + at
+        cost[(place < 0) | (place > n)] = far
+        origin = source[came]
         if cost.min() > most:
             return None
     stop = int(cost.argmin())
-    return (int(cost[stop]), int(origin[stop]), stop) if cost[stop] <= most else None
+    return (int(cost[stop]), int(origin[stop]), stop + low + len(pattern)) if cost[stop] <= most else None
 
 
 def regions(found: Index, hashes: np.ndarray) -> list[tuple[int, int, int]]:
@@ -228,7 +236,7 @@ def hits(found: Index, text: str | None) -> list[tuple[int, int, int, int]]:
         if same >= 0:
             got = (0, same - begin, same - begin + len(pattern))
         else:
-            got = banded(pattern, codes[begin:end], spare)
+            got = banded(pattern, codes[begin:end], spare, first - spare - begin, last + spare - begin)
         if got is not None:
             item = int(found.items[which])
             new = (got[0], begin + got[1], begin + got[2])
@@ -256,6 +264,17 @@ def blocks(
         yield [(r.item_id, r.text) for r in items.where(block == k).orderBy("item_id", "text").collect()]
 
 
+_INDEXES: dict[str, Index] = {}
+
+
+def kept_index(name: str, items: list[tuple[int, str]]) -> Index:
+    """The index of a block, made once in each Python worker; one is kept at a time."""
+    if name not in _INDEXES:
+        _INDEXES.clear()
+        _INDEXES[name] = index(items)
+    return _INDEXES[name]
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """A row for each document and benchmark item with a match: doc_id, item_id, start, stop and edits.
 
@@ -269,10 +288,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = None
     for items in blocks(benchmark, block_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
+        shared, name = docs.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
 
-        def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            found = index(shared.value)
+        def run(batches: Iterable[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
+            found = kept_index(name, shared.value)
             for batch, texts in text_chunks(batches):
                 rows = [
                     (doc_id, *hit)
@@ -295,10 +314,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES)
     """The documents without a match, of items without an id too; all columns stay."""
     out = docs
     for items in blocks(benchmark, block_bytes, without_id=True):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
+        shared, name = docs.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
 
-        def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            found = index(shared.value)
+        def run(batches: Iterable[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
+            found = kept_index(name, shared.value)
             for batch, texts in text_chunks(batches):
                 yield batch.filter(pa.array([not hits(found, text) for text in texts], pa.bool_()))
 
