@@ -22,6 +22,8 @@ FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 256 << 20
 REVISIT_FROM = 1000
 SALTS = 16
+#: Frames that one read takes.
+FRAMES_A_READ = 16
 WARC_DATE = "2024-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = pa.schema(
@@ -54,8 +56,8 @@ def with_types(pages: DataFrame, revisit_from: int = REVISIT_FROM, salts: int =
     others revisit it. Repeated rows of that page_id are all responses. Where all ids of a group are null there is
     nothing to refer to, so all are responses. A null payload is empty, and smaller payloads are all responses.
 
-    Only groups of two and more are joined to the pages, on digest and a salt, so one payload that a third of all
-    pages have is spread over many tasks.
+    Only groups of two and more are joined to the pages, on digest and a salt that all rows have, so one payload that a
+    third of all pages have is spread over many tasks, whatever its size is and also if whole rows are equal.
     """
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(
@@ -73,9 +75,7 @@ def with_types(pages: DataFrame, revisit_from: int = REVISIT_FROM, salts: int =
             "payload_digest", "newest", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
         )
     )
-    salted = rows.withColumn(
-        "salt", F.when(large, F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).cast("int")).otherwise(-1)
-    )
+    salted = rows.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
     revisit = F.col("newest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("newest"))
     return salted.join(groups, ["payload_digest", "salt"], "left").select(
         "page_id",
@@ -249,16 +249,16 @@ def described(fields: dict[str, str], block: bytes) -> tuple:
     return _id(fields["WARC-Record-ID"]), size, digest, fields["WARC-Type"], refers and _id(refers)
 
 
-def read_archive(folder: str, index: DataFrame) -> DataFrame:
-    """Read all bundles of an index back, frame by frame by their seek tables."""
+def read_archive(folder: str, index: DataFrame, frames: int = FRAMES_A_READ) -> DataFrame:
+    """Read all bundles of an index back, frame by frame by their seek tables; runs of frames go to tasks of their own."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, inner = open_fs(folder)
         plain = zstandard.ZstdDecompressor()
         for batch in batches:
-            for name in batch.column("bundle").to_pylist():
+            for name, part in zip(batch.column("bundle").to_pylist(), batch.column("part").to_pylist(), strict=True):
                 with filesystem.open_input_file(f"{inner}/{name}") as source:
-                    for start, packed, _ in seek_table(source):
+                    for start, packed, _ in seek_table(source)[part * frames : (part + 1) * frames]:
                         source.seek(start)
                         rows = [described(*r) for r in parse(plain.decompress(source.read(packed)))]
                         yield pa.RecordBatch.from_arrays(
@@ -266,8 +266,9 @@ def read_archive(folder: str, index: DataFrame) -> DataFrame:
                             schema=READ,
                         )
 
-    bundles = index.select("bundle").distinct()
-    return bundles.mapInArrow(run, READ_SCHEMA)
+    runs = index.select("bundle", F.floor(F.col("frame") / frames).cast("int").alias("part")).distinct()
+    runs = written(runs, "warc-reads")
+    return runs.repartition(max(1, runs.count()), "bundle", "part").mapInArrow(run, READ_SCHEMA)
 
 
 def fetch(folder: str, index: DataFrame, ids: DataFrame) -> DataFrame:
