@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from ledgersieve.llm.shared import text_chunks, written
 from ledgersieve.llm.tokens import binary, encoder
 
+#: Parts in which the pieces of one length are ranked, at least, and pieces that a part should hold.
 RANK_PARTS = 64
+RANK_PIECES = 200_000
 PIECES = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -127,10 +129,11 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
 def ranked(pieces: DataFrame, parts: int = RANK_PARTS) -> DataFrame:
     """Add ``rank``: a number from 0 without gaps among the pieces of the same length.
 
-    A length that very many pieces have (copies, full pieces) is ranked in parts by a hash of the piece, and each
-    part starts after the lower parts; there are at most capacity * parts of them.
+    A length that very many pieces have (copies, full pieces) is ranked in parts dealt by their place in the table, so
+    equal pieces are spread too; each part starts after the lower parts, and there are at most capacity * parts of them.
     """
-    rows = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts)).cast("int"))
+    spread = F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(parts)).cast("int")
+    rows = written(pieces.withColumn("part", spread), "pack-parts")
     counts = rows.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     lower = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("length", "part", F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("first"))
@@ -147,13 +150,14 @@ def packed(spark: SparkSession, pieces: DataFrame, capacity: int = 2048) -> Data
     """Give each piece a sequence and an offset there.
 
     The histogram has at most ``capacity`` rows; the plan made from it depends on the lengths alone and goes to
-    every task. Pieces find their slot by length and rank. No pieces give no rows; repeated rows are pieces of their
-    own.
+    every task: it has a few rows for each pair of lengths at most, so its bound is the square of the capacity. Pieces
+    find their slot by length and rank. No pieces give no rows; repeated rows are pieces of their own.
     """
     pieces = pieces.select("doc_id", "piece", "start", "length", "ids_crc32")
     histogram = {r.length: r.n for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     slots = spark.createDataFrame(plan(histogram, capacity), SLOT_SCHEMA)
-    rows = ranked(pieces)
+    parts = max(RANK_PARTS, -(-max(histogram.values(), default=0) // RANK_PIECES))
+    rows = ranked(pieces, parts)
     slot = slots.withColumnRenamed("length", "slot_length")
     inside = F.col("rank") - F.col("first_rank")
     return (
@@ -170,7 +174,11 @@ def packed(spark: SparkSession, pieces: DataFrame, capacity: int = 2048) -> Data
 
 
 def pack_documents(docs: DataFrame, capacity: int = 2048, end_id: int = 0, vocabulary: str | None = None) -> DataFrame:
-    """Pack all documents into few sequences of at most ``capacity`` ids."""
+    """Pack all documents into few sequences of at most ``capacity`` ids.
+
+    Null and empty texts are a piece that holds the end id; repeated rows and ids are pieces of their own; an empty
+    table gives no rows.
+    """
     pieces = written(pieces_of(docs, capacity, end_id, vocabulary), "pack-pieces")
     return packed(docs.sparkSession, pieces, capacity)
 
