@@ -542,3 +542,87 @@ def test_rows_with_one_id_are_dealt_to_several_token_files(spark, monkeypatch):
     rows = tokenfiles.read_token_files(folder, files, by_rank).collect()
     width = rows[0].n_tokens
     assert sorted(r.start for r in rows) == [width * i for i in range(400)]
+
+
+def least_edits(pattern, text):
+    """Plain edit distance of a pattern to its best place in a text."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(pattern, 1):
+        last, row = row, [i]
+        for j, d in enumerate(text, 1):
+            row.append(min(last[j - 1] + (c != d), last[j] + 1, row[-1] + 1))
+    return min(row)
+
+
+def test_banded_alignment_equals_the_whole_matrix():
+    rng = random.Random(12)
+    for _ in range(300):
+        pattern = "".join(rng.choice("ab") for _ in range(rng.randint(1, 12)))
+        text = "".join(rng.choice("ab") for _ in range(rng.randint(0, 16)))
+        most = rng.randint(0, 4)
+        got = decontamination.banded(
+            decontamination.points(pattern), decontamination.points(text), most, -len(pattern) - 1, len(text) + 1
+        )
+        best = least_edits(pattern, text)
+        assert (got is None) == (best > most)
+        if got:
+            assert got[0] == best == least_edits(pattern, text[got[1] : got[2]])
+
+
+def test_decontamination_equals_plain_edit_distance_of_all_pairs(spark):
+    """Every document against every item, with passages edited by less and by more than the budget."""
+    rng = random.Random(21)
+    items = [(i, "".join(rng.choice("abcdef ") for _ in range(rng.randint(60, 130))).strip()) for i in range(8)]
+    docs = []
+    for i in range(40):
+        text = "".join(rng.choice("ghij ") for _ in range(rng.randint(0, 80)))
+        for _ in range(rng.randint(0, 2)):
+            passage = list(rng.choice(items)[1])
+            for at in sorted(rng.sample(range(len(passage)), rng.randint(0, 9)), reverse=True):
+                passage[at : at + 1] = rng.choice([["z"], [], [passage[at], "y"]])
+            text += "".join(passage) + "".join(rng.choice("ghij ") for _ in range(rng.randint(0, 40)))
+        docs.append((i, text))
+    found = decontamination.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    )
+    expected = set()
+    for doc_id, text in docs:
+        for item_id, item in items:
+            (pattern,) = decontamination.patterns(item)
+            if least_edits(pattern, decontamination.normal(text)) <= decontamination.budget(len(pattern)):
+                expected.add((doc_id, item_id))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == expected
+    assert 10 < len(expected) < 60
+
+
+def test_shards_have_nearly_equal_bytes(spark, folder):
+    """The law of bytes: no shard is over another by more than the largest virtual slot."""
+    rows = LLM_QUERIES["op9_virtual_slots"](spark, folder).collect()
+    shards, slots = {k: 0 for k in range(40)}, {}
+    for r in rows:
+        shards[r.shard] += r["size"]
+        slots[r.virtual_slot] = slots.get(r.virtual_slot, 0) + r["size"]
+    assert {r.virtual_slot: r.shard for r in rows} and len({(r.virtual_slot, r.shard) for r in rows}) == len(slots)
+    assert max(shards.values()) - min(shards.values()) <= max(slots.values())
+
+
+def test_an_archive_is_read_by_several_tasks(spark):
+    pages = spark.range(300).selectExpr("id as page_id", "cast(null as string) as url", "repeat('x', cast(900 + id as int)) as html")
+    place, index = warc.write_archive(pages.coalesce(1), frame_bytes=2000)
+    assert index.select("bundle").distinct().count() == 1
+    read = warc.read_archive(place, index, frames=10)
+    assert read.rdd.getNumPartitions() > 5
+    assert sorted(r.page_id for r in read.collect()) == list(range(300))
+
+
+def test_small_equal_pages_are_spread(spark):
+    pages = spark.range(0, 800, 1, 4).selectExpr("cast(null as long) as page_id", "cast(null as string) as url", "'' as html")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = warc.with_types(pages).withColumn("p", ann.F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len({r.p for r in rows}) > 1
+    assert len(rows) == 800 and {r.record_type for r in rows} == {"response"}
