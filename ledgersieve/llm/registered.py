@@ -210,6 +210,33 @@ LLM_SQL: dict[str, str] = {
                CASE WHEN d.page_id IS DISTINCT FROM g.newest THEN g.newest END AS refers_to
         FROM d LEFT JOIN g ON d.payload_digest = g.payload_digest AND d.payload_bytes >= 1000
     """,
+    "op8_hyperminhash": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 1 THEN [w[1]]
+                ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS g
+            FROM d
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+        ), p AS (
+            SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+        ), e AS (
+            SELECT u, v FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * shared >= 80 * (x.n + y.n - shared)
+        ), links AS (
+            SELECT u, v FROM e UNION ALL SELECT v, u FROM e
+        ), reach AS (
+            WITH RECURSIVE r AS (
+                SELECT u, v FROM links UNION SELECT r.u, l.v FROM r JOIN links l ON l.u = r.v
+            ) SELECT u, min(v) AS least FROM r GROUP BY 1
+        )
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(reach.least, d.doc_id)) AS component_id,
+               d.doc_id = least(d.doc_id, coalesce(reach.least, d.doc_id)) AS kept
+        FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN reach ON reach.u = d.doc_id
+    """,
     "op11_rotated_infill": """
         WITH d AS (
             SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
