@@ -409,7 +409,7 @@ def crossing(bands: DataFrame, sets: DataFrame, labels: DataFrame, percent: int)
 
     def narrow(_: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         """Nodes of a block that registers pair with any node of the other side: only their sets travel."""
-        kept = ["band", "chunk", "part", "number", "node", "component"]
+        kept = ["band", "chunk", "part", "number", "node", "component", "n"]
         if not len(a) or not len(b):
             return a[kept].iloc[:0].assign(outer=False)
         maybe = possible(a, b, percent)
@@ -418,12 +418,12 @@ def crossing(bands: DataFrame, sets: DataFrame, labels: DataFrame, percent: int)
     sided = [side.select([F.col(c).alias(c) for c in columns]).groupBy(*keys) for side in (outside, every)]
     left_over = written(
         sided[0].cogroup(sided[1]).applyInPandas(
-            narrow, "band long, chunk int, part int, number int, node long, component long, outer boolean"
+            narrow, "band long, chunk int, part int, number int, node long, component long, n long, outer boolean"
         ),
         "near-maybe",
     )
     # Survivors of one band and part meet again in fewer blocks: chunks that kept few nodes are put together.
-    held = left_over.join(sets.select("node", "n"), "node").groupBy("band", "part", "chunk").agg(F.sum("n").alias("shingles"))
+    held = left_over.groupBy("band", "part", "chunk").agg(F.sum("n").alias("shingles"))
     lower = Window.partitionBy("band", "part").orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)
     block = F.floor(F.sum("shingles").over(lower) / (2 * BLOCK_SHINGLES)).cast("int")
     dealt = left_over.join(held.select("band", "part", "chunk", block.alias("block")), ["band", "part", "chunk"])
