@@ -74,23 +74,39 @@ def leaves_of(forest: Forest, vectors: np.ndarray) -> np.ndarray:
     return out
 
 
+def leaf_costs(forest: Forest, vector: np.ndarray) -> np.ndarray:
+    """For each tree and node the least cost of a leaf below it.
+
+    A leaf's cost is the sum of the signed margins on its way from the root: negative where the leaf lies on the vector's
+    side. Rows of a leaf lie on its sides of all these splits, so the lower the cost, the larger their products tend to be.
+    """
+    margins = forest.directions @ vector - forest.thresholds
+    costs = np.zeros((len(margins), 2 * forest.leaves), np.float32)
+    for level in range(forest.depth):
+        nodes = np.arange(1 << level, 2 << level)
+        costs[:, 2 * nodes] = costs[:, nodes] + margins[:, nodes]
+        costs[:, 2 * nodes + 1] = costs[:, nodes] - margins[:, nodes]
+    for node in range(forest.leaves - 1, 0, -1):
+        costs[:, node] = np.minimum(costs[:, 2 * node], costs[:, 2 * node + 1])
+    return costs
+
+
 def search_leaves(forest: Forest, vector: np.ndarray, visit: int) -> list[int]:
     """The first ``visit`` leaves in the order of one priority queue over all trees.
 
-    A node's priority is the least margin by which the vector lies on its side on the way from the root.
+    A node's priority is the least cost of a leaf below it, so leaves leave the queue in the order of their costs.
     """
-    trees = len(forest.directions)
-    margins = forest.directions @ vector - forest.thresholds
-    queue = [(-np.inf, t, 1) for t in range(trees)]
+    costs = leaf_costs(forest, vector).tolist()
+    queue = [(tree[1], t, 1) for t, tree in enumerate(costs)]
+    heapq.heapify(queue)
     out: list[int] = []
     while queue and len(out) < visit:
-        priority, t, node = heapq.heappop(queue)
+        _, t, node = heapq.heappop(queue)
         if node >= forest.leaves:
             out.append(t * forest.leaves + node - forest.leaves)
             continue
-        margin = float(margins[t, node])
-        heapq.heappush(queue, (max(priority, -margin), t, 2 * node + 1))
-        heapq.heappush(queue, (max(priority, margin), t, 2 * node))
+        for child in (2 * node, 2 * node + 1):
+            heapq.heappush(queue, (costs[t][child], t, child))
     return out
 
 

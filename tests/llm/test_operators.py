@@ -310,6 +310,46 @@ def test_neighbours(spark, folder):
     assert right >= 0.9 * 20 * len(got)
 
 
+@pytest.mark.parametrize("depth", [0, 1, 4])
+def test_leaves_are_visited_in_the_order_of_their_costs(depth):
+    """Against the cost of every leaf, summed along its own path."""
+    rng = np.random.default_rng(depth)
+    rows = rng.normal(size=(400, 6)).astype(np.float32)
+    forest = ann.fit(rows, 3, depth)
+    for vector in rows[:5]:
+        plain = []
+        for t in range(3):
+            for leaf in range(forest.leaves):
+                node, cost = 1, 0.0
+                for bit in f"{leaf:0{depth}b}" if depth else "":
+                    margin = float(forest.directions[t, node] @ vector - forest.thresholds[t, node])
+                    cost += -margin if bit == "1" else margin
+                    node = 2 * node + int(bit)
+                plain.append(cost)
+        for visit in (1, 7, 3 * forest.leaves):
+            found = ann.search_leaves(forest, vector, visit)
+            assert len(found) == len(set(found)) == min(visit, len(plain))
+            assert np.allclose([plain[x] for x in found], sorted(plain)[: len(found)], atol=1e-4)
+
+
+@pytest.mark.parametrize("rows", [500, 2000, 6000])
+def test_recall_on_vectors_without_structure(rows):
+    """The share of leaves that a query visits reaches 0.9 on the hardest input there is: random directions."""
+    rng = np.random.default_rng(rows)
+    vectors = rng.normal(size=(rows, 64))
+    vectors = (vectors / np.linalg.norm(vectors, axis=1)[:, None]).astype(np.float32)
+    depth = min(7, int(np.log2(rows / 40)))
+    forest = ann.fit(vectors, ann.TREES, depth)
+    at, right = ann.leaves_of(forest, vectors), 0
+    visit = int(np.ceil(ann.LEAF_SHARE * ann.TREES * forest.leaves))
+    for query in range(60):
+        score = vectors @ vectors[query]
+        score[query] = -9
+        seen = np.isin(at, ann.search_leaves(forest, vectors[query], visit)).any(axis=1)
+        right += seen[np.argsort(-score)[:20]].sum()
+    assert right >= 0.9 * 20 * 60
+
+
 def test_few_vectors_are_all_found(spark):
     rows = [(i, [float(i + 1), 1.0]) for i in range(5)]
     near = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), ann.F.col("id") == 0)
