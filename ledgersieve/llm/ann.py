@@ -21,6 +21,7 @@ LEAF_ROWS = 20_000
 LEAF_SHARE = 0.07
 TRIES = 4
 SALTS = 16
+BLOCK = ["leaf", "part", "chunk"]
 
 
 @dataclass
@@ -146,6 +147,34 @@ def usable(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "
     return rows.where(F.col("dims") == (most.dims if most else 0)).drop("dims")
 
 
+def _with_leaves(batch: pa.RecordBatch, leaves: list) -> pa.RecordBatch:
+    """The rows of a batch with the leaves of each as a list."""
+    ends = np.cumsum([0, *(len(each) for each in leaves)])
+    flat = np.concatenate(leaves) if leaves else np.zeros(0)
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+    return pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, "leaves"])
+
+
+def _in_blocks(stored: DataFrame, asking: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows and queries of each leaf, dealt to blocks of about ``LEAF_ROWS`` of either, in which all meet all.
+
+    A leaf that holds much of the data, or that many queries visit, becomes many blocks. The counts have one row a leaf,
+    which are at most ``TREES`` times some thousands, and are sent to every task.
+    """
+    rows = stored.select(F.explode("leaves").alias("leaf"), "ids", "vector")
+    queries = asking.select(F.explode("leaves").alias("leaf"), "key", "vector")
+
+    def blocks(of: DataFrame, name: str) -> DataFrame:
+        return of.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / LEAF_ROWS).cast("int").alias(name))
+
+    split = F.broadcast(written(blocks(rows, "parts").join(blocks(queries, "chunks"), "leaf"), "ann-split"))
+    rows = rows.join(split, "leaf").withColumn("part", F.pmod(F.xxhash64("vector"), F.col("parts")).cast("int"))
+    rows = rows.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    queries = queries.join(split, "leaf").withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int"))
+    queries = queries.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return rows.select(*BLOCK, "ids", "vector"), queries.select(*BLOCK, "key", "vector")
+
+
 def nearest(
     vectors: DataFrame,
     is_query: Column,
@@ -163,7 +192,8 @@ def nearest(
     smallest different ids, so copies can't fill a leaf. The forest is fitted on at most ``SAMPLE_ROWS`` different vectors and
     holds every one of them in a leaf of each tree; a query visits the same share of all leaves at every size, and
     the candidates there are ranked by their exact product in double precision. Trees have 128 leaves, or more where
-    those would have over 20,000 rows, and fewer for small tables, down to one (which is exhaustive).
+    those would have over 20,000 rows, and fewer for small tables, down to one (which is exhaustive). Leaves of more rows
+    or queries than that, as at any size skewed data has them, are compared in blocks.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, id_column, vector_column)
@@ -188,37 +218,21 @@ def nearest(
             for part in range(0, batch.num_rows, 2000):
                 cut = batch.slice(part, 2000)
                 at = leaves_of(sent.value, _matrix(cut.column("vector").to_pylist()).astype(np.float32))
-                row = pa.array(np.repeat(np.arange(cut.num_rows), at.shape[1]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(at.ravel()), *(cut.column(c).take(row) for c in ("ids", "vector"))],
-                    names=["leaf", "ids", "vector"],
-                )
+                yield _with_leaves(cut, list(at))
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [
-                search_leaves(sent.value, np.frombuffer(v, "<f8").astype(np.float32), visit)
-                for v in batch.column("vector").to_pylist()
-            ]
-            row = pa.array(np.repeat(np.arange(batch.num_rows), [len(f) for f in found]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([leaf for f in found for leaf in f], pa.int32()),
-                    *(batch.column(c).take(row) for c in ("key", "vector")),
-                ],
-                names=["leaf", "key", "vector"],
-            )
+            vectors = (np.frombuffer(v, "<f8").astype(np.float32) for v in batch.column("vector").to_pylist())
+            yield _with_leaves(batch, [search_leaves(sent.value, v, visit) for v in vectors])
 
-    placed = classes.select("ids", "vector").mapInArrow(place, "leaf int, ids array<long>, vector binary")
     query_keys = rows.where(is_query).select(F.col("key").alias("wanted")).distinct()
-    asked = (
-        classes.join(query_keys, F.col("key") == F.col("wanted"), "left_semi")
-        .select("key", "vector")
-        .mapInArrow(ask, "leaf int, key binary, vector binary")
-    )
+    asks = classes.join(query_keys, F.col("key") == F.col("wanted"), "left_semi").select("key", "vector")
+    stored = written(classes.select("ids", "vector").mapInArrow(place, "ids array<long>, vector binary, leaves array<int>"), "ann-stored")
+    asks = written(asks.mapInArrow(ask, "key binary, vector binary, leaves array<int>"), "ann-asked")
+    placed, asked = _in_blocks(stored, asks)
 
     def rerank(_: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """The best k + 1 different ids in a leaf for each query there (its own may be one)."""
+        """The best k + 1 different ids in a block for each query there (its own may be one)."""
         out = []
         if len(left) and len(right):
             stored, lists = _matrix(right["vector"]), right["ids"].to_list()
@@ -245,8 +259,8 @@ def nearest(
         return pd.concat(out) if out else pd.DataFrame({"query": [], "vec_id": [], "score": []})
 
     found = (
-        asked.groupBy("leaf")
-        .cogroup(placed.groupBy("leaf"))
+        asked.groupBy(*BLOCK)
+        .cogroup(placed.groupBy(*BLOCK))
         .applyInPandas(rerank, "query binary, vec_id long, score double")
         .groupBy("query", "vec_id")
         .agg(F.max("score").alias("score"))

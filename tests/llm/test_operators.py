@@ -356,6 +356,31 @@ def test_few_vectors_are_all_found(spark):
     assert [r.vec_id for r in near.orderBy("rank").collect()] == [4, 3, 2, 1]
 
 
+def test_leaves_in_blocks_give_the_same_neighbours(spark, monkeypatch):
+    """Half of the rows lie close together, so some leaves are far over the bound."""
+    rng = np.random.default_rng(8)
+    vec = np.concatenate([rng.normal(size=(200, 6)), 3 + 0.01 * rng.normal(size=(200, 6))])
+    data = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vec)], "vec_id long, embedding array<double>")
+
+    def found():
+        near = ann.nearest(data, ann.F.col("id") % 20 == 0)
+        return sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in near.collect())
+
+    sizes = []
+    whole, dealt = found(), ann._in_blocks
+
+    def bounded(*sides):
+        out = dealt(*sides)
+        sizes.extend(r["count"] for side in out for r in side.groupBy(*ann.BLOCK).count().collect())
+        return out
+
+    monkeypatch.setattr(ann, "LEAF_ROWS", 8)
+    monkeypatch.setattr(ann, "_in_blocks", bounded)
+    monkeypatch.setattr(ann, "fit", lambda sample, trees, depth, made=ann.fit: made(sample, trees, 3))
+    assert len(whole) == 400 and found() == whole
+    assert max(sizes) <= 24
+
+
 @pytest.mark.parametrize("times", [2, 30])
 def test_repeated_ids_leave_the_neighbours_whole(spark, times):
     """Query rows that repeat, alone (0) and with another id of the same vector (20, 21), and an id of many vectors (1)."""
