@@ -18,7 +18,8 @@ TREES = 16
 SAMPLE_ROWS = 20_000
 FEWEST_LEAVES = 128
 LEAF_ROWS = 20_000
-LEAF_SHARE = 0.07
+LEAF_SHARE = 0.05
+WHOLE_ROWS = 20
 TRIES = 4
 SALTS = 16
 BLOCK = ["leaf", "part", "chunk"]
@@ -63,6 +64,14 @@ def fit(sample: np.ndarray, trees: int, depth: int, seed: int = 17) -> Forest:
     return Forest(depth, directions, thresholds)
 
 
+def depth_for(rows: int, k: int) -> int:
+    """Tables of up to ``WHOLE_ROWS`` * k rows have one leaf, others 128, or more where those would be over ``LEAF_ROWS``."""
+    depth = 0 if rows <= WHOLE_ROWS * k else max(0, min(int(np.log2(FEWEST_LEAVES)), int(np.log2(rows / 3))))
+    while rows / (1 << depth) > LEAF_ROWS and (1 << depth) * 16 < SAMPLE_ROWS:
+        depth += 1
+    return depth
+
+
 def leaves_of(forest: Forest, vectors: np.ndarray) -> np.ndarray:
     """The leaf of each vector in each tree, numbered over the whole forest."""
     out = np.empty((len(vectors), len(forest.directions)), np.int32)
@@ -192,8 +201,8 @@ def nearest(
     smallest different ids, so copies can't fill a leaf. The forest is fitted on at most ``SAMPLE_ROWS`` different vectors and
     holds every one of them in a leaf of each tree; a query visits the same share of all leaves at every size, and
     the candidates there are ranked by their exact product in double precision. Trees have 128 leaves, or more where
-    those would have over 20,000 rows, and fewer for small tables, down to one (which is exhaustive). Leaves of more rows
-    or queries than that, as at any size skewed data has them, are compared in blocks.
+    those would have over 20,000 rows; tables of up to 20 * k different vectors have one leaf and are searched whole.
+    Leaves of more than 20,000 rows or queries, as skewed data has them at any size, are compared in blocks.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, id_column, vector_column)
@@ -206,10 +215,8 @@ def nearest(
     classes = written(rows.groupBy("key").agg(F.first("vector").alias("vector")).join(ids, "key"), "ann-classes")
     n = classes.count()
     sample = _matrix(r.vector for r in classes.select("vector", "key").orderBy("key").limit(SAMPLE_ROWS).collect())
-    depth = max(0, min(int(np.log2(FEWEST_LEAVES)), int(np.log2(max(1, n / 40)))))
-    while n / (1 << depth) > LEAF_ROWS and (1 << depth) * 16 < SAMPLE_ROWS:
-        depth += 1
-    forest = fit(sample.astype(np.float32), trees, depth)
+    forest = fit(sample.astype(np.float32), trees, depth_for(n, k))
+    depth = forest.depth
     visit = trees if depth == 0 else int(np.ceil(leaf_share * trees * forest.leaves))
     sent = spark.sparkContext.broadcast(forest)
 

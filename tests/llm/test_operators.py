@@ -332,14 +332,13 @@ def test_leaves_are_visited_in_the_order_of_their_costs(depth):
             assert np.allclose([plain[x] for x in found], sorted(plain)[: len(found)], atol=1e-4)
 
 
-@pytest.mark.parametrize("rows", [500, 2000, 6000])
+@pytest.mark.parametrize("rows", [420, 500, 2000, 6000])
 def test_recall_on_vectors_without_structure(rows):
     """The share of leaves that a query visits reaches 0.9 on the hardest input there is: random directions."""
     rng = np.random.default_rng(rows)
     vectors = rng.normal(size=(rows, 64))
     vectors = (vectors / np.linalg.norm(vectors, axis=1)[:, None]).astype(np.float32)
-    depth = min(7, int(np.log2(rows / 40)))
-    forest = ann.fit(vectors, ann.TREES, depth)
+    forest = ann.fit(vectors, ann.TREES, ann.depth_for(rows, 20))
     at, right = ann.leaves_of(forest, vectors), 0
     visit = int(np.ceil(ann.LEAF_SHARE * ann.TREES * forest.leaves))
     for query in range(60):
@@ -367,6 +366,7 @@ def test_leaves_in_blocks_give_the_same_neighbours(spark, monkeypatch):
         return sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in near.collect())
 
     sizes = []
+    monkeypatch.setattr(ann, "depth_for", lambda rows, k: 3)
     whole, dealt = found(), ann._in_blocks
 
     def bounded(*sides):
@@ -376,7 +376,6 @@ def test_leaves_in_blocks_give_the_same_neighbours(spark, monkeypatch):
 
     monkeypatch.setattr(ann, "LEAF_ROWS", 8)
     monkeypatch.setattr(ann, "_in_blocks", bounded)
-    monkeypatch.setattr(ann, "fit", lambda sample, trees, depth, made=ann.fit: made(sample, trees, 3))
     assert len(whole) == 400 and found() == whole
     assert max(sizes) <= 24
 
