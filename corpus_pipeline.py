@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgersieve.llm import decontamination, language, minhash, packing, toxicity
@@ -12,11 +12,23 @@ from ledgersieve.llm.registered import table
 from ledgersieve.llm.shared import held_out_is, written
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A name that no column of the documents begins with."""
+    while any(c.lower().startswith(name) for c in docs.columns):
+        name = f"_{name}"
+    return name
+
+
+def _all(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def keep_ordinary(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that op3 calls toxic. Null and empty texts stay unless no evidence alone reaches that cut."""
     model = toxicity.fit_toxicity(docs.where(~held_out_is("doc_id", 4, 2)), table(spark, sf_dir, "labels"))
-    found = toxicity.toxicity(docs, model, column="__toxicity")
-    return found.where(F.col("__toxicity") < toxicity.THRESHOLD).select(docs.columns)
+    score = _free(docs, "__toxicity")
+    found = toxicity.toxicity(docs, model, column=score)
+    return found.where(F.col(score) < toxicity.THRESHOLD).select(_all(docs))
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,30 +36,30 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     model = language.fit_language(docs.where(~held_out_is("doc_id", 3, 1)))
     if not model.languages:
         return docs
-    found = language.identify(docs, model, prefix="__language_")
-    sure = (F.col("__language_lang_pred") != language.UNDETERMINED) & ~F.col("__language_ambiguous")
-    return found.where(sure).select(docs.columns)
+    prefix = _free(docs, "__language_")
+    found = language.identify(docs, model, prefix=prefix)
+    sure = (F.col(f"{prefix}lang_pred") != language.UNDETERMINED) & ~F.col(f"{prefix}ambiguous")
+    return found.where(sure).select(_all(docs))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the least doc_id of each group of near-duplicates (five words, 0.8 and more).
 
-    Of rows that repeat an id one stays (that with the least text); rows without an id stay. Texts without words
-    are linked with nothing.
+    Of rows that repeat an id one stays: that with the least text, then with the least other columns as JSON text (which
+    orders maps too). Rows without an id stay. Texts without words are linked with nothing.
     """
     found = written(minhash.near_duplicates(docs, words=5, percent=80), "pipeline-near")
     gone = found.where("not kept").select("doc_id").distinct()
-    rest = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    rest = docs.join(gone, "doc_id", "left_anti").select(_all(docs))
     again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("doc_id is not null and n > 1").select("doc_id")
     if again.isEmpty():
         return rest
-    one = rest.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *_others(docs))).alias("row"))
-    fields = [F.col("doc_id") if c == "doc_id" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
-    return rest.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(one.select(fields))
-
-
-def _others(docs: DataFrame) -> list[str]:
-    return [c for c in docs.columns if c not in ("doc_id", "text")]
+    place = _free(docs, "__place")
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    order = ["text", F.to_json(F.struct(*others))] if others else ["text"]
+    repeated = rest.join(again, "doc_id", "left_semi").withColumn(place, F.row_number().over(Window.partitionBy("doc_id").orderBy(*order)))
+    one = repeated.where(F.col(place) == 1).select(_all(docs))
+    return rest.join(again, "doc_id", "left_anti").select(_all(docs)).unionByName(one)
 
 
 def keep_unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
