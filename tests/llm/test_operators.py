@@ -535,6 +535,22 @@ def test_pipeline_of_empty_tables(spark, empty):
     assert corpus_pipeline.run(spark, empty).count() == 0
 
 
+def test_stages_leave_columns_alone_whatever_their_names(spark, folder):
+    """Columns named like those the stages add, and a map besides an id that repeats."""
+    docs = table(spark, folder, "documents").drop("score", "node", "rank")
+    docs = docs.selectExpr(
+        "*", "doc_id as __toxicity", "text as __language_ambiguous", "doc_id as __place", "map('k', doc_id) as tags"
+    )
+    docs = shared.written(docs, "test-clash")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        kept = shared.written(stage(spark, docs, folder), "test-clash")
+        assert kept.columns == docs.columns and kept.count() > 0, name
+        wrong = "not (doc_id <=> __toxicity and text <=> __language_ambiguous and doc_id <=> __place and doc_id <=> tags['k'])"
+        assert kept.where(wrong).isEmpty(), name
+        docs = kept
+    assert docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()
+
+
 def test_near_duplicates_of_ids_with_an_empty_row(spark):
     """A repeated id with a null or empty text beside a text that has a near copy."""
     words = [f"w{i}" for i in range(200)]
