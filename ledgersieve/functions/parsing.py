@@ -61,7 +61,8 @@ def calendar_text(name: str) -> Column:
     there = f"{week} > 0 and extract(yearofweek from {date}) = {year}"
     # The lambda is no part of the generated method of the row, whose size is bounded; it runs for dates by week only.
     turned = f"transform(array({name}), x -> concat(if({there}, string({date}), 'no such week'), {rest}))[0]"
-    return F.expr(f"if({_matches(name, _ANY_WEEK)}, {turned}, {name})")
+    # Most texts hold no W and need no pattern.
+    return F.expr(f"if(contains({name}, 'W') and {_matches(name, _ANY_WEEK)}, {turned}, {name})")
 
 
 def has_offset(name: str) -> Column:

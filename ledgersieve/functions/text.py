@@ -25,6 +25,20 @@ def has_separator() -> Column:
     return F.expr(f"contains(concat({', '.join(_HASHED)}), '|')")
 
 
+def hash_bytes(name: str = "raw_line_hash") -> Column:
+    """The bytes a hash's text spells, half as long and in the same order; null where the text would not come back."""
+    return F.expr(f"if(lower(hex(unhex({name}))) = {name}, unhex({name}), null)")
+
+
+def hash_text(name: str) -> Column:
+    return F.lower(F.hex(name))
+
+
+def key_start() -> Column:
+    """The natural key without its posting time: of rows posted at one time, equal just where the whole key is."""
+    return F.expr("concat_ws('', source_name, '|', raw_transaction_id, '|')")
+
+
 def natural_key() -> Column:
     """Source, transaction id and posting time. Nulls are left out; ``concat`` would turn the key null."""
     return F.expr("concat_ws('', source_name, '|', raw_transaction_id, '|', string(posted_at))")

@@ -45,8 +45,12 @@ def latest_versions(standardized: DataFrame) -> DataFrame:
 
 def silver(bronze: DataFrame, as_of: datetime) -> DataFrame:
     """Filters come after the ranking: a deleted latest version hides the versions before it."""
+    # Through the shuffle go the hash as bytes and the key without its time; a text that is no hash stays beside it.
+    short = standardize(bronze).withColumn("natural_key", text.key_start()).withColumn("__bytes", text.hash_bytes())
+    short = short.withColumn("raw_line_hash", F.struct(F.expr("if(__bytes is null, raw_line_hash, null)"), "__bytes"))
     return (
-        latest_versions(standardize(bronze))
+        latest_versions(short.drop("__bytes"))
+        .withColumn("natural_key", text.natural_key())
         .where("account_id is not null and amount is not null and status <> 'deleted'")
         .where(F.col("posted_at") <= clock.acceptance_limit(as_of))
         .withColumn("refreshed_at", clock.at(as_of))

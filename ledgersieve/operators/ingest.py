@@ -119,12 +119,22 @@ def route_feed(feed: DataFrame, run_id: str, as_of: datetime, grain: str = "day"
     return label(drop_exact_copies(typed_or_text(classified)), run_id, as_of, grain)
 
 
-def stage_feed(feed: DataFrame, run_id: str, as_of: datetime, grain: str = "day") -> DataFrame:
-    """``route_feed`` with what the replay guard asks: ``due_period``, where an accepted copy of the row would lie,
-    whatever its route is now, and ``ambiguous``, whether a field holds the hash's separator."""
+def parsed_feed(feed: DataFrame, as_of: datetime, grain: str = "day") -> DataFrame:
+    """Every row of the feed parsed and classified, copies too, with what the replay guard asks: ``due_period``, where an
+    accepted copy of the row would lie, whatever its route is now, and ``ambiguous``, whether a field holds the hash's
+    separator. The hash is in bytes: no shuffle can compress its text."""
     known = add_line_hash(feed).withColumn("ambiguous", text.has_separator())
     classified = classify(parse_fields(known), as_of).withColumn("due_period", clock.period_of(F.col("posted_ts"), grain))
-    return label(drop_exact_copies(typed_or_text(classified, ["due_period", "ambiguous"])), run_id, as_of, grain)
+    return typed_or_text(classified, ["due_period", "ambiguous"]).withColumn("raw_line_hash", F.unhex("raw_line_hash"))
+
+
+def with_hash_text(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("raw_line_hash", text.hash_text("raw_line_hash"))
+
+
+def stage_feed(feed: DataFrame, run_id: str, as_of: datetime, grain: str = "day") -> DataFrame:
+    """``route_feed`` with ``due_period`` and ``ambiguous`` (see ``parsed_feed``)."""
+    return label(with_hash_text(drop_exact_copies(parsed_feed(feed, as_of, grain))), run_id, as_of, grain)
 
 
 def _columns(schema: T.StructType) -> list[str]:

@@ -31,8 +31,12 @@ KEY = ["source_name", "posted_period", "bits", "bucket"]
 
 
 def _placed(rows: DataFrame) -> DataFrame:
-    """Add bucket and place of each row's bit; ``bits`` is the logarithm of the number of bits."""
-    at = F.expr("pmod(xxhash64(raw_line_hash), shiftleft(1L, bits))")
+    """Add bucket and place of each row's bit; ``bits`` is the logarithm of the number of bits.
+
+    A bit follows the text of the hash, also where the rows have its bytes.
+    """
+    spelled = "raw_line_hash" if dict(rows.dtypes)["raw_line_hash"] == "string" else "lower(hex(raw_line_hash))"
+    at = F.expr(f"pmod(xxhash64({spelled}), shiftleft(1L, bits))")
     return rows.withColumn("at", at).select(
         "*", F.shiftright("at", BUCKET_BITS).alias("bucket"), (F.col("at") % 2**BUCKET_BITS).alias("place")
     )
@@ -42,13 +46,16 @@ def bitmaps(accepted: DataFrame) -> DataFrame:
     """``SIDECAR`` rows of accepted rows (source_name, posted_period, raw_line_hash).
 
     The number of bits follows the rows of each source and period, so a bitmap is as dense for a busy day as for a quiet
-    one. Rows are counted and set in parts before each shuffle; a busy source is spread over its buckets.
+    one. The counts, a row for each source and period, go to all tasks. Places are shuffled and not bitmaps set in
+    parts: every task has rows of almost every bucket, so the parts would grow with the square of the rows. A bucket gets
+    about 2,048 rows (its bits by ``SPARSITY``), so a busy source is spread over its buckets.
     """
     sizes = accepted.groupBy("source_name", "posted_period").agg(F.count(F.lit(1)).alias("n"))
     exponent = F.ceil(F.log2(F.col("n") * SPARSITY)).cast("int")
     bits = F.least(F.greatest(exponent, F.lit(BUCKET_BITS)), F.lit(MOST_BITS))
-    sized = accepted.join(sizes.select("source_name", "posted_period", bits.alias("bits")), ["source_name", "posted_period"])
-    made = _placed(sized).groupBy(*KEY).agg(F.bitmap_construct_agg("place").alias("bitmap"))
+    known = F.broadcast(sizes.select("source_name", "posted_period", bits.alias("bits")))
+    places = _placed(accepted.join(known, ["source_name", "posted_period"])).select(*KEY, "place").repartition(*KEY)
+    made = places.groupBy(*KEY).agg(F.bitmap_construct_agg("place").alias("bitmap"))
     return made.select(SIDECAR.fieldNames())
 
 
@@ -58,10 +65,13 @@ def merged(sidecar: DataFrame) -> DataFrame:
 
 
 def possible_replays(rows: DataFrame, sidecar: DataFrame) -> DataFrame:
-    """raw_line_hash, source_name and due_period of the rows whose bit a load has set in their source and period."""
+    """raw_line_hash, source_name and due_period of the rows whose bit a load has set in their source and period.
+
+    The hash may be text or bytes and comes back as it was.
+    """
     there = sidecar.select("source_name", "posted_period", "bits").distinct()
     asked = rows.select("raw_line_hash", "source_name", F.col("due_period").alias("posted_period"))
-    probes = _placed(asked.join(there, ["source_name", "posted_period"]))
+    probes = _placed(asked.join(F.broadcast(there), ["source_name", "posted_period"])).drop("at")
     byte = F.conv(F.hex(F.substring("bitmap", (F.floor(F.col("place") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     hit = F.expr("shiftright(byte, cast(place % 8 as int)) & 1 = 1")
     return (

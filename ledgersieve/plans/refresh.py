@@ -13,6 +13,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgersieve.functions import text
 from ledgersieve.operators import conform, ingest, publish, replay
 from ledgersieve.plans.snapshots import Version
 from ledgersieve.plans.warehouse import LOADED, LOADED_RUNS, LOADS, PERIOD, Warehouse
@@ -21,7 +22,8 @@ from ledgersieve.plans.warehouse import LOADED, LOADED_RUNS, LOADS, PERIOD, Ware
 def net_new_rows(warehouse: Warehouse, feed: DataFrame, run_id: str, as_of: datetime) -> DataFrame:
     """Distinct routed rows of the feed that no other run has accepted.
 
-    The feed is read once: hashed, parsed and routed rows are staged, and all that follows reads those. ``posted_at``
+    The feed is read once: hashed, parsed and routed rows are staged, and all that follows reads those. Copies are
+    dropped after that, by the one shuffle that also brings the rows to the replays found among them. ``posted_at``
     is part of the hash, so a row can only be found again in its own period; the bitmaps of those periods say which rows
     may be there, and only these meet stored hashes. A daily load costs the same however long the history is. The
     exception is a row with the hash's separator inside a field, which can share its hash with a row of another period
@@ -30,21 +32,25 @@ def net_new_rows(warehouse: Warehouse, feed: DataFrame, run_id: str, as_of: date
     version = warehouse.version()
     others = ~F.col("load_run_id").eqNullSafe(run_id)
     stored = warehouse.snapshots.manifest(version, LOADS).where(others & (F.col("route") == "bronze"))
-    routed = ingest.stage_feed(feed, run_id, as_of, warehouse.grain)
     if stored.isEmpty():
-        return routed.drop("due_period", "ambiguous")
-    staged = warehouse.staged(routed, run_id)
+        return ingest.stage_feed(feed, run_id, as_of, warehouse.grain).drop("due_period", "ambiguous")
+    staged = warehouse.staged(ingest.parsed_feed(feed, as_of, warehouse.grain), run_id)
     due = warehouse.snapshots.kept(staged.where("due_period is not null").select(F.col("due_period").alias(PERIOD)).distinct())
     sidecar = warehouse.bitmaps(due, others)
     maybe = warehouse.staged(replay.possible_replays(staged.where("not ambiguous"), sidecar), f"{run_id}-maybe")
     periods = warehouse.snapshots.kept(maybe.select(F.col("due_period").alias(PERIOD)).distinct())
-    seen = warehouse.accepted_hashes(stored.join(periods, PERIOD, "left_semi"), periods)
+    seen = _in_bytes(warehouse.accepted_hashes(stored.join(periods, PERIOD, "left_semi"), periods))
     replayed = maybe.join(seen, ingest.HASH_KEY, "left_semi").select(*ingest.HASH_KEY)
     ambiguous = staged.where("ambiguous")
     if not ambiguous.isEmpty():
-        every = ambiguous.join(warehouse.accepted_hashes(stored), ingest.HASH_KEY, "left_semi")
+        every = ambiguous.join(_in_bytes(warehouse.accepted_hashes(stored)), ingest.HASH_KEY, "left_semi")
         replayed = replayed.unionByName(every.select(*ingest.HASH_KEY))
-    return ingest.skip_replayed(staged, replayed).drop("due_period", "ambiguous")
+    new = ingest.skip_replayed(ingest.drop_exact_copies(staged), replayed).drop("due_period", "ambiguous")
+    return ingest.label(ingest.with_hash_text(new), run_id, as_of, warehouse.grain)
+
+
+def _in_bytes(keys: DataFrame) -> DataFrame:
+    return keys.select(text.hash_bytes().alias("raw_line_hash"), "source_name")
 
 
 @dataclass(frozen=True)

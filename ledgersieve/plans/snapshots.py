@@ -41,6 +41,10 @@ FILE = T.StructType(
 )
 
 
+#: Half of a stored row is the text of its hash, which Snappy leaves as it is.
+COMPRESSION = "zstd"
+
+
 def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.range(0, 0, 1, 1).select([F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
 
@@ -141,6 +145,7 @@ class Snapshots:
         (
             rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
+            .option("compression", COMPRESSION)
             .partitionBy(*folders)
             .parquet(f"{self.base_dir}/{table}/write={write_id}")
         )

@@ -32,11 +32,11 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ledgersieve import schemas
-from ledgersieve.functions import clock
+from ledgersieve.functions import clock, text
 from ledgersieve.operators import quality, replay
 from ledgersieve.operators.ingest import HASH_KEY, accepted_rows, rejected_rows
 from ledgersieve import files as store
-from ledgersieve.plans.snapshots import ConcurrentChange, Snapshots, Version, no_rows
+from ledgersieve.plans.snapshots import COMPRESSION, ConcurrentChange, Snapshots, Version, no_rows
 from ledgersieve.sinks.appends import one_row
 from ledgersieve.sinks.exports import write_period_csv
 
@@ -122,7 +122,7 @@ class Warehouse:
     def staged(self, rows: DataFrame, label: str) -> DataFrame:
         """Rows written beside the tables, for a load that uses them more than once; ``clean`` deletes them."""
         path = f"{self.base_dir}/_staging/{label}-{uuid.uuid4().hex[:12]}"
-        rows.write.parquet(path)
+        rows.write.option("compression", COMPRESSION).parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def bronze(self) -> DataFrame:
@@ -207,12 +207,17 @@ class Warehouse:
         """Land one load. It becomes visible as a whole; a load with the same id is replaced, so a retry does not double.
 
         ``rebalance`` gathers each partition folder's rows into few files; where one source or period holds
-        much of the data, AQE splits it over several tasks.
+        much of the data, AQE splits it over several tasks. Hashes go there as bytes, texts that are no hash as they are.
         """
         if not re.fullmatch(r"[A-Za-z0-9._-]+", run_id):
             raise ValueError(f"run id {run_id!r} cannot be a folder name")
         write_id = f"{run_id}-{uuid.uuid4().hex[:12]}"
-        self.snapshots.write(LOADS, routed.hint("rebalance", *LOAD_FOLDERS), LOAD_FOLDERS, write_id)
+        packed = routed.withColumn("__bytes", text.hash_bytes()).withColumn(
+            "raw_line_hash", F.expr("if(__bytes is null, raw_line_hash, null)")
+        )
+        whole = F.coalesce(text.hash_text("__bytes"), "raw_line_hash")
+        gathered = packed.hint("rebalance", *LOAD_FOLDERS).withColumn("raw_line_hash", whole).select(routed.columns)
+        self.snapshots.write(LOADS, gathered, LOAD_FOLDERS, write_id)
         landed = self.snapshots.open(LOADS, schemas.ROUTED, [f"write={write_id}"]).where("route = 'bronze'")
         found = replay.bitmaps(landed.select("raw_line_hash", "source_name", PERIOD))
         self.snapshots.write(BITMAPS, found.hint("rebalance", PERIOD), [PERIOD], write_id)

@@ -10,7 +10,7 @@ from pathlib import Path
 import pytest
 from conftest import AS_OF, line, rows_of
 
-from ledgersieve.operators import ingest, replay
+from ledgersieve.operators import conform, ingest, replay
 from ledgersieve import files as store
 from ledgersieve.plans import refresh
 from ledgersieve.plans.daily_run import run_daily
@@ -133,3 +133,60 @@ def test_export_of_a_crashed_run_is_made_up_for(spark, tmp_path, feed, monkeypat
     assert warehouse.export_notes() == ["2026-05-21"]
     assert len(exported(warehouse)) == 2
     assert len(list(Path(warehouse.path("exports/ai_ready_financial_notes")).glob("*.csv"))) == 2
+
+
+def plan_of(rows):
+    return rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_replays_are_found_by_the_bytes_of_hashes_too(spark, tmp_path, feed):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"), "month")
+    refresh.load_feed(warehouse, feed(line("A"), line("B")), "run-1", AS_OF)
+    parsed = ingest.parsed_feed(feed(line("A"), line("A"), line("C")), AS_OF, "month")
+    sidecar = warehouse.bitmaps(parsed.select(ingest.F.col("due_period").alias("posted_period")).distinct(), ingest.F.lit(True))
+    found = ingest.with_hash_text(replay.possible_replays(parsed, sidecar)).select("raw_line_hash")
+    stored = warehouse.bronze().where("raw_transaction_id = 'A'").select("raw_line_hash")
+    assert dict(parsed.dtypes)["raw_line_hash"] == "binary"
+    assert rows_of(found.intersect(stored)) == rows_of(stored) and found.count() < 3
+
+
+def test_copies_within_a_later_load_are_dropped(spark, tmp_path, feed):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    refresh.load_feed(warehouse, feed(line("A")), "run-1", AS_OF)
+    delivery = feed(line("A"), line("A"), line("B"), line("B"), line("C|", description="x|y"), line("C|", description="x|y"))
+    new = refresh.net_new_rows(warehouse, delivery, "run-2", AS_OF)
+    assert rows_of(new, "raw_transaction_id") == [("B",), ("C|",)]
+    # Copies are dropped by the shuffle that meets the replays, not by one of their own before.
+    assert "WindowGroupLimit" in plan_of(new)
+
+
+def test_bitmaps_are_made_after_their_shuffle(spark):
+    rows = spark.range(5000).selectExpr(
+        "sha2(string(id), 256) as raw_line_hash", "'s' as source_name", "date'2026-05-01' as posted_period"
+    )
+    plan = plan_of(replay.bitmaps(rows))
+    assert plan.index("partial_bitmap_construct_agg") < plan.index("REPARTITION_BY_COL")
+    assert replay.bitmaps(rows).selectExpr("sum(bitmap_count(bitmap)) as n").first().n > 4500
+
+
+def test_loads_keep_the_text_of_every_hash(spark, tmp_path, feed):
+    """Hashes go through shuffles as bytes; texts that bytes would not give back stay texts."""
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    odd = ["ab", "AB", "abc", "", "no hash", None, "é" * 20]
+    routed = ingest.route_feed(feed(*[line(f"T{i}") for i in range(len(odd) + 1)]), "run-1", AS_OF)
+    chosen = ingest.F.expr("map({})".format(", ".join(f"'T{i}', {'null' if h is None else repr(h)}" for i, h in enumerate(odd))))
+    hashed = routed.withColumn("raw_line_hash", ingest.F.expr("if(raw_transaction_id = 'T7', raw_line_hash, null)"))
+    hashed = hashed.withColumn("raw_line_hash", ingest.F.coalesce("raw_line_hash", chosen[ingest.F.col("raw_transaction_id")]))
+    wanted = rows_of(hashed, "raw_transaction_id", "raw_line_hash")
+    warehouse.write_routed(hashed, "run-1")
+    assert rows_of(warehouse.bronze(), "raw_transaction_id", "raw_line_hash") == wanted
+    assert all(path.endswith(".zstd.parquet") for path in warehouse.bronze().inputFiles())
+
+
+def test_silver_shuffles_no_text_of_hashes_and_no_time_in_keys(spark, feed):
+    rows = feed(line("A"), line("A", "ACC-2"), line(None), line("", description="x"), source="s|A")
+    silver = conform.silver(ingest.accepted_rows(ingest.route_feed(rows, "run-1", AS_OF)), AS_OF)
+    keys = rows_of(silver, "natural_key")
+    assert keys == [("s|A|A|2026-05-20 08:00:00",), ("s|A||2026-05-20 08:00:00",)]
+    plan = plan_of(silver)
+    assert "cast(posted_at" in plan[: plan.index("Exchange hashpartitioning(posted_at")]
