@@ -166,7 +166,9 @@ def publish_layers(warehouse: Warehouse, as_of: datetime, scopes: dict[str, Refr
         scope = scopes[layer]
         if not scope.nothing_to_do:
             rows = build(warehouse.silver(scope.periods))
-            made.append(warehouse.replace_layer(layer, rows, scope.periods, _held_after(scope, layer, as_of)))
+            by_row = layer == "ai_ready_financial_notes"  # from the files of silver, each of one period
+            held = _held_after(scope, layer, as_of)
+            made.append(warehouse.replace_layer(layer, rows, scope.periods, held, gathered=by_row))
     if not made:
         return None
     return warehouse.put_in_force(min((s.start for s in scopes.values()), key=lambda v: v.number), made)

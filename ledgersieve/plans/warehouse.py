@@ -242,21 +242,21 @@ class Warehouse:
                 return new
 
     def replace_layer(
-        self, layer: str, rows: DataFrame, periods: DataFrame | None = None, held: dict | None = None
+        self, layer: str, rows: DataFrame, periods: DataFrame | None = None, held: dict | None = None, gathered: bool = False
     ) -> Replacement:
         """Write a whole layer, or the given periods of it, for a commit to put in force.
 
         Files of a period lie in the order of its rows, so their statistics and those of their row groups tell
         accounts and times apart. Periods that no row is left of have no file afterwards. The counts that the quality
-        checks need are taken from the written files and stored with them.
+        checks need are taken from the written files and stored with them. ``gathered`` says that the rows come period by
+        period, as a scan of another layer gives them, so that no shuffle has to bring those of a period together.
         """
         schema, moment, order = PERIODIC_LAYERS[layer]
         start = self.version()
         write_id = uuid.uuid4().hex
         placed = rows.select(*schema.fieldNames(), clock.period_of(F.col(moment), self.grain).alias(PERIOD))
-        self.snapshots.write(
-            layer, placed.hint("rebalance", PERIOD).sortWithinPartitions(PERIOD, *order), [PERIOD], write_id
-        )
+        together = placed if gathered else placed.hint("rebalance", PERIOD)
+        self.snapshots.write(layer, together.sortWithinPartitions(PERIOD, *order), [PERIOD], write_id)
         added = self.snapshots.listed(layer, _with_period(schema), write_id, moment, start.number + 1)
         tables = {layer: self._exchanged(self.snapshots.manifest(start, layer), periods, added)}
         if layer == "silver_transactions":

@@ -190,3 +190,20 @@ def test_silver_shuffles_no_text_of_hashes_and_no_time_in_keys(spark, feed):
     assert keys == [("s|A|A|2026-05-20 08:00:00",), ("s|A||2026-05-20 08:00:00",)]
     plan = plan_of(silver)
     assert "cast(posted_at" in plan[: plan.index("Exchange hashpartitioning(posted_at")]
+
+
+def test_notes_are_written_without_a_shuffle(spark, tmp_path, feed, monkeypatch):
+    """Files of silver are of one period each, so the notes made from them need not be gathered."""
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    refresh.load_feed(warehouse, feed(line("A"), line("B", posted_at="2026-05-21T08:00:00")), "run-1", AS_OF)
+    refresh.refresh_silver(warehouse, AS_OF)
+    plans, write = {}, type(warehouse.snapshots).write
+
+    def noted(self, table, rows, folders, write_id):
+        plans[table] = plan_of(rows)
+        write(self, table, rows, folders, write_id)
+
+    monkeypatch.setattr(type(warehouse.snapshots), "write", noted)
+    refresh.publish_layers(warehouse, AS_OF, refresh.refresh_scopes(warehouse, LAYERS, AS_OF))
+    assert "Exchange" not in plans["ai_ready_financial_notes"] and "Exchange" in plans["gold_daily_account_summary"]
+    assert rows_of(warehouse.notes(), "natural_key") == rows_of(warehouse.silver(), "natural_key")
