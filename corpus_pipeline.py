@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgersieve.llm import decontamination, language, minhash, packing, toxicity
 from ledgersieve.llm.registered import table
-from ledgersieve.llm.shared import held_out_is, written
+from ledgersieve.llm.shared import held_out_is, marked, written
 
 
 def _free(docs: DataFrame, name: str) -> str:
@@ -49,8 +49,12 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     orders maps too). Rows without an id stay. Texts without words are linked with nothing.
     """
     found = written(minhash.near_duplicates(docs, words=5, percent=80), "pipeline-near")
-    gone = found.where("not kept").select("doc_id").distinct()
-    rest = docs.join(gone, "doc_id", "left_anti").select(_all(docs))
+    gone = written(found.where("not kept").select("doc_id").distinct(), "pipeline-gone")
+    mark = _free(docs, "__maybe_gone")
+    known = marked(docs, "doc_id", gone, mark)
+    # Only documents that a bitmap of the dropped ids doesn't clear are shuffled to meet them.
+    asked = known.where(F.col(mark)).join(gone, "doc_id", "left_anti").select(_all(docs))
+    rest = known.where(~F.col(mark)).select(_all(docs)).unionByName(asked)
     again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("doc_id is not null and n > 1").select("doc_id")
     if again.isEmpty():
         return rest

@@ -18,6 +18,8 @@ SAMPLE_PER_LANGUAGE = 500
 SAMPLE_ROWS = 4_000
 MAX_TRAINING_BYTES = 32_768
 SNIPPETS = (40, 120)
+#: Rows of the training matrix that are dense at a time.
+DENSE_ROWS = 512
 AMBIGUOUS_MARGIN = 1.0
 UNDETERMINED = "und"
 LANGUAGE_COLUMNS = (("lang_pred", "string"), ("score", "double"), ("ambiguous", "boolean"))
@@ -93,8 +95,22 @@ def unit(counts: np.ndarray) -> np.ndarray:
     return (x / max(np.linalg.norm(x), 1e-9)).astype(np.float32)
 
 
+def filled(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Places and values of what is not zero in the vectors of some texts, one text after the other."""
+    places, values = [], []
+    for i, text in enumerate(texts):
+        x = unit(grams(text))
+        at = np.flatnonzero(x)
+        places.append((i * BUCKETS + at).astype(np.int32))
+        values.append(x[at])
+    return np.concatenate(places), np.concatenate(values)
+
+
 def fit(sample: list[tuple[str, str]], steps: int = 200, ridge: float = 1e-4, seed: int = 3) -> Model:
-    """Logistic classifiers for the code's bits, by accelerated gradient steps on whole texts and short snippets."""
+    """Logistic classifiers for the code's bits, by accelerated gradient steps on whole texts and short snippets.
+
+    The vectors are kept without their zeros; a step fills one dense block of rows after the other.
+    """
     languages = sorted({lang for _, lang in sample})
     code = codewords(len(languages))
     place = {lang: i for i, lang in enumerate(languages)}
@@ -114,9 +130,8 @@ def fit(sample: list[tuple[str, str]], steps: int = 200, ridge: float = 1e-4, se
     weights, bias = np.zeros((BUCKETS, bits), np.float32), np.zeros(bits, np.float32)
     if len(languages) < 2 or not cuts:
         return Model(languages, code, weights, bias)
-    x = np.empty((len(cuts), BUCKETS), np.float32)
-    for row, cut in zip(x, cuts, strict=True):
-        row[:] = unit(grams(cut))
+    blocks = [(i, *filled(cuts[i : i + DENSE_ROWS])) for i in range(0, len(cuts), DENSE_ROWS)]
+    dense = np.zeros((min(DENSE_ROWS, len(cuts)), BUCKETS), np.float32)
     y = code[labels].astype(np.float32)
     each = np.bincount(labels, minlength=len(languages))
     share = (1 / each[labels] / (each > 0).sum()).astype(np.float32)[:, None]
@@ -124,9 +139,16 @@ def fit(sample: list[tuple[str, str]], steps: int = 200, ridge: float = 1e-4, se
     for step in range(steps):
         pull = step / (step + 3)
         w, b = weights + pull * (weights - last), bias + pull * (bias - last_bias)
-        g = -y / (1 + np.exp(np.clip(y * (x @ w + b), -30, 30))) * share
+        slope, g = np.zeros_like(weights), np.empty_like(y)
+        for begin, places, values in blocks:
+            rows = slice(begin, begin + DENSE_ROWS)
+            x = dense[: len(y[rows])]
+            x.reshape(-1)[places] = values
+            g[rows] = -y[rows] / (1 + np.exp(np.clip(y[rows] * (x @ w + b), -30, 30))) * share[rows]
+            slope += x.T @ g[rows]
+            x.reshape(-1)[places] = 0
         last, last_bias = weights, bias
-        weights, bias = w - rate * (x.T @ g + ridge * w), b - rate * g.sum(axis=0)
+        weights, bias = w - rate * (slope + ridge * w), b - rate * g.sum(axis=0)
     return Model(languages, code, weights.astype(np.float32), bias.astype(np.float32))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgersieve.llm.components import components
-from ledgersieve.llm.shared import text_chunks, written
+from ledgersieve.llm.shared import possibly_in, text_chunks, written
 from ledgersieve.llm.tokens import forget
 
 REGISTERS = 128
@@ -167,7 +167,10 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
 
 
 def whole_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """node, size, registers and whole shingle set (sorted 64-bit hashes) of some documents that have shingles."""
+    """node, size, registers and whole shingle set (sorted 64-bit hashes) of some documents that have shingles.
+
+    ``nodes`` is read several times. Texts that a bitmap of the nodes rules out don't travel.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _rows_of(batches):
@@ -183,7 +186,8 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    wanted = rows.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    ids = nodes.select(F.col("node").alias("doc_id"))
+    wanted = possibly_in(rows, "doc_id", ids).join(ids, "doc_id", "left_semi")
     return wanted.mapInArrow(run, "node long, n long, registers binary, shingles binary").where("n > 0")
 
 
@@ -344,6 +348,11 @@ def possible(a: pd.DataFrame, b: pd.DataFrame, percent: int) -> np.ndarray:
     return maybe
 
 
+def _sets_of(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """The sets of some nodes (which may repeat) and of a few more."""
+    return possibly_in(sets, "node", written(nodes.distinct(), "near-wanted"))
+
+
 def crossing(bands: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) that connect all linked nodes that share a band and are not connected yet.
 
@@ -389,15 +398,17 @@ def crossing(bands: DataFrame, sets: DataFrame, labels: DataFrame, percent: int)
         .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
         .distinct()
     )
-    # Sets of nodes without an open bucket don't travel.
-    sets = sets.join(open_rows.select("node").distinct(), "node", "left_semi")
-    small = confirmed(likely(joined, sets, similarity), sets, percent)
+    # Only registers of nodes with an open bucket travel, and whole sets only of nodes with a partner they don't rule out.
+    in_open = written(open_rows.select("node").distinct(), "near-open-nodes")
+    slim = possibly_in(sets.select("node", "n", "registers"), "node", in_open).join(in_open, "node", "left_semi")
+    pairs = written(likely(joined, slim, similarity).select("u", "v"), "near-pairs")
+    small = confirmed(pairs, _sets_of(pairs.select(F.explode(F.array("u", "v")).alias("node")), sets), percent)
 
     chunks, minors = (
         F.greatest(F.ceil(F.col(name) / BLOCK), F.ceil(F.col(f"{name}_shingles") / (10 * BLOCK_SHINGLES))).cast("int")
         for name in ("total", "minor")
     )
-    large = open_rows.where(~few).join(sets.select("node", "n", "registers"), "node")
+    large = open_rows.where(~few).join(slim, "node")
     mine = F.pmod(F.xxhash64("node"), chunks).cast("int")
     theirs = F.pmod(F.xxhash64("node", F.lit(1)), minors).cast("int")
     columns = ["band", "chunk", "part", "number", "node", "component", "n", "registers"]
@@ -447,7 +458,8 @@ def crossing(bands: DataFrame, sets: DataFrame, labels: DataFrame, percent: int)
         return pd.DataFrame([(u[i], v[j]) for i, j in found], columns=["u", "v"]).astype("int64")
 
     # A node of the outer side may be in several chunks of one block; it is sent once.
-    placed = dealt.select("band", "part", "block", "number", "node", "component", "outer").distinct().join(sets, "node")
+    once = dealt.select("band", "part", "block", "number", "node", "component", "outer").distinct()
+    placed = once.join(_sets_of(left_over.select("node"), sets), "node")
     sides = [
         placed.where(side).select([F.col(c).alias(c) for c in ("band", "part", "block", *columns[3:], "shingles")]).groupBy(
             "band", "part", "block"
@@ -487,7 +499,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         "near-classes",
     )
     nodes = classes.select("node", "n", "registers")
-    buckets = (
+    buckets = written(
         band_rows(nodes)
         .groupBy("band")
         .agg(
@@ -496,12 +508,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
             F.count(F.lit(1)).alias("n"),
         )
         .where("n > 1")
-        .select("band", "one", "two")
-    )
-    bands = written(
-        _spread(band_rows(nodes), "node", "band").join(_salted(buckets), ["band", "salt"]).drop("salt"), "near-bands"
+        .select("band", "one", "two"),
+        "near-buckets",
     )
-    sets = written(whole_sets(docs, bands.select("node").distinct(), words), "near-sets")
+    shared = possibly_in(band_rows(nodes), "band", buckets.select("band"))
+    bands = written(_spread(shared, "node", "band").join(_salted(buckets), ["band", "salt"]).drop("salt"), "near-bands")
+    paired = written(bands.select("node").distinct(), "near-paired")
+    sets = written(whole_sets(docs, paired, words), "near-sets")
     pairs = (
         bands.select(F.col("node").alias("u"), F.explode(F.array_distinct(F.array("one", "two"))).alias("v"))
         .where("u != v")

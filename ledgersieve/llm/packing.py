@@ -14,6 +14,8 @@ from ledgersieve.llm.shared import text_chunks, written
 from ledgersieve.llm.tokens import binary, encoder
 
 #: Parts in which the pieces of one length are ranked, at least, and pieces that a part should hold.
+#: Characters that a task encodes at a time; what it holds besides its tokenizer follows them.
+RUN = 2_000_000
 RANK_PARTS = 64
 RANK_PIECES = 200_000
 PIECES = pa.schema(
@@ -35,7 +37,7 @@ def cutter(
     """Arrow batches of documents to batches of pieces of at most ``capacity`` ids."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in text_chunks(batches):
+        for batch, texts in text_chunks(batches, RUN):
             ids, ends = encoder(vocabulary).encode(texts, end_id)
             ids = ids.astype("<u4", copy=False)
             begins = np.concatenate([[0], ends[:-1]])

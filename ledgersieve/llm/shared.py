@@ -51,6 +51,44 @@ def training_text(text: Column, max_bytes: int) -> Column:
     return F.when(F.octet_length(text) <= max_bytes, text).otherwise(F.concat_ws(" ", *windows))
 
 
+#: Bits of a stored bitmap, as Spark's bitmap functions have them; bits for each key and in all of ``marked``.
+BITMAP_BITS = 32_768
+KEY_BITS = 16
+MOST_BITS = 1 << 26
+
+
+def marked(rows: DataFrame, column: str, keys: DataFrame, mark: str) -> DataFrame:
+    """Add whether a row's value may be among some keys (a table of one column of that name).
+
+    A bitmap of the keys' hashes, 8 MB at most, goes to all tasks, and no row is shuffled. It is true for each row with a
+    key and, up to four million keys, for about one in 16 of the others (for more of them if there are more keys).
+    """
+    own = "__"
+    while any(c.lower().startswith(own) for c in [*rows.columns, mark]):
+        own = f"_{own}"
+    place, bucket, bitmap = (f"{own}{name}" for name in ("place", "bucket", "bitmap"))
+    bits = max(BITMAP_BITS, min(MOST_BITS, KEY_BITS * keys.count()))
+    hashed = F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(bits))
+    places = keys.select(hashed.alias(place)).select(
+        F.bitmap_bucket_number(place).alias(bucket), F.bitmap_bit_position(place).alias(place)
+    )
+    # Places are shuffled, not a bitmap of each task.
+    maps = places.repartition(bucket).groupBy(bucket).agg(F.bitmap_construct_agg(place).alias(bitmap))
+    asked = rows.withColumn(place, F.bitmap_bit_position(hashed)).withColumn(bucket, F.bitmap_bucket_number(hashed))
+    byte = F.conv(F.hex(F.substring(bitmap, (F.floor(F.col(place) / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = byte.bitwiseAND(F.pow(F.lit(2), F.col(place) % 8).cast("int")) != 0
+    found = asked.join(F.broadcast(maps), bucket, "left")
+    return found.select(*(F.col(f"`{c}`") for c in rows.columns), F.coalesce(hit, F.lit(False)).alias(mark))
+
+
+def possibly_in(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """Rows that ``marked`` doesn't rule out, so that others needn't be shuffled; an exact join has to follow."""
+    mark = "may_be"
+    while mark in rows.columns:
+        mark = f"_{mark}"
+    return marked(rows, column, keys, mark).where(F.col(mark)).drop(mark)
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, rows: int, max_bytes: int = 65_536
 ) -> list[tuple[str, int]]:

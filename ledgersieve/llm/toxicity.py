@@ -58,14 +58,18 @@ def segments(words: Iterable[bytes]) -> set[str]:
 
 
 def one_of_each_family(sample: list[tuple[str, int]]) -> list[tuple[set[bytes], int]]:
-    """Word sets of the texts; of texts that share their least three-word hash (copies) only the first."""
+    """Word sets of the texts; of texts that share their least three-word hash (copies) only the first.
+
+    Equal words are one object in all sets, so memory follows the different words and not the texts.
+    """
     seen, out = set(), []
+    known: dict[bytes, bytes] = {}
     for text, label in sample:
         words = plain(text).split()
         least = min((zlib.crc32(b" ".join(words[i : i + 3])) for i in range(max(1, len(words) - 2))), default=0)
         if (least, label) not in seen:
             seen.add((least, label))
-            out.append((set(words), label))
+            out.append(({known.setdefault(word, word) for word in words}, label))
     return out
 
 

@@ -706,3 +706,47 @@ def test_small_equal_pages_are_spread(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len({r.p for r in rows}) > 1
     assert len(rows) == 800 and {r.record_type for r in rows} == {"response"}
+
+
+def test_marks_miss_no_key_and_clear_most_other_rows(spark):
+    rows = spark.range(20_000).selectExpr("if(id = 7, null, id) as doc_id", "id as __place", "id as may_be")
+    keys = spark.range(0, 20_000, 100).selectExpr("id as doc_id")
+    found = shared.possibly_in(rows, "doc_id", keys)
+    assert found.columns == rows.columns
+    got = {r.doc_id for r in found.collect()}
+    assert got >= set(range(0, 20_000, 100)) and len(got) < 3_000
+    assert shared.possibly_in(rows, "doc_id", keys.where("false")).isEmpty()
+    assert shared.marked(rows, "doc_id", keys, "__bucket").count() == 20_000
+
+
+def shuffled_texts(spark, frame):
+    """How many exchanges of a plan hold a text that no bitmap has been asked about."""
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    return re.search(r"Join LeftSemi|Join LeftAnti", plan) and "__place" not in plan
+
+
+def test_texts_meet_a_bitmap_before_they_are_shuffled(spark, folder, monkeypatch):
+    docs = table(spark, folder, "documents")
+    nodes = shared.written(docs.where("doc_id % 50 = 0").selectExpr("doc_id as node").distinct(), "test-nodes")
+    assert not shuffled_texts(spark, minhash.whole_sets(docs, nodes, 5))
+    assert not shuffled_texts(spark, corpus_pipeline.keep_one_of_each_group(spark, docs.where("doc_id < 100").dropDuplicates(["doc_id"]), folder))
+
+
+def test_fitting_languages_holds_no_dense_matrix():
+    import tracemalloc
+
+    rng = random.Random(5)
+    sample = [(words(rng, lang, 60), lang) for lang in LANGUAGES for _ in range(500)]
+    tracemalloc.start()
+    try:
+        model = language.fit(sample, steps=3)
+        assert tracemalloc.get_traced_memory()[1] < 70_000_000  # 4,500 rows of 8,192 floats are 147 MB
+    finally:
+        tracemalloc.stop()
+    assert model.languages == sorted(LANGUAGES)
+
+
+def test_equal_words_of_the_toxicity_sample_are_one_object():
+    (first, _), (second, _) = toxicity.one_of_each_family([("one two three four", 0), ("four zzz three yyy", 1)])
+    assert first & second == {b"three", b"four"}
+    assert {id(w) for w in first if w in second} == {id(w) for w in second if w in first}
