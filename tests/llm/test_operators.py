@@ -720,12 +720,12 @@ def test_marks_miss_no_key_and_clear_most_other_rows(spark):
 
 
 def shuffled_texts(spark, frame):
-    """How many exchanges of a plan hold a text that no bitmap has been asked about."""
+    """Whether a plan joins ids with texts that no bitmap has been asked about."""
     plan = frame._jdf.queryExecution().optimizedPlan().toString()
     return re.search(r"Join LeftSemi|Join LeftAnti", plan) and "__place" not in plan
 
 
-def test_texts_meet_a_bitmap_before_they_are_shuffled(spark, folder, monkeypatch):
+def test_texts_meet_a_bitmap_before_they_are_shuffled(spark, folder):
     docs = table(spark, folder, "documents")
     nodes = shared.written(docs.where("doc_id % 50 = 0").selectExpr("doc_id as node").distinct(), "test-nodes")
     assert not shuffled_texts(spark, minhash.whole_sets(docs, nodes, 5))
